@@ -1 +1,244 @@
-"""stub"""
+"""Queries of sources, selection and readiness."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catloom.functions import variants as V
+from catloom.functions.ordering import last_wins, seq_from_number
+from catloom.operators import enrich as E
+from catloom.operators import quality as Q
+from catloom.operators import selection as S
+from catloom.operators.lineage import identified, read_header
+from catloom.plans.registry import query
+from catloom.plans.views import responses, rows, table, view, with_ctes
+from catloom.session import shared_folder
+from catloom.sources import landing as L
+from catloom.sources.ndjson import parse_lines, read_ndjson, write_ndjson
+
+SELECTION = S.Selection.parse(include={str(i): {} for i in [*range(1, 15), "root"]}, exclude='{"3": {}, "9": {}}')
+_IN = "id IN ('root','1','2','4','5','6','7','8','10','11','12','13','14')"
+
+_LINE = "CASE event_id % 50 WHEN 0 THEN 'not-json' WHEN 1 THEN '   ' ELSE props END"
+
+
+def _event_lines(spark, sf):
+    return table(spark, sf, "events").select(
+        F.expr(_LINE).alias("value"), seq_from_number(F.col("event_id")).alias("seq")
+    )
+
+
+@query("ndjson_scan", """
+SELECT event_id AS n, event_id % 50 <> 0 AS parsed, CASE WHEN event_id % 50 <> 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k
+FROM events WHERE event_id % 50 <> 1""")
+def _(spark, sf):
+    good, bad = parse_lines(_event_lines(spark, sf))
+    n = F.col("seq.row").alias("n")
+    return good.select(n, F.lit(True).alias("parsed"), V.at(F.col("raw"), "$.k", "bigint").alias("k")).unionByName(
+        bad.select(n, F.lit(False).alias("parsed"), F.lit(None).cast("bigint").alias("k"))
+    )
+
+
+@query("ndjson_roundtrip", """
+SELECT replace(props, ' ', '') AS record, count(*) AS n FROM events WHERE event_id % 50 > 1 GROUP BY 1""")
+def _(spark, sf):
+    path = shared_folder(spark, "ndjson")
+    write_ndjson(parse_lines(_event_lines(spark, sf))[0], path)
+    return read_ndjson(spark, path)[0].groupBy(F.to_json("raw").alias("record")).agg(F.count("*").alias("n"))
+
+
+@query("unwrap_array", """
+SELECT event_id AS n, 0 AS item, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events WHERE event_type <> 'error' AND event_id % 3 = 0""")
+def _(spark, sf):
+    got, _ = L.unwrap_responses(responses(spark, sf, "l_events"), "collection")
+    return got.select(F.col("seq.row").alias("n"), F.col("seq.item").alias("item"), V.at(F.col("raw"), "$.k", "bigint").alias("k"))
+
+
+@query("unwrap_envelope", """
+SELECT event_id AS n, i AS item, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events, (VALUES (0), (1)) t(i) WHERE event_type <> 'error' AND event_id % 3 < 2 AND i <= event_id % 3""")
+def _(spark, sf):
+    got, _ = L.unwrap_responses(responses(spark, sf, "l_events"), "database", envelope="data")
+    return got.select(F.col("seq.row").alias("n"), F.col("seq.item").alias("item"), V.at(F.col("raw"), "$.k", "bigint").alias("k"))
+
+
+@query("detail_worklist", """
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_size AS size FROM part WHERE p_partkey <> 0 AND p_size % 4 <> 0""")
+def _(spark, sf):
+    df = table(spark, sf, "part").select(
+        F.when(F.col("p_size") % 4 != 0, F.col("p_partkey").cast("string")).alias("id"), F.col("p_size").alias("size")
+    )
+    return L.detail_worklist(df)
+
+
+_MAYBE_QUERY = "CASE p_partkey % 5 WHEN 0 THEN '{}' WHEN 1 THEN 'null' WHEN 2 THEN NULL ELSE '{\"type\":\"native\"}' END"
+
+
+@query("query_worklist", """
+SELECT p_partkey AS id FROM part WHERE p_partkey % 5 > 2 AND p_size % 7 <> 0""")
+def _(spark, sf):
+    df = table(spark, sf, "part").select(
+        F.when(F.col("p_size") % 7 != 0, F.col("p_partkey")).alias("id"), V.parse(F.expr(_MAYBE_QUERY)).alias("dataset_query")
+    )
+    return L.query_worklist(df).select("id")
+
+
+@query("hydrate_detail", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, concat('Dashboard ', o_orderkey) AS name FROM orders WHERE o_orderkey % 17 <> 0""")
+def _(spark, sf):
+    summaries = E.typed_dashboards(rows(spark, sf, "l_dashboards")).select("id", "seq")
+    got, _ = L.hydrate(summaries, responses(spark, sf, "l_dashboard_details"), "dashboard")
+    return got.select("id", V.at(F.col("raw"), "$.name").alias("name"))
+
+
+@query("hydrate_queries", """
+SELECT CAST(p_partkey AS VARCHAR) AS question_id,
+  CASE WHEN p_partkey % 11 = 3 THEN '' ELSE concat('SELECT * FROM ', replace(p_name, ' ', '_')) END AS query,
+  CASE WHEN p_partkey % 11 = 3 THEN NULL ELSE '[1]' END AS params
+FROM part WHERE p_partkey % 11 > 2""")
+def _(spark, sf):
+    questions = E.typed_questions(rows(spark, sf, "l_questions"))
+    got, _ = L.hydrate_queries(questions, responses(spark, sf, "l_question_queries"))
+    return got.drop("seq")
+
+
+@query("residual_split", """
+SELECT 'collections_fetch_failed' AS category, '/api/collection' AS endpoint, CAST(event_id AS VARCHAR) AS record_id, 500 AS http_status
+FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'dashboard_detail_fetch_failed', '/api/dashboard', CAST(o_orderkey AS VARCHAR), 404 FROM orders WHERE o_orderkey % 17 = 0 AND o_orderkey <> 0
+UNION ALL SELECT CASE WHEN p_partkey % 11 = 0 THEN 'question_query_fetch_failed' ELSE 'question_query_fetch_errored' END,
+  '/api/dataset/native', CAST(p_partkey AS VARCHAR), CASE WHEN p_partkey % 11 = 0 THEN 500 END
+FROM part WHERE p_partkey % 11 IN (0, 2)""")
+def _(spark, sf):
+    _, lists = L.unwrap_responses(responses(spark, sf, "l_events"), "collection")
+    summaries = E.typed_dashboards(rows(spark, sf, "l_dashboards")).select("id", "seq")
+    _, details = L.hydrate(summaries, responses(spark, sf, "l_dashboard_details"), "dashboard")
+    questions = E.typed_questions(rows(spark, sf, "l_questions"))
+    _, queries = L.hydrate_queries(questions, responses(spark, sf, "l_question_queries"))
+    return lists.unionByName(details).unionByName(queries).drop("timestamp")
+
+
+@query("last_wins", """
+SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_orderpriority, o_orderkey) AS o_orderpriority
+FROM orders GROUP BY o_custkey""")
+def _(spark, sf):
+    df = table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderpriority", seq_from_number(F.col("o_orderkey")).alias("seq")
+    )
+    return last_wins(df, "o_custkey").drop("seq")
+
+
+@query("filter_collections", with_ctes(f"SELECT * FROM v_collections WHERE {_IN}", "v_collections"))
+def _(spark, sf):
+    return S.filter_collections(view(spark, sf, "v_collections"), SELECTION)
+
+
+@query("accepted_ids", with_ctes(f"SELECT DISTINCT id FROM v_collections WHERE {_IN}", "v_collections"))
+def _(spark, sf):
+    return S.accepted_ids(S.filter_collections(view(spark, sf, "v_collections"), SELECTION))
+
+
+@query("databases_passthrough", with_ctes("SELECT * FROM v_databases", "v_databases"))
+def _(spark, sf):
+    return S.databases(view(spark, sf, "v_databases"))
+
+
+@query("non_personal_collections", with_ctes("""
+SELECT id AS value, name AS title, 'collection' AS node_type FROM v_collections
+WHERE personal_owner_id IS NULL OR personal_owner_id = 0""", "v_collections"))
+def _(spark, sf):
+    return S.non_personal(view(spark, sf, "v_collections"))
+
+
+def _accepted(spark, sf):
+    return S.accepted_ids(S.filter_collections(view(spark, sf, "v_collections"), SELECTION))
+
+
+_KEY = "coalesce(CAST(collection_id AS VARCHAR), 'root')"
+
+
+@query("cascade_dashboards", with_ctes(f"""
+SELECT id, name, collection_id FROM v_dashboards WHERE {_KEY} IN (SELECT id FROM v_collections WHERE {_IN})""",
+    "v_dashboards", "v_collections"))
+def _(spark, sf):
+    return S.cascade(view(spark, sf, "v_dashboards"), _accepted(spark, sf)).drop("created_at")
+
+
+@query("cascade_questions", with_ctes(f"""
+SELECT id, name, collection_id FROM v_questions WHERE {_KEY} IN (SELECT id FROM v_collections WHERE {_IN})""",
+    "v_questions", "v_collections"))
+def _(spark, sf):
+    return S.cascade(view(spark, sf, "v_questions"), _accepted(spark, sf)).select("id", "name", "collection_id")
+
+
+@query("cascade_keeps_all_when_empty", with_ctes("SELECT id, collection_id FROM v_dashboards", "v_dashboards"))
+def _(spark, sf):
+    nothing = S.filter_collections(view(spark, sf, "v_collections"), S.Selection.parse(include={"none": {}}))
+    return S.cascade(view(spark, sf, "v_dashboards"), S.accepted_ids(nothing), empty_means_all=True).select("id", "collection_id")
+
+
+@query("identified_records", """
+SELECT concat('default/bi/1/questions/', l_partkey) AS question_qn, count(*) AS n FROM lineitem WHERE l_suppkey % 20 <> 0 GROUP BY 1""")
+def _(spark, sf):
+    header = read_header(F.col("raw"))
+    records = rows(spark, sf, "l_parsed").select(header["question_qn"].alias("question_qn"))
+    return identified(records).groupBy("question_qn").agg(F.count("*").alias("n"))
+
+
+_PICK = S.Selection.parse(include={str(i): {} for i in [*range(0, 20), "root", "None"]}, exclude={"3": {}})
+_PICKED = "IN ('root','None','0','1','2','4','5','6','7','8','9','10','11','12','13','14','15','16','17','18','19')"
+_ITEM_COUNT = f"""SELECT count(*) FROM {{}} WHERE coalesce(CAST(collection_id AS VARCHAR), 'None') {_PICKED}
+  AND coalesce(CAST(collection_id AS VARCHAR), 'None') NOT IN (SELECT id FROM v_collections WHERE personal_owner_id IS NOT NULL)"""
+_COUNTS = f"""
+SELECT 'collections' AS name, count(*) AS n FROM v_collections WHERE personal_owner_id IS NULL AND id {_PICKED}
+UNION ALL SELECT 'permissions', count(*) FROM v_databases WHERE native_permissions <> 'write'
+UNION ALL SELECT 'dashboards', ({_ITEM_COUNT.format("v_dashboards")})
+UNION ALL SELECT 'questions', ({_ITEM_COUNT.format("v_questions")})"""
+_PREFLIGHT_VIEWS = ("v_collections", "v_dashboards", "v_questions", "v_databases")
+
+
+def _counts(spark, sf):
+    return Q.preflight_counts(
+        view(spark, sf, "v_collections"), view(spark, sf, "v_dashboards"),
+        view(spark, sf, "v_questions"), view(spark, sf, "v_databases"), _PICK,
+    )
+
+
+for _name in ("collections", "dashboards", "questions"):
+
+    def _one(spark, sf, name=_name):
+        return _counts(spark, sf).filter(F.col("name") == name)
+
+    query(f"preflight_{_name}", with_ctes(f"SELECT * FROM ({_COUNTS}) c WHERE name = '{_name}'", *_PREFLIGHT_VIEWS))(_one)
+
+
+@query("native_permissions", with_ctes("SELECT name FROM v_databases WHERE native_permissions <> 'write'", "v_databases"))
+def _(spark, sf):
+    return Q.missing_native_permission(view(spark, sf, "v_databases"))
+
+
+# Passing means: something counted, and no permission missing.
+@query("readiness", with_ctes(f"""
+SELECT CASE WHEN c = 0 OR p > 0 THEN 'NOT_READY' WHEN d = 0 OR q = 0 THEN 'PARTIAL' ELSE 'READY' END AS status,
+  c > 0 AS collections_ok, CASE WHEN c > 0 THEN p = 0 END AS permissions_ok,
+  CASE WHEN c > 0 AND p = 0 THEN d > 0 END AS dashboards_ok, CASE WHEN c > 0 AND p = 0 THEN q > 0 END AS questions_ok
+FROM (SELECT max(CASE WHEN name = 'collections' THEN n END) AS c, max(CASE WHEN name = 'permissions' THEN n END) AS p,
+  max(CASE WHEN name = 'dashboards' THEN n END) AS d, max(CASE WHEN name = 'questions' THEN n END) AS q FROM ({_COUNTS}) x) y""",
+    *_PREFLIGHT_VIEWS))
+def _(spark, sf):
+    passed = F.when(F.col("name") == "permissions", F.col("n") == 0).otherwise(F.col("n") > 0)
+    return Q.readiness(_counts(spark, sf).select("name", passed.alias("passed")))
+
+
+@query("stage_totals", with_ctes(f"""
+SELECT 'filter' AS stage, CAST((SELECT count(*) FROM v_collections WHERE {_IN}) + (SELECT count(*) FROM v_databases)
+  + (SELECT count(*) FROM v_dashboards WHERE {_KEY} IN (SELECT id FROM v_collections WHERE {_IN}))
+  + (SELECT count(*) FROM v_questions WHERE {_KEY} IN (SELECT id FROM v_collections WHERE {_IN})) AS BIGINT) AS n
+UNION ALL SELECT 'extract', CAST((SELECT count(*) FROM v_collections) + (SELECT count(*) FROM v_databases)
+  + (SELECT count(*) FROM v_dashboards) + (SELECT count(*) FROM v_questions) AS BIGINT)""", *_PREFLIGHT_VIEWS))
+def _(spark, sf):
+    c, d, q, b = (view(spark, sf, n) for n in _PREFLIGHT_VIEWS)
+    kept = S.filter_collections(c, SELECTION)
+    ids = S.accepted_ids(kept)
+    return Q.stage_totals(extract=[c, d, q, b], filter=[kept, S.cascade(d, ids), S.cascade(q, ids), S.databases(b)])
