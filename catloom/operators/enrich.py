@@ -190,7 +190,7 @@ def card_dashboards(slots: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame
         "card_id",
         F.when(F.col("_hot").isNotNull(), F.struct("seq.source", "seq.block")).alias("part"),
         "seq",
-        "dashboard_id",
+        F.col("dashboard_id").cast("string").alias("dashboard_id"),
     )
     # Without this exchange Spark would group on the join's partitioning, which
     # keeps all slices of a question in one task.
