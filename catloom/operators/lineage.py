@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catloom.context import RunContext
 from catloom.functions import variants as V
+from catloom.functions.binding import bind
 from catloom.functions.identity import compact_components, content_hash, qn
 from catloom.functions.text import (
     dotted_name, last_segment, truncate_name, unquote_ident, upstream_path, vendor_name,
@@ -188,7 +189,7 @@ def identified(records: DataFrame) -> DataFrame:
     return records.filter(F.col("question_qn") != "")
 
 
-def parse_records(landed: DataFrame, default_vendor: str = "") -> DataFrame:
+def parse_records(landed: DataFrame, default_vendor: str = "", with_columns: bool = True) -> DataFrame:
     """Parsed-SQL records ``(raw, ...)`` to header, source tables and source columns.
 
     The vendor of an object wins over the dialect of the record, which wins over
@@ -196,27 +197,28 @@ def parse_records(landed: DataFrame, default_vendor: str = "") -> DataFrame:
     """
     none = F.array().cast("array<variant>")
     raw = F.col("raw")
-    staged = identified(
-        landed.select(*[c.alias(n) for n, c in read_header(raw).items()], V.first_payload(raw, PAYLOADS).alias("_payload"))
-    )
+    head = identified(bind(landed.select("raw"), **read_header(raw)))
+    body = bind(head, _payload=V.first_payload(raw, PAYLOADS))
 
     def part(key: str) -> Column:
         return F.try_element_at("_payload", F.lit(key))
 
-    staged = staged.select(
-        "*",
-        vendor_name(V.given_or_blank(part("dbvendor"), "$"), default_vendor).alias("vendor"),
-        typed_objects(F.coalesce(V.elements(part("dbobjs")), none)).alias("_objects"),
-        F.coalesce(V.elements(part("relationships")), none).alias("_rels"),
-    ).drop("_payload")
-    return staged.select(
+    read = bind(
+        body.drop("raw"),
+        vendor=vendor_name(V.given_or_blank(part("dbvendor"), "$"), default_vendor),
+        _objects=typed_objects(F.coalesce(V.elements(part("dbobjs")), none)),
+    )
+    refs = {"tables": table_refs(F.col("_objects"), F.col("vendor"))}
+    if with_columns:
+        rels = F.coalesce(V.elements(part("relationships")), none)
+        refs["columns"] = column_refs(rels, F.col("_objects"), F.col("vendor"))
+    return bind(read, **refs).select(
         "question_qn",
         last_segment(F.col("question_qn")).alias("question_id"),
         V.first_filled("question_name", "question_qn").alias("question_name"),
         "sql",
         "vendor",
-        table_refs(F.col("_objects"), F.col("vendor")).alias("tables"),
-        column_refs(F.col("_rels"), F.col("_objects"), F.col("vendor")).alias("columns"),
+        *refs,
     )
 
 
@@ -255,7 +257,12 @@ def _process_qn(ctx: RunContext) -> Column:
     return qn("process", ctx.connection_qn, ident, content_hash(ident, F.col("sql")))
 
 
-def _record(kind: str, fallback: str, qualified_name: Column, inputs: Column, ctx: RunContext, **extra: Column) -> Column:
+def _column_process_qn(ctx: RunContext) -> Column:
+    ident = F.col("question_id")
+    return qn("column_process", ctx.connection_qn, ident, content_hash(ident, F.col("sql"), F.lit("column")))
+
+
+def _record(kind: str, fallback: str, qualified_name: Column, inputs: Column, ctx: RunContext, **extra: Column) -> list[Column]:
     ident = F.col("question_id")
     shown = F.coalesce(F.nullif("question_name", F.lit("")), F.format_string(fallback, ident))
     attributes = {
@@ -272,55 +279,53 @@ def _record(kind: str, fallback: str, qualified_name: Column, inputs: Column, ct
         ctx.names.lookup_attr("NestedLookupFields"): F.array(F.lit("inputs"), F.lit("outputs")),
         ctx.names.lookup_attr("NoNestedMatchAction"): F.lit("keep"),
     }
-    return F.struct(
+    return [
         F.lit(kind).alias("typeName"),
         F.lit("ACTIVE").alias("status"),
         F.struct(*[c.alias(n) for n, c in attributes.items()]).alias("attributes"),
-    )
+    ]
 
 
-def process_record(ctx: RunContext) -> Column:
-    """Process of a parsed record; null without source tables."""
+def process_record(ctx: RunContext) -> list[Column]:
     inputs = F.transform("tables", lambda t: table_ref(t, ctx))
-    return F.when(F.size("tables") > 0, _record("Process", "Question %s", _process_qn(ctx), inputs, ctx))
+    return _record("Process", "Question %s", _process_qn(ctx), inputs, ctx)
 
 
-def column_process_record(ctx: RunContext) -> Column:
-    """Column process below its process; null without source columns."""
-    ident = F.col("question_id")
-    own = qn("column_process", ctx.connection_qn, ident, content_hash(ident, F.col("sql"), F.lit("column")))
+def column_process_record(ctx: RunContext) -> list[Column]:
+    """Column process below its process, which it names by qualified name."""
     inputs = F.transform("columns", lambda c: column_ref(c, ctx))
-    record = _record(
-        "ColumnProcess", "Question %s columns", own, inputs, ctx, process=reference("Process", _process_qn(ctx))
-    )
-    return F.when(F.size("columns") > 0, record)
+    parent = reference("Process", _process_qn(ctx))
+    return _record("ColumnProcess", "Question %s columns", _column_process_qn(ctx), inputs, ctx, process=parent)
 
 
 def processes(parsed: DataFrame, ctx: RunContext) -> DataFrame:
-    return parsed.filter(F.size("tables") > 0).select(process_record(ctx).alias("_r")).select("_r.*")
+    """Processes of the records with source tables."""
+    return parsed.filter(F.size("tables") > 0).select(*process_record(ctx))
 
 
 def column_processes(parsed: DataFrame, ctx: RunContext) -> DataFrame:
     """Column processes of the records that also have a process."""
     both = (F.size("tables") > 0) & (F.size("columns") > 0)
-    return parsed.filter(both).select(column_process_record(ctx).alias("_r")).select("_r.*")
+    return parsed.filter(both).select(*column_process_record(ctx))
 
 
 def lineage(landed: DataFrame, ctx: RunContext, default_vendor: str = "") -> tuple[DataFrame, DataFrame]:
-    parsed = parse_records(landed, default_vendor)
-    return processes(parsed, ctx), column_processes(parsed, ctx)
+    return (
+        processes(parse_records(landed, default_vendor, with_columns=False), ctx),
+        column_processes(parse_records(landed, default_vendor), ctx),
+    )
 
 
 def lineage_lines(landed: DataFrame, ctx: RunContext, default_vendor: str = "") -> DataFrame:
     """Both record sets in one pass, as ``(type_dir, qualified_name, json)``."""
     parsed = parse_records(landed, default_vendor).filter(F.size("tables") > 0)
 
-    def line(kind: str, record: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("type_dir"),
-            record["attributes"]["qualifiedName"].alias("qualified_name"),
-            F.to_json(record).alias("json"),
-        )
+    def line(kind: str, qualified_name: Column, json: Column) -> Column:
+        return F.struct(F.lit(kind).alias("type_dir"), qualified_name.alias("qualified_name"), json.alias("json"))
 
-    both = F.array(line("PROCESS", process_record(ctx)), line("COLUMNPROCESS", column_process_record(ctx)))
-    return parsed.select(F.explode(both).alias("_l")).select("_l.*").filter(F.col("json").isNotNull())
+    column_json = F.to_json(F.struct(*column_process_record(ctx)))
+    both = F.array(
+        line("PROCESS", _process_qn(ctx), F.to_json(F.struct(*process_record(ctx)))),
+        line("COLUMNPROCESS", _column_process_qn(ctx), F.when(F.size("columns") > 0, column_json)),
+    )
+    return parsed.select(F.inline(both)).filter(F.col("json").isNotNull())

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catloom.functions import variants as V
+from catloom.functions.binding import bind
 from catloom.functions.ordering import seq_from_number
 
 TABLES = (
@@ -179,7 +180,8 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Landed view as parsed ``(raw, seq)``."""
-    return view(spark, sf_dir, name).select(V.parse(F.col("value")).alias("raw"), seq_from_number(F.col("n")).alias("seq"))
+    lines = view(spark, sf_dir, name).select("value", seq_from_number(F.col("n")).alias("seq"))
+    return bind(lines, raw=V.parse(F.col("value"))).select("raw", "seq")
 
 
 def responses(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catloom.functions import variants as V
+from catloom.functions.binding import bind
 from catloom.functions.ordering import last_wins, with_item
 
 # Failure categories.
@@ -61,7 +62,7 @@ def unwrap_responses(landed: DataFrame, kind: str, envelope: str | None = None)
     and any other body gives no rows.
     """
     ok = succeeded(F.col("http_status"))
-    body = landed.filter(ok).withColumn("_body", V.parse(F.col("body")))
+    body = bind(landed.filter(ok), _body=V.parse(F.col("body")))
     items = V.elements(F.col("_body"))
     if envelope:
         items = F.coalesce(items, V.elements(F.col("_body"), f"$.{envelope}"))
@@ -99,8 +100,9 @@ def hydrate(summaries: DataFrame, landed: DataFrame, kind: str, ident: str = "id
     """
     wanted = detail_worklist(summaries, ident).select(F.col(ident).cast("string").alias("id"), "seq")
     got = _latest_response(landed)
-    joined = wanted.join(got, wanted["id"] == got["record_id"], "left").withColumn(
-        "raw", F.when(succeeded(F.col("http_status")), V.parse(F.col("body")))
+    joined = bind(
+        wanted.join(got, wanted["id"] == got["record_id"], "left"),
+        raw=F.when(succeeded(F.col("http_status")), V.parse(F.col("body"))),
     )
     rows = joined.filter(F.col("raw").isNotNull()).select("id", "raw", "seq")
     failed = joined.filter(F.col("raw").isNull()).select(
@@ -124,7 +126,7 @@ def hydrate_queries(questions: DataFrame, landed: DataFrame) -> tuple[DataFrame,
     got = _latest_response(landed)
     joined = wanted.join(got, wanted["question_id"] == got["record_id"], "left")
     ok = succeeded(F.col("http_status"))
-    joined = joined.withColumn("_body", F.when(ok, V.parse(F.col("body"))))
+    joined = bind(joined, _body=F.when(ok, V.parse(F.col("body"))))
     readable = V.fields(F.col("_body")).isNotNull()
     rows = joined.filter(readable & V.is_given(F.col("_body"), "$.query")).select(
         "question_id",
