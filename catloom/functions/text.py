@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 NAME_LIMIT = 10000
 
@@ -61,7 +62,7 @@ def upstream_path(*parts: Column) -> Column:
     return F.concat_ws("/", *[F.nullif(p, F.lit("")) for p in parts])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 

@@ -46,46 +46,58 @@ def read_header(raw: Column) -> dict[str, Column]:
     }
 
 
-def _texts(v: Column, *keys: str) -> Column:
-    """Struct of the value and the text of some of its keys, each read once."""
-    return F.struct(v.alias("v"), *[V.at(v, f"$.{k}").alias(k) for k in keys])
+OBJECT_KEYS = ("name", "tableName", "type", "objectType", "db", "database", "schema", "vendor_name", "vendorName")
+END_KEYS = (
+    "column", "name", "db", "database", "schema", "table", "tableName",
+    "vendor_name", "vendorName", "parentName",
+)
 
 
-def _pick(s: Column, *keys: str) -> Column:
-    """First of the keys of a ``_texts`` struct that has a value, else empty."""
-    return F.coalesce(*[V.given_text(s[k], s["v"], f"$.{k}") for k in keys], F.lit(""))
+def _struct_of(*keys: str) -> str:
+    return f"struct<{','.join(f'`{k}`:variant' for k in keys)}>"
 
 
-def _object(o: Column) -> Column:
-    """Name parts of a parsed object, still quoted, with its id as JSON text so
-    that the ids 1 and "1" differ."""
-    s = o["s"]
-    return F.struct(
-        o["id"].alias("id"),
-        _pick(s, "name", "tableName").alias("name"),
-        F.lower(_pick(s, "type", "objectType")).alias("type"),
-        _pick(s, "db", "database").alias("database"),
-        _pick(s, "schema").alias("schema"),
-        _pick(s, "vendor_name", "vendorName").alias("vendor"),
-    )
+_END = _struct_of(*END_KEYS, "parentId")
+OBJECTS = f"array<{_struct_of('id', *OBJECT_KEYS)}>"
+RELATIONSHIPS = f"array<struct<`sources`:array<{_END}>,`source`:{_END},`from`:{_END}>>"
 
 
-OBJECT_KEYS = ("name", "tableName", "type", "objectType", "db", "database", "schema", "vendor_name", "vendorName")
-END_KEYS = (
-    "column", "name", "db", "database", "schema", "table", "tableName",
-    "vendor_name", "vendorName", "parentName",
-)
+def _texts(v: Column, keys: tuple[str, ...]) -> Column:
+    return F.struct(*[V.at(v[k], "$").alias(k) for k in keys])
+
+
+def _pick(x: Column, *keys: str) -> Column:
+    """First of the keys with a value, else empty. ``x`` holds each field as a
+    VARIANT in ``v`` and as text in ``s``."""
+    return F.coalesce(*[V.given_text(x["s"][k], x["v"][k], "$") for k in keys], F.lit(""))
+
+
+def _json_id(c: Column) -> Column:
+    """Id as JSON text, so that 1 and "1" differ; null ids match nothing."""
+    return F.nullif(F.to_json(c), F.lit("null"))
 
 
 def typed_objects(dbobjs: Column) -> Column:
-    """array<variant> of parsed objects to an array of structs."""
+    """Parsed objects (VARIANT list) with their name parts, still quoted.
+
+    Elements that are not objects stay as entries without a name.
+    """
     read = F.transform(
-        dbobjs,
-        lambda o: F.struct(
-            F.nullif(V.json_text(o, "$.id"), F.lit("null")).alias("id"), _texts(o, *OBJECT_KEYS).alias("s")
+        V.at(dbobjs, "$", OBJECTS),
+        lambda o: F.struct(_json_id(o["id"]).alias("id"), _texts(o, OBJECT_KEYS).alias("s"), o.alias("v")),
+    )
+    objects = F.transform(
+        read,
+        lambda x: F.struct(
+            x["id"].alias("id"),
+            _pick(x, "name", "tableName").alias("name"),
+            F.lower(_pick(x, "type", "objectType")).alias("type"),
+            _pick(x, "db", "database").alias("database"),
+            _pick(x, "schema").alias("schema"),
+            _pick(x, "vendor_name", "vendorName").alias("vendor"),
         ),
     )
-    return F.transform(read, _object)
+    return F.coalesce(objects, F.array())
 
 
 def table_refs(objects: Column, vendor: Column) -> Column:
@@ -106,83 +118,84 @@ def table_refs(objects: Column, vendor: Column) -> Column:
     )
 
 
-def _relationship_ends(rels: Column) -> Column:
-    """Source ends of all relationships. A ``sources`` list hides the single
-    ``source`` and ``from``; without it both of these count."""
+def relationship_ends(relationships: Column) -> Column:
+    """Source ends of all relationships (VARIANT list). A ``sources`` list hides
+    the single ``source`` and ``from``; without it both of these count."""
+
+    def end(by_id: bool, v: Column) -> Column:
+        return F.struct(F.lit(by_id).alias("by_id"), v.alias("v"))
 
     def ends(rel: Column) -> Column:
-        listed = F.transform(V.elements(rel, "$.sources"), lambda s: F.struct(F.lit(True).alias("by_id"), s.alias("v")))
-        single = F.array(
-            *[F.struct(F.lit(False).alias("by_id"), V.at(rel, f"$.{k}", "variant").alias("v")) for k in ("source", "from")]
-        )
-        return F.coalesce(listed, single)
+        listed = F.transform(rel["sources"], lambda s: end(True, s))
+        return F.coalesce(listed, F.array(end(False, rel["source"]), end(False, rel["from"])))
 
-    return F.flatten(F.transform(rels, ends))
+    return F.flatten(F.transform(V.at(relationships, "$", RELATIONSHIPS), ends))
 
 
 def resolve_parents(ends: Column, objects: Column) -> Column:
     """Each end with its texts and, for ends that name a parent by id, the last
     object of that id."""
-    return F.transform(
+    read = F.transform(
         ends,
         lambda e: F.struct(
             e["by_id"].alias("by_id"),
-            _texts(e["v"], *END_KEYS).alias("s"),
+            e["v"].alias("v"),
+            _texts(e["v"], END_KEYS).alias("s"),
+            F.when(e["by_id"], _json_id(e["v"]["parentId"])).alias("parent_id"),
+        ),
+    )
+    return F.transform(
+        read,
+        lambda e: F.struct(
+            *[e[k].alias(k) for k in ("by_id", "v", "s")],
             F.when(
-                e["by_id"],
-                F.try_element_at(
-                    F.filter(objects, lambda o: o["id"] == V.json_text(e["v"], "$.parentId")), F.lit(-1)
-                ),
+                e["parent_id"].isNotNull(),
+                F.try_element_at(F.filter(objects, lambda o: o["id"] == e["parent_id"]), F.lit(-1)),
             ).alias("parent"),
         ),
     )
 
 
-def column_refs(rels: Column, objects: Column, vendor: Column) -> Column:
+def column_refs(relationships: Column, objects: Column, vendor: Column) -> Column:
     """Distinct source columns in order of appearance.
 
     The parent may be of any kind. Without one, the dotted parent name tells the
     table; ends without ids carry the table themselves.
     """
 
-    def table(e: Column) -> Column:
-        s, p = e["s"], e["parent"]
-        own = F.struct(
-            F.coalesce(F.nullif(_pick(s, "vendor_name", "vendorName"), F.lit("")), vendor).alias("vendor_name"),
-            unquote_ident(_pick(s, "db", "database")).alias("database"),
-            unquote_ident(_pick(s, "schema")).alias("schema"),
-            unquote_ident(_pick(s, "table", "tableName")).alias("table_name"),
+    def named(vendor_text: Column, database: Column, schema: Column, table: Column) -> Column:
+        return F.struct(
+            F.coalesce(F.nullif(vendor_text, F.lit("")), vendor).alias("vendor_name"),
+            unquote_ident(database).alias("database"),
+            unquote_ident(schema).alias("schema"),
+            unquote_ident(table).alias("table_name"),
         )
-        parent = F.struct(
-            F.coalesce(F.nullif(p["vendor"], F.lit("")), vendor).alias("vendor_name"),
-            unquote_ident(p["database"]).alias("database"),
-            unquote_ident(p["schema"]).alias("schema"),
-            unquote_ident(p["name"]).alias("table_name"),
+
+    def table(e: Column) -> Column:
+        p = e["parent"]
+        own = named(
+            _pick(e, "vendor_name", "vendorName"), _pick(e, "db", "database"),
+            _pick(e, "schema"), _pick(e, "table", "tableName"),
         )
-        dotted = dotted_name(_pick(s, "parentName"))
-        named = F.struct(
-            vendor.alias("vendor_name"),
-            dotted["database"].alias("database"),
-            dotted["schema"].alias("schema"),
-            dotted["table_name"].alias("table_name"),
+        parent = named(p["vendor"], p["database"], p["schema"], p["name"])
+        dotted = dotted_name(_pick(e, "parentName"))
+        from_name = F.struct(
+            vendor.alias("vendor_name"), *[dotted[k].alias(k) for k in ("database", "schema", "table_name")]
         )
-        return F.when(~e["by_id"], own).when(p.isNotNull(), parent).otherwise(named)
+        return F.when(~e["by_id"], own).when(p.isNotNull(), parent).otherwise(from_name)
 
     found = F.transform(
-        resolve_parents(_relationship_ends(rels), objects),
-        lambda e: F.struct(unquote_ident(_pick(e["s"], "column", "name")).alias("column_name"), table(e).alias("t")),
+        resolve_parents(relationship_ends(relationships), objects),
+        lambda e: F.struct(unquote_ident(_pick(e, "column", "name")).alias("column_name"), table(e).alias("t")),
     )
     refs = F.transform(
         F.filter(found, lambda x: x["column_name"] != ""),
         lambda x: F.struct(
-            x["t"]["vendor_name"].alias("vendor_name"),
-            x["t"]["database"].alias("database"),
-            x["t"]["schema"].alias("schema"),
-            x["t"]["table_name"].alias("table_name"),
+            *[x["t"][k].alias(k) for k in ("vendor_name", "database", "schema", "table_name")],
             x["column_name"].alias("column_name"),
         ),
     )
-    return F.array_distinct(refs)
+    return F.array_distinct(F.coalesce(refs, F.array()))
 
 
 def identified(records: DataFrame) -> DataFrame:
@@ -195,7 +208,6 @@ def parse_records(landed: DataFrame, default_vendor: str = "", with_columns: boo
     The vendor of an object wins over the dialect of the record, which wins over
     ``default_vendor``. A record that names no question drops.
     """
-    none = F.array().cast("array<variant>")
     raw = F.col("raw")
     head = identified(bind(landed.select("raw"), **read_header(raw)))
     body = bind(head, _payload=V.first_payload(raw, PAYLOADS))
@@ -206,12 +218,11 @@ def parse_records(landed: DataFrame, default_vendor: str = "", with_columns: boo
     read = bind(
         body.drop("raw"),
         vendor=vendor_name(V.given_or_blank(part("dbvendor"), "$"), default_vendor),
-        _objects=typed_objects(F.coalesce(V.elements(part("dbobjs")), none)),
+        _objects=typed_objects(part("dbobjs")),
     )
     refs = {"tables": table_refs(F.col("_objects"), F.col("vendor"))}
     if with_columns:
-        rels = F.coalesce(V.elements(part("relationships")), none)
-        refs["columns"] = column_refs(rels, F.col("_objects"), F.col("vendor"))
+        refs["columns"] = column_refs(part("relationships"), F.col("_objects"), F.col("vendor"))
     return bind(read, **refs).select(
         "question_qn",
         last_segment(F.col("question_qn")).alias("question_id"),
