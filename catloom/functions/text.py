@@ -14,9 +14,7 @@ NAME_LIMIT = 10000
 
 def unquote_ident(c: Column) -> Column:
     """Strip one layer of double quotes or backticks when both ends carry it."""
-    first, last = F.substring(c, 1, 1), F.substring(c, -1, 1)
-    wrapped = (F.length(c) >= 2) & (first == last) & first.isin('"', "`")
-    return F.when(wrapped, F.substring(c, F.lit(2), F.length(c) - 2)).otherwise(c)
+    return F.regexp_replace(c, '(?s)^(["`])(.*)\\1\\z', "$2")
 
 
 def dotted_name(c: Column) -> Column:
@@ -25,21 +23,22 @@ def dotted_name(c: Column) -> Column:
     The split comes first and the quotes go afterwards, so a dot inside quotes
     still separates.
     """
+
+    def named(parts: Column) -> Column:
+        n = F.size(parts)
+        blank = F.lit("")
+        db = F.when(n >= 3, F.get(parts, 0)).otherwise(blank)
+        schema = F.when(n >= 3, F.get(parts, 1)).when(n == 2, F.get(parts, 0)).otherwise(blank)
+        table = F.when(n >= 3, F.array_join(F.slice(parts, 3, n), ".")).otherwise(F.get(parts, n - 1))
+        return F.struct(
+            unquote_ident(db).alias("database"),
+            unquote_ident(schema).alias("schema"),
+            unquote_ident(table).alias("table_name"),
+        )
+
     parts = F.split(F.coalesce(c, F.lit("")), "\\.", -1)
-    n = F.size(parts)
-    blank = F.lit("")
-    db = F.when(n >= 3, F.get(parts, 0)).otherwise(blank)
-    schema = F.when(n >= 3, F.get(parts, 1)).when(n == 2, F.get(parts, 0)).otherwise(blank)
-    table = (
-        F.when(n >= 3, F.array_join(F.slice(parts, 3, F.greatest(n - 2, F.lit(0))), "."))
-        .when(n == 2, F.get(parts, 1))
-        .otherwise(F.get(parts, 0))
-    )
-    return F.struct(
-        unquote_ident(db).alias("database"),
-        unquote_ident(schema).alias("schema"),
-        unquote_ident(table).alias("table_name"),
-    )
+    # The one-element transform names the parts, so they are split only once.
+    return F.get(F.transform(F.array(parts), named), 0)
 
 
 def vendor_name(c: Column, default: Column | str = "") -> Column:

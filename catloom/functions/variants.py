@@ -36,14 +36,14 @@ def json_text(v: Column, json_path: str = "$") -> Column:
     return F.to_json(at(v, json_path, "variant"))
 
 
-def given_text(text: Column, v: Column, json_path: str) -> Column:
-    """``text``, read from that path of ``v``, unless the value counts as nothing.
+def given_text(text: Column, json: Column) -> Column:
+    """``text`` of a value unless the value counts as nothing.
 
-    JSON is looked at only for the few texts that leave doubt.
+    Its ``json`` is evaluated only for the few texts that leave doubt, thus not
+    for null: null AND json would have to look.
     """
-    return F.when(~text.isin(*NOTHING), text).when(
-        (text != "") & json_text(v, json_path).startswith('"'), text
-    )
+    doubt = F.coalesce(text != "", F.lit(False))
+    return F.when(~text.isin(*NOTHING), text).when(doubt & json.startswith('"'), text)
 
 
 def given(v: Column, *json_paths: str) -> Column:
@@ -51,7 +51,7 @@ def given(v: Column, *json_paths: str) -> Column:
 
     Null, false, zero and empty texts, lists and objects are no values.
     """
-    return F.coalesce(*[given_text(at(v, p), v, p) for p in json_paths])
+    return F.coalesce(*[given_text(at(v, p), json_text(v, p)) for p in json_paths])
 
 
 def is_given(v: Column, json_path: str) -> Column:
@@ -86,7 +86,9 @@ def first_payload(raw: Column, keys: tuple[str, ...]) -> Column:
     tries = []
     for key in keys:
         tries.append(usable(fields(raw, f"$.{key}")))
-        tries.append(usable(fields(parse(at(raw, f"$.{key}")))))
+        # Only text that opens an object is worth a parse.
+        text = at(raw, f"$.{key}")
+        tries.append(usable(fields(F.when(F.ltrim(text).startswith("{"), parse(text)))))
     return F.coalesce(*tries)
 
 

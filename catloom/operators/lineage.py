@@ -6,13 +6,15 @@ inside the row: no join, no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catloom.context import RunContext
 from catloom.functions import variants as V
 from catloom.functions.binding import bind
-from catloom.functions.identity import compact_components, content_hash, qn
+from catloom.functions.identity import content_hash, qn
 from catloom.functions.text import (
     dotted_name, last_segment, truncate_name, unquote_ident, upstream_path, vendor_name,
 )
@@ -53,23 +55,22 @@ END_KEYS = (
 )
 
 
-def _struct_of(*keys: str) -> str:
-    return f"struct<{','.join(f'`{k}`:variant' for k in keys)}>"
-
+def _struct_of(kind: str, *keys: str) -> str:
+    return f"struct<`id`:variant,`parentId`:variant,{','.join(f'`{k}`:{kind}' for k in keys)}>"
 
-_END = _struct_of(*END_KEYS, "parentId")
-OBJECTS = f"array<{_struct_of('id', *OBJECT_KEYS)}>"
-RELATIONSHIPS = f"array<struct<`sources`:array<{_END}>,`source`:{_END},`from`:{_END}>>"
 
+def _relationships_of(kind: str) -> str:
+    end = _struct_of(kind, *END_KEYS)
+    return f"array<struct<`sources`:array<{end}>,`source`:{end},`from`:{end}>>"
 
-def _texts(v: Column, keys: tuple[str, ...]) -> Column:
-    return F.struct(*[V.at(v[k], "$").alias(k) for k in keys])
 
+def _pick(texts: Column, values: Callable[[], Column], *keys: str) -> Column:
+    """First of the keys with a value, else empty.
 
-def _pick(x: Column, *keys: str) -> Column:
-    """First of the keys with a value, else empty. ``x`` holds each field as a
-    VARIANT in ``v`` and as text in ``s``."""
-    return F.coalesce(*[V.given_text(x["s"][k], x["v"][k], "$") for k in keys], F.lit(""))
+    ``texts`` holds the fields as text. ``values`` gives them as VARIANT; that
+    is evaluated only where a text leaves doubt.
+    """
+    return F.coalesce(*[V.given_text(texts[k], F.to_json(values()[k])) for k in keys], F.lit(""))
 
 
 def _json_id(c: Column) -> Column:
@@ -82,22 +83,22 @@ def typed_objects(dbobjs: Column) -> Column:
 
     Elements that are not objects stay as entries without a name.
     """
-    read = F.transform(
-        V.at(dbobjs, "$", OBJECTS),
-        lambda o: F.struct(_json_id(o["id"]).alias("id"), _texts(o, OBJECT_KEYS).alias("s"), o.alias("v")),
-    )
-    objects = F.transform(
-        read,
-        lambda x: F.struct(
-            x["id"].alias("id"),
-            _pick(x, "name", "tableName").alias("name"),
-            F.lower(_pick(x, "type", "objectType")).alias("type"),
-            _pick(x, "db", "database").alias("database"),
-            _pick(x, "schema").alias("schema"),
-            _pick(x, "vendor_name", "vendorName").alias("vendor"),
-        ),
-    )
-    return F.coalesce(objects, F.array())
+
+    def typed(o: Column, i: Column) -> Column:
+        def values() -> Column:
+            return F.get(V.at(dbobjs, "$", f"array<{_struct_of('variant', *OBJECT_KEYS)}>"), i)
+
+        return F.struct(
+            _json_id(o["id"]).alias("id"),
+            _pick(o, values, "name", "tableName").alias("name"),
+            F.lower(_pick(o, values, "type", "objectType")).alias("type"),
+            _pick(o, values, "db", "database").alias("database"),
+            _pick(o, values, "schema").alias("schema"),
+            _pick(o, values, "vendor_name", "vendorName").alias("vendor"),
+        )
+
+    texts = V.at(dbobjs, "$", f"array<{_struct_of('string', *OBJECT_KEYS)}>")
+    return F.coalesce(F.transform(texts, typed), F.array())
 
 
 def table_refs(objects: Column, vendor: Column) -> Column:
@@ -118,7 +119,7 @@ def table_refs(objects: Column, vendor: Column) -> Column:
     )
 
 
-def relationship_ends(relationships: Column) -> Column:
+def relationship_ends(relationships: Column, kind: str = "string") -> Column:
     """Source ends of all relationships (VARIANT list). A ``sources`` list hides
     the single ``source`` and ``from``; without it both of these count."""
 
@@ -129,25 +130,24 @@ def relationship_ends(relationships: Column) -> Column:
         listed = F.transform(rel["sources"], lambda s: end(True, s))
         return F.coalesce(listed, F.array(end(False, rel["source"]), end(False, rel["from"])))
 
-    return F.flatten(F.transform(V.at(relationships, "$", RELATIONSHIPS), ends))
+    return F.flatten(F.transform(V.at(relationships, "$", _relationships_of(kind)), ends))
 
 
 def resolve_parents(ends: Column, objects: Column) -> Column:
-    """Each end with its texts and, for ends that name a parent by id, the last
-    object of that id."""
-    read = F.transform(
+    """Each end and, if it names a parent by id, the last object of that id."""
+    keyed = F.transform(
         ends,
         lambda e: F.struct(
             e["by_id"].alias("by_id"),
             e["v"].alias("v"),
-            _texts(e["v"], END_KEYS).alias("s"),
             F.when(e["by_id"], _json_id(e["v"]["parentId"])).alias("parent_id"),
         ),
     )
     return F.transform(
-        read,
+        keyed,
         lambda e: F.struct(
-            *[e[k].alias(k) for k in ("by_id", "v", "s")],
+            e["by_id"].alias("by_id"),
+            e["v"].alias("v"),
             F.when(
                 e["parent_id"].isNotNull(),
                 F.try_element_at(F.filter(objects, lambda o: o["id"] == e["parent_id"]), F.lit(-1)),
@@ -171,27 +171,28 @@ def column_refs(relationships: Column, objects: Column, vendor: Column) -> Colum
             unquote_ident(table).alias("table_name"),
         )
 
-    def table(e: Column) -> Column:
+    def ref(e: Column, i: Column) -> Column:
+        def pick(*keys: str) -> Column:
+            return _pick(e["v"], lambda: F.get(relationship_ends(relationships, "variant"), i)["v"], *keys)
+
         p = e["parent"]
         own = named(
-            _pick(e, "vendor_name", "vendorName"), _pick(e, "db", "database"),
-            _pick(e, "schema"), _pick(e, "table", "tableName"),
+            pick("vendor_name", "vendorName"), pick("db", "database"), pick("schema"), pick("table", "tableName")
         )
         parent = named(p["vendor"], p["database"], p["schema"], p["name"])
-        dotted = dotted_name(_pick(e, "parentName"))
-        from_name = F.struct(
-            vendor.alias("vendor_name"), *[dotted[k].alias(k) for k in ("database", "schema", "table_name")]
+        from_name = F.when(e["by_id"] & p.isNull(), dotted_name(pick("parentName")))
+        return F.struct(
+            F.when(~e["by_id"], own).when(p.isNotNull(), parent).alias("t"),
+            from_name.alias("from_name"),
+            unquote_ident(pick("column", "name")).alias("column_name"),
         )
-        return F.when(~e["by_id"], own).when(p.isNotNull(), parent).otherwise(from_name)
 
-    found = F.transform(
-        resolve_parents(relationship_ends(relationships), objects),
-        lambda e: F.struct(unquote_ident(_pick(e, "column", "name")).alias("column_name"), table(e).alias("t")),
-    )
+    found = F.transform(resolve_parents(relationship_ends(relationships), objects), ref)
     refs = F.transform(
         F.filter(found, lambda x: x["column_name"] != ""),
         lambda x: F.struct(
-            *[x["t"][k].alias(k) for k in ("vendor_name", "database", "schema", "table_name")],
+            F.coalesce(x["t"]["vendor_name"], vendor).alias("vendor_name"),
+            *[F.coalesce(x["t"][k], x["from_name"][k]).alias(k) for k in ("database", "schema", "table_name")],
             x["column_name"].alias("column_name"),
         ),
     )
@@ -240,7 +241,8 @@ def upstream_ref(ref: Column, kind: str, ctx: RunContext) -> Column:
     path = upstream_path(*[ref[p] for p in parts if p != "vendor_name"])
     name = ref["column_name" if kind == "Column" else "table_name"]
     identity = F.struct(
-        compact_components(**{k: ref[p] for k, p in COMPONENTS.items() if p in parts}).alias("components"),
+        # Empty components become null, which the JSON leaves out.
+        F.struct(*[F.nullif(ref[p], F.lit("")).alias(k) for k, p in COMPONENTS.items() if p in parts]).alias("components"),
         F.array(*[F.lit(t) for t in MATCH_TYPES[kind]]).alias("matchTypeNames"),
         path.alias("fallbackQualifiedName"),
         F.lit(kind).alias("fallbackTypeName"),
@@ -263,14 +265,15 @@ def column_ref(ref: Column, ctx: RunContext) -> Column:
     return upstream_ref(ref, "Column", ctx)
 
 
-def _process_qn(ctx: RunContext) -> Column:
+def with_process_names(parsed: DataFrame, ctx: RunContext) -> DataFrame:
+    """Qualified names of the process and of the column process, hashed once."""
     ident = F.col("question_id")
-    return qn("process", ctx.connection_qn, ident, content_hash(ident, F.col("sql")))
-
-
-def _column_process_qn(ctx: RunContext) -> Column:
-    ident = F.col("question_id")
-    return qn("column_process", ctx.connection_qn, ident, content_hash(ident, F.col("sql"), F.lit("column")))
+    parts = (ident, F.col("sql"))
+    return bind(
+        parsed,
+        process_qn=qn("process", ctx.connection_qn, ident, content_hash(*parts)),
+        column_process_qn=qn("column_process", ctx.connection_qn, ident, content_hash(*parts, F.lit("column"))),
+    )
 
 
 def _record(kind: str, fallback: str, qualified_name: Column, inputs: Column, ctx: RunContext, **extra: Column) -> list[Column]:
@@ -299,25 +302,25 @@ def _record(kind: str, fallback: str, qualified_name: Column, inputs: Column, ct
 
 def process_record(ctx: RunContext) -> list[Column]:
     inputs = F.transform("tables", lambda t: table_ref(t, ctx))
-    return _record("Process", "Question %s", _process_qn(ctx), inputs, ctx)
+    return _record("Process", "Question %s", F.col("process_qn"), inputs, ctx)
 
 
 def column_process_record(ctx: RunContext) -> list[Column]:
     """Column process below its process, which it names by qualified name."""
     inputs = F.transform("columns", lambda c: column_ref(c, ctx))
-    parent = reference("Process", _process_qn(ctx))
-    return _record("ColumnProcess", "Question %s columns", _column_process_qn(ctx), inputs, ctx, process=parent)
+    parent = reference("Process", F.col("process_qn"))
+    return _record("ColumnProcess", "Question %s columns", F.col("column_process_qn"), inputs, ctx, process=parent)
 
 
 def processes(parsed: DataFrame, ctx: RunContext) -> DataFrame:
     """Processes of the records with source tables."""
-    return parsed.filter(F.size("tables") > 0).select(*process_record(ctx))
+    return with_process_names(parsed.filter(F.size("tables") > 0), ctx).select(*process_record(ctx))
 
 
 def column_processes(parsed: DataFrame, ctx: RunContext) -> DataFrame:
     """Column processes of the records that also have a process."""
     both = (F.size("tables") > 0) & (F.size("columns") > 0)
-    return parsed.filter(both).select(*column_process_record(ctx))
+    return with_process_names(parsed.filter(both), ctx).select(*column_process_record(ctx))
 
 
 def lineage(landed: DataFrame, ctx: RunContext, default_vendor: str = "") -> tuple[DataFrame, DataFrame]:
@@ -329,14 +332,14 @@ def lineage(landed: DataFrame, ctx: RunContext, default_vendor: str = "") -> tup
 
 def lineage_lines(landed: DataFrame, ctx: RunContext, default_vendor: str = "") -> DataFrame:
     """Both record sets in one pass, as ``(type_dir, qualified_name, json)``."""
-    parsed = parse_records(landed, default_vendor).filter(F.size("tables") > 0)
+    parsed = with_process_names(parse_records(landed, default_vendor).filter(F.size("tables") > 0), ctx)
 
     def line(kind: str, qualified_name: Column, json: Column) -> Column:
         return F.struct(F.lit(kind).alias("type_dir"), qualified_name.alias("qualified_name"), json.alias("json"))
 
     column_json = F.to_json(F.struct(*column_process_record(ctx)))
     both = F.array(
-        line("PROCESS", _process_qn(ctx), F.to_json(F.struct(*process_record(ctx)))),
-        line("COLUMNPROCESS", _column_process_qn(ctx), F.when(F.size("columns") > 0, column_json)),
+        line("PROCESS", F.col("process_qn"), F.to_json(F.struct(*process_record(ctx)))),
+        line("COLUMNPROCESS", F.col("column_process_qn"), F.when(F.size("columns") > 0, column_json)),
     )
     return parsed.select(F.inline(both)).filter(F.col("json").isNotNull())
