@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from catloom.functions import variants as V
-
 ROOT = "root"
 
 # Path segment of each kind of qualified name.
@@ -40,11 +38,6 @@ def root_key(c: Column) -> Column:
     return F.coalesce(F.nullif(F.nullif(c.cast("string"), F.lit("0")), F.lit("")), F.lit(ROOT))
 
 
-def variant_root_key(v: Column, json_path: str) -> Column:
-    """Same from a JSON field, where the *text* ``"0"`` is an id of its own."""
-    return F.coalesce(V.given(v, json_path), F.lit(ROOT))
-
-
 def qn(kind: str, connection_qn: Column | str, *parts: Column) -> Column:
     """Qualified name: connection, segment of the kind, id and (for lineage) hash."""
     return F.concat_ws("/", _col(connection_qn), F.lit(SEGMENTS[kind]), *[p.cast("string") for p in parts])

@@ -76,12 +76,12 @@ def iso_millis_strict(c: Column) -> Column:
     return _millis(c, STRICT, _STRICT_PARTS)
 
 
-def variant_millis(v: Column, json_path: str) -> Column:
-    """Epoch ms of a field that is ISO text, or already a number (cut to a whole)."""
-    text = V.json_text(v, json_path)
-    number = F.coalesce(V.at(v, json_path, "bigint"), V.at(v, json_path, "double").cast("bigint"))
+def variant_millis(v: Column) -> Column:
+    """Epoch ms of a value that is ISO text, or already a number (cut to a whole)."""
+    text = F.to_json(v)
+    number = F.coalesce(V.at(v, "$", "bigint"), V.at(v, "$", "double").cast("bigint"))
     return (
-        F.when(text.startswith('"'), iso_millis(V.at(v, json_path)))
+        F.when(text.startswith('"'), iso_millis(V.at(v, "$")))
         .when(text == "true", F.lit(1).cast("bigint"))
         .when(text == "false", F.lit(0).cast("bigint"))
         .when(text.rlike("^-?[0-9]"), number)

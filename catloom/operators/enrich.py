@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from catloom.context import RunContext
 from catloom.functions import variants as V
-from catloom.functions.identity import engine_name, qn, root_key, source_url, variant_root_key
+from catloom.functions.binding import bind
+from catloom.functions.identity import ROOT, engine_name, qn, root_key, source_url
 from catloom.functions.ordering import last_wins, with_item
 from catloom.functions.times import variant_millis
 
@@ -18,88 +19,121 @@ LIST_LIMIT = 10000
 STAGE_KINDS = {"mbql.stage/native": "native", "mbql.stage/mbql": "query"}
 
 
-def _certificate(raw: Column) -> list[Column]:
+_CARDS = "array<struct<card_id:string,card:struct<id:string>>>"
+_HISTORY = (
+    "certificate_status:string,certificate_status_message:string,created_at:variant,updated_at:variant,"
+    "last_edit_info_user:string"
+)
+
+
+def _read(landed: DataFrame, fields: str) -> DataFrame:
+    """Fields of the records, taken in one pass over each, as the struct ``f``."""
+    return bind(landed, f=V.at(F.col("raw"), "$", f"struct<{fields}>"))
+
+
+def _given(name: str) -> Column:
+    return V.given_text(F.col(f"f.{name}"), V.json_text(F.col("raw"), f"$.{name}"))
+
+
+def _plain(*names: str) -> list[Column]:
+    return [F.col(f"f.{n}").alias(n) for n in names]
+
+
+def _name() -> Column:
+    return F.coalesce(_given("name"), F.lit("")).alias("name")
+
+
+def _history() -> list[Column]:
     return [
-        V.at(raw, "$.certificate_status").alias("certificate_status"),
-        V.at(raw, "$.certificate_status_message").alias("certificate_status_message"),
-        variant_millis(raw, "$.created_at").alias("created_ms"),
-        variant_millis(raw, "$.updated_at").alias("updated_ms"),
-        V.given(raw, "$.last_edit_info_user").alias("updated_by"),
+        *_plain("certificate_status", "certificate_status_message"),
+        variant_millis(F.col("f.created_at")).alias("created_ms"),
+        variant_millis(F.col("f.updated_at")).alias("updated_ms"),
+        _given("last_edit_info_user").alias("updated_by"),
     ]
 
 
 def typed_collections(landed: DataFrame, host: str = "") -> DataFrame:
-    raw = F.col("raw")
-    ident = variant_root_key(raw, "$.id")
-    return landed.select(
+    rows = _read(
+        landed,
+        "id:string,name:string,description:string,slug:string,color:string,namespace:string,personal_owner_id:string",
+    )
+    ident = F.coalesce(_given("id"), F.lit(ROOT))
+    return rows.select(
         ident.alias("id"),
-        V.given_or_blank(raw, "$.name").alias("name"),
-        V.at(raw, "$.description").alias("description"),
-        V.at(raw, "$.slug").alias("slug"),
-        V.at(raw, "$.color").alias("color"),
-        V.at(raw, "$.namespace").alias("namespace"),
-        V.at(raw, "$.personal_owner_id").alias("personal_owner_id"),
-        V.at(raw, "$.personal_owner_id").isNotNull().alias("is_personal"),
+        _name(),
+        *_plain("description", "slug", "color", "namespace", "personal_owner_id"),
+        F.col("f.personal_owner_id").isNotNull().alias("is_personal"),
         source_url(host, "collection", ident).alias("source_url"),
         "seq",
     )
 
 
+def typed_summaries(landed: DataFrame) -> DataFrame:
+    """Dashboard summaries: what the cascade and the detail lookup need."""
+    return _read(landed, "id:string,collection_id:string").select(
+        *_plain("id"), _given("collection_id").alias("collection_id"), "seq"
+    )
+
+
 def typed_dashboards(landed: DataFrame, host: str = "") -> DataFrame:
     """Dashboard details. Newer card lists win over older ones; every slot counts,
     text cards too."""
+    rows = _read(
+        landed,
+        f"id:string,name:string,description:string,collection_id:string,dashcards:{_CARDS},ordered_cards:{_CARDS},{_HISTORY}",
+    )
+    cards = F.coalesce("f.dashcards", "f.ordered_cards")
     raw = F.col("raw")
-    cards = F.coalesce(V.elements(raw, "$.dashcards"), V.elements(raw, "$.ordered_cards"))
-    ident = V.at(raw, "$.id")
-    return landed.select(
-        ident.alias("id"),
-        V.given_or_blank(raw, "$.name").alias("name"),
-        V.at(raw, "$.description").alias("description"),
-        V.given(raw, "$.collection_id").alias("collection_id"),
-        source_url(host, "dashboard", ident).alias("source_url"),
+
+    def linked(card: Column, slot: Column) -> Column:
+        source = F.get(F.coalesce(V.elements(raw, "$.dashcards"), V.elements(raw, "$.ordered_cards")), slot)
+        is_question = V.given_text(card["card_id"], V.json_text(source, "$.card_id")).isNotNull()
+        return F.struct(slot.alias("slot"), F.when(is_question, card["card"]["id"]).alias("card_id"))
+
+    return rows.select(
+        *_plain("id"),
+        _name(),
+        *_plain("description"),
+        _given("collection_id").alias("collection_id"),
+        source_url(host, "dashboard", F.col("f.id")).alias("source_url"),
         F.coalesce(F.size(cards), F.lit(0)).alias("cards_count"),
-        F.filter(F.transform(cards, card_target), lambda c: c["card_id"].isNotNull()).alias("cards"),
-        *_certificate(raw),
+        F.filter(F.transform(cards, linked), lambda c: c["card_id"].isNotNull()).alias("cards"),
+        *_history(),
         "seq",
     )
 
 
-def card_target(card: Column, slot: Column) -> Column:
-    """Slot number and question of a card; null question for text cards."""
-    linked = F.when(V.is_given(card, "$.card_id"), V.at(card, "$.card.id"))
-    return F.struct(slot.alias("slot"), linked.alias("card_id"))
-
-
 def typed_questions(landed: DataFrame, host: str = "") -> DataFrame:
-    raw = F.col("raw")
-    ident = V.at(raw, "$.id")
-    return landed.select(
-        ident.alias("id"),
-        V.given_or_blank(raw, "$.name").alias("name"),
-        V.at(raw, "$.description").alias("description"),
-        V.given(raw, "$.collection_id").alias("collection_id"),
-        V.at(raw, "$.database_id").alias("database_id"),
-        V.at(raw, "$.dataset_query", "variant").alias("dataset_query"),
-        source_url(host, "question", ident).alias("source_url"),
-        V.given(raw, "$.creator_id").alias("created_by"),
-        *_certificate(raw),
+    rows = _read(
+        landed,
+        "id:string,name:string,description:string,collection_id:string,database_id:string,dataset_query:variant,"
+        f"creator_id:string,{_HISTORY}",
+    )
+    return rows.select(
+        *_plain("id"),
+        _name(),
+        *_plain("description", "database_id", "dataset_query"),
+        _given("collection_id").alias("collection_id"),
+        source_url(host, "question", F.col("f.id")).alias("source_url"),
+        _given("creator_id").alias("created_by"),
+        *_history(),
         "seq",
     )
 
 
 def typed_databases(landed: DataFrame, host: str = "") -> DataFrame:
     """Databases with the names their questions default to."""
-    raw = F.col("raw")
-    ident = V.at(raw, "$.id")
-    return landed.select(
-        ident.alias("id"),
-        V.at(raw, "$.name").alias("name"),
-        V.at(raw, "$.engine").alias("engine"),
-        V.has_key(raw, "$.details").alias("has_details"),
-        V.given_or_blank(raw, "$.details.dbname", "$.details.db", "$.name").alias("default_database"),
-        V.given_or_blank(raw, "$.details.schema").alias("default_schema"),
-        V.at(raw, "$.native_permissions").alias("native_permissions"),
-        source_url(host, "database", ident).alias("source_url"),
+    rows = _read(landed, "id:string,name:string,engine:string,details:variant,native_permissions:string")
+    details = F.col("f.details")
+    default_database = F.coalesce(V.given(details, "$.dbname", "$.db"), F.col("f.name"), F.lit(""))
+    return rows.select(
+        *_plain("id", "name", "engine"),
+        # A details key counts even if its value is null.
+        details.isNotNull().alias("has_details"),
+        default_database.alias("default_database"),
+        V.given_or_blank(details, "$.schema").alias("default_schema"),
+        *_plain("native_permissions"),
+        source_url(host, "database", F.col("f.id")).alias("source_url"),
         "seq",
     )
 

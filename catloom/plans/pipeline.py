@@ -71,7 +71,7 @@ def run_metadata(
     accepted = S.accepted_ids(collections)
 
     # Scope first: details are read only for what the cascade keeps.
-    summaries = S.cascade(E.typed_dashboards(landed.dashboards).select("id", "collection_id", "seq"), accepted)
+    summaries = S.cascade(E.typed_summaries(landed.dashboards), accepted)
     details, lost_dashboards = hydrate(summaries, landed.dashboard_details, "dashboard")
     dashboards = _staged(
         E.with_collection(E.typed_dashboards(details.select("raw", "seq"), ctx.host), collections),

@@ -87,7 +87,7 @@ def _(spark, sf):
 @query("hydrate_detail", """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, concat('Dashboard ', o_orderkey) AS name FROM orders WHERE o_orderkey % 17 <> 0""")
 def _(spark, sf):
-    summaries = E.typed_dashboards(rows(spark, sf, "l_dashboards")).select("id", "seq")
+    summaries = E.typed_summaries(rows(spark, sf, "l_dashboards"))
     got, _ = L.hydrate(summaries, responses(spark, sf, "l_dashboard_details"), "dashboard")
     return got.select("id", V.at(F.col("raw"), "$.name").alias("name"))
 
@@ -112,7 +112,7 @@ UNION ALL SELECT CASE WHEN p_partkey % 11 = 0 THEN 'question_query_fetch_failed'
 FROM part WHERE p_partkey % 11 IN (0, 2)""")
 def _(spark, sf):
     _, lists = L.unwrap_responses(responses(spark, sf, "l_events"), "collection")
-    summaries = E.typed_dashboards(rows(spark, sf, "l_dashboards")).select("id", "seq")
+    summaries = E.typed_summaries(rows(spark, sf, "l_dashboards"))
     _, details = L.hydrate(summaries, responses(spark, sf, "l_dashboard_details"), "dashboard")
     questions = E.typed_questions(rows(spark, sf, "l_questions"))
     _, queries = L.hydrate_queries(questions, responses(spark, sf, "l_question_queries"))
