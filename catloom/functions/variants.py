@@ -77,18 +77,23 @@ def fields(v: Column, json_path: str = "$") -> Column:
     return at(v, json_path, "map<string,variant>")
 
 
+def _if_holds(value: Column, test) -> Column:
+    """``value`` where the test holds, else null, evaluating ``value`` once."""
+    return F.get(F.filter(F.array(value), test), 0)
+
+
 def first_payload(raw: Column, keys: tuple[str, ...]) -> Column:
     """First of ``keys`` holding a non-empty object, given directly or as JSON text."""
 
     def usable(candidate: Column) -> Column:
-        return F.when(F.size(candidate) > 0, candidate)
+        return _if_holds(candidate, lambda m: F.size(m) > 0)
 
     tries = []
     for key in keys:
         tries.append(usable(fields(raw, f"$.{key}")))
         # Only text that opens an object is worth a parse.
-        text = at(raw, f"$.{key}")
-        tries.append(usable(fields(F.when(F.ltrim(text).startswith("{"), parse(text)))))
+        text = _if_holds(at(raw, f"$.{key}"), lambda t: F.ltrim(t).startswith("{"))
+        tries.append(usable(fields(parse(text))))
     return F.coalesce(*tries)
 
 
