@@ -40,12 +40,23 @@ def with_item(seq: Column, item: Column) -> Column:
     return F.struct(seq["source"].alias("source"), seq["block"].alias("block"), seq["row"].alias("row"), item.alias("item"))
 
 
+def for_join(key: str) -> Column:
+    """Second grouping column, decided by the key, for groups that join by the key.
+
+    Adaptive execution splits a hot partition of the other side only if both
+    sides of the join come straight from a shuffle. Groups by the key alone
+    would be joined where they are; with this column they get their own shuffle,
+    unless Spark finds them small enough to broadcast.
+    """
+    return F.pmod(F.xxhash64(key), F.lit(2)).alias("_half")
+
+
 def last_wins(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
     """Latest row per key. ``max_by`` combines before the shuffle, so a key with
     many copies sends one row per task."""
     rest = [c for c in df.columns if c != key]
     return (
-        df.groupBy(key)
+        df.groupBy(key, for_join(key))
         .agg(F.max_by(F.struct(*rest), F.col(seq)).alias("_last"))
         .select(F.col(key), *[F.col("_last")[c].alias(c) for c in rest])
     )

@@ -9,7 +9,7 @@ from catloom.context import RunContext
 from catloom.functions import variants as V
 from catloom.functions.binding import bind
 from catloom.functions.identity import ROOT, engine_name, qn, root_key, source_url
-from catloom.functions.ordering import last_wins, with_item
+from catloom.functions.ordering import for_join, last_wins, with_item
 from catloom.functions.times import variant_millis
 
 # A list longer than this is written as several records, one per slice of the input.
@@ -209,7 +209,7 @@ def card_slots(dashboards: DataFrame) -> DataFrame:
 
 def card_counts(slots: DataFrame) -> DataFrame:
     """Slots per question. Counting combines before the shuffle."""
-    return slots.groupBy("card_id").agg(F.count("*").alias("dashboard_count"))
+    return slots.groupBy("card_id", for_join("card_id")).agg(F.count("*").alias("dashboard_count")).drop("_half")
 
 
 def card_dashboards(slots: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:

@@ -26,7 +26,6 @@ def countable_items(items: DataFrame, collections: DataFrame, sel: Selection) ->
     personal = (
         collections.filter(F.col("personal_owner_id").isNotNull())
         .select(_plain_key(F.col("id")).alias("_personal"))
-        .distinct()
     )
     return kept.join(personal, key == F.col("_personal"), "left_anti")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catloom.functions.identity import root_key
+from catloom.functions.ordering import for_join
 
 KEY_BOUND = 1000
 
@@ -84,7 +85,8 @@ def filter_collections(collections: DataFrame, sel: Selection, ident: str = "id"
 
 def accepted_ids(collections: DataFrame, ident: str = "id") -> DataFrame:
     """Distinct root keys of the collections in scope."""
-    return collections.select(root_key(F.col(ident)).alias("id")).distinct()
+    ids = collections.select(root_key(F.col(ident)).alias("id"))
+    return ids.select("id", for_join("id")).distinct().select("id")
 
 
 def cascade(df: DataFrame, accepted: DataFrame, empty_means_all: bool = False, ident: str = "collection_id") -> DataFrame:
