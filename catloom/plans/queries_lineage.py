@@ -14,6 +14,7 @@ from catloom.plans.registry import CTX, query
 from catloom.plans.views import rows, view, with_ctes
 from catloom.session import shared_folder
 from catloom.sources.sinks import write_lineage
+from catloom.streaming.lineage_stream import stream_lineage
 
 # The expected rows, from the line items the records were made of.
 _RECORDS = """SELECT row_number() OVER () AS rec, l_partkey AS qid, l_suppkey AS s, l_linenumber AS n,
@@ -177,6 +178,15 @@ def _(spark, sf):
     )
 
 
+# The stream takes every landed file in one run; its rows are the batch job's.
+@query("stream_lineage", _sql(_JOB))
+def _(spark, sf):
+    root = shared_folder(spark, "stream")
+    view(spark, sf, "l_parsed").select("value").write.text(f"{root}/landed")
+    stream_lineage(spark, f"{root}/landed", f"{root}/sink", f"{root}/log", CTX, pattern="*.txt").awaitTermination()
+    return spark.read.parquet(f"{root}/sink").select("type_dir", "qualified_name", "json")
+
+
 @query("lineage_totals", _sql("SELECT 'lineage' AS stage, CAST((SELECT count(DISTINCT rec) FROM t) + (SELECT count(DISTINCT rec) FROM c WHERE n <> 5) AS BIGINT) AS n"))
 def _(spark, sf):
     return stage_totals(lineage=list(run_lineage(rows(spark, sf, "l_parsed"), CTX)))

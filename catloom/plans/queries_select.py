@@ -14,7 +14,7 @@ from catloom.plans.registry import query
 from catloom.plans.views import responses, rows, table, view, with_ctes
 from catloom.session import shared_folder
 from catloom.sources import landing as L
-from catloom.sources.ndjson import parse_lines, read_ndjson, write_ndjson
+from catloom.sources.ndjson import parse_lines, read_ndjson, read_ndjson_tree, write_ndjson
 
 SELECTION = S.Selection.parse(include={str(i): {} for i in [*range(1, 15), "root"]}, exclude='{"3": {}, "9": {}}')
 _IN = "id IN ('root','1','2','4','5','6','7','8','10','11','12','13','14')"
@@ -47,6 +47,20 @@ def _(spark, sf):
     return read_ndjson(spark, path)[0].groupBy(F.to_json("raw").alias("record")).agg(F.count("*").alias("n"))
 
 
+@query("ndjson_tree_scan", """
+SELECT replace(props, ' ', '') AS record, true AS parsed, count(*) AS n FROM events WHERE event_id % 50 > 1 GROUP BY 1
+UNION ALL SELECT 'not-json', false, count(*) FROM events WHERE event_id % 50 = 0""")
+def _(spark, sf):
+    root = shared_folder(spark, "tree")
+    lines = table(spark, sf, "events").select("event_type", F.expr(_LINE).alias("value"))
+    lines.write.partitionBy("event_type").text(root)
+    good, bad = read_ndjson_tree(spark, root, pattern="*.txt")
+    both = good.select(F.to_json("raw").alias("record"), F.lit(True).alias("parsed")).unionByName(
+        bad.select(F.col("value").alias("record"), F.lit(False).alias("parsed"))
+    )
+    return both.groupBy("record", "parsed").agg(F.count("*").alias("n"))
+
+
 @query("unwrap_array", """
 SELECT event_id AS n, 0 AS item, CAST(json_extract(props, '$.k') AS BIGINT) AS k
 FROM events WHERE event_type <> 'error' AND event_id % 3 = 0""")

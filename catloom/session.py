@@ -48,9 +48,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    key = "spark.checkpoint.dir"
+    context = spark.sparkContext
+    base = spark.conf.get(key, None) or context.getConf().get(key) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="catloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
