@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from catloom.plans import all_oracles, all_queries
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
