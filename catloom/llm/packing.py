@@ -60,7 +60,7 @@ class WordIds:
         for word in words:
             m = _PLAIN.fullmatch(word)
             parts[word] = (m[1], m[2]) if m and m[2] else (word,)
-        new = {p for ps in parts.values() for p in ps if p} - self.ids.keys()
+        new = {p for ps in parts.values() for p in ps if p}.difference(self.ids)
         plain = [p for p in new if (m := _PLAIN.fullmatch(p)) and not m[2]]
         for at in range(0, len(plain), 2000):
             self._learn_plain(plain[at : at + 2000])
@@ -85,10 +85,10 @@ class WordIds:
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         # The added tokens are told by case; other words may be lower-cased first.
         split = [[] if t is None else (t if b"<|" in t else t.lower()).split() for t in texts]
-        new = set().union(*split) - self.ids.keys()
+        new = set().union(*split).difference(self.ids)
         if new:
             self._learn(new)
-            if missing := set().union(*split) - self.ids.keys():  # after the memory was emptied
+            if missing := set().union(*split).difference(self.ids):  # after the memory was emptied
                 self._learn(missing)
         get = self.ids.__getitem__
         return [b"".join(map(get, words)) for words in split]
