@@ -73,3 +73,42 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catloom.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op1_hierarchical_language")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catloom.llm.common import remainder
+    from catloom.llm.language import identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    fold = remainder(F.col("doc_id"), 3)
+    model = train(docs.where(fold != 1))
+    found = identify(docs, model)
+    return found.select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_nb_svm_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catloom.llm.common import remainder
+    from catloom.llm.quality_model import labelled_rows, score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = remainder(F.col("doc_id"), 4)
+    model = train(labelled_rows(docs, table(spark, sf_dir, "labels")).where(fold != 2))
+    return score(docs, model).select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op2_mcd_outliers")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catloom.llm.outliers import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
+@query("op3_rotated_one_bit_neighbours")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catloom.llm.neighbours import build_index, search
+
+    index = build_index(table(spark, sf_dir, "embeddings"))
+    queries = index.where("vec_id % 20 = 0").select("vec_id", "embedding", "size")
+    return search(index, queries)
