@@ -134,3 +134,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catloom.llm.jaccard import link_components
 
     return link_components(table(spark, sf_dir, "documents"))
+
+
+@query("op6_hmm_likelihood")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catloom.llm.common import remainder
+    from catloom.llm.hmm import score_documents
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_documents(docs.withColumn("held_out", remainder(F.col("doc_id"), 7) == 2))
