@@ -39,6 +39,8 @@ STEP = 20
 ALIKE = 3
 #: A token is common from this share of the documents on; at most mean set size / share are.
 COMMON = 1 / 2000
+#: Bits in the map of documents whose sets a step needs.
+MARKS = 1 << 24
 #: Words kept with their hashes; beyond it the memory is emptied, which costs time only.
 MEMORY = 1_000_000
 
@@ -158,15 +160,35 @@ def _describe(docs: DataFrame, common: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(describe, schema)
 
 
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with the hashes of those ids (doc_id)."""
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
+    words = ids.select(at.alias("at")).groupBy(F.shiftright("at", 5).cast("int").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1, cast(at % 32 AS int)))").alias("bits")
+    )
+    out = np.zeros(MARKS // 32, np.int32)
+    for r in words.collect():  # at most MARKS / 32
+        out[r.word] = r.bits
+    return out
+
+
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, tokens of the documents whose id is in ``ids`` (doc_id)."""
+    """doc_id, tokens of at least the documents whose id is in ``ids`` (doc_id).
+
+    A bitmap of their hashes passes few others, so that no text has to be shuffled;
+    whoever joins the sets drops those.
+    """
+    marks = docs.sparkSession.sparkContext.broadcast(_marks(ids))
 
     def tokens(batches):
         for batch in batches:
-            sets = [shingles(_words(v)).view(np.int64) for v in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "tokens"])
+            at = batch.column(2).to_numpy()
+            marked = batch.filter(pa.array((marks.value[at >> 5] >> (at & 31).astype(np.int32)) & 1 == 1))
+            sets = [shingles(_words(v)).view(np.int64) for v in marked.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([marked.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "tokens"])
 
-    return docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").mapInArrow(tokens, "doc_id long, tokens array<long>")
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).alias("at")
+    return docs.where("doc_id is not null").select("doc_id", "text", at).mapInArrow(tokens, "doc_id long, tokens array<long>")
 
 
 def _unsigned(scalar) -> np.ndarray:
