@@ -26,7 +26,7 @@ from catloom.llm.common import keep
 
 STATES = 8
 #: Words with emissions of their own, and words that tasks know the counts of.
-EMITTED, KNOWN = 1 << 15, 1 << 18
+EMITTED, KNOWN = 1 << 15, 1 << 17
 #: Training documents that reach the driver for the first model, about, and their most words in all.
 SAMPLE, SAMPLE_WORDS = 1000, 1_000_000
 FIRST_ROUNDS, ROUNDS = 12, 2
@@ -84,10 +84,17 @@ class Words:
 
 def known_words(counts: DataFrame) -> Words:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.where("token <> X''").orderBy(F.desc("n"), "token").limit(KNOWN).collect()
+    # The least count that at most KNOWN words reach; there are far fewer counts than words.
+    by_count = counts.where("token <> X''").groupBy("n").count().orderBy(F.desc("n")).toArrow()
+    reached = np.cumsum(by_count["count"].to_numpy())
+    at = int(np.searchsorted(reached, KNOWN, side="right"))
+    least = by_count["n"][at - 1].as_py() if at else float("inf")
+    top = counts.where((F.col("token") != F.lit(b"")) & (F.col("n") >= least)).toArrow()
+    top = top.sort_by([("n", "descending"), ("token", "ascending")])
     ends = counts.where("token = X''").first()
-    n = np.array([0, ends.n if ends else 0, *[r.n for r in top]], float)
-    return Words({bytes(r.token): i + 2 for i, r in enumerate(top)}, np.log10(n + 1), n, total, distinct)
+    n = np.concatenate([[0, ends.n if ends else 0], top["n"].to_numpy()]).astype(float)
+    number = {word: i for i, word in enumerate(top["token"].to_pylist(), 2)}
+    return Words(number, np.log10(n + 1), n, total, distinct)
 
 
 def encode(docs: DataFrame, words: Words) -> DataFrame:
@@ -239,9 +246,9 @@ def train(encoded: DataFrame, words: Words, states: int = STATES, rounds: int =
     n = max(1, training.count())
     drawn = training.where(draw < min(1.0, SAMPLE / n)).select("doc_id", "size", "ids")
     texts, size = [], 0
-    for r in sorted(drawn.where(F.col("size") <= SAMPLE_WORDS // 10).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.ids)):
+    for ids in drawn.where(F.col("size") <= SAMPLE_WORDS // 10).orderBy("doc_id", "size").toArrow()["ids"]:
         if size < SAMPLE_WORDS:
-            ids = np.array(r.ids, np.int32)
+            ids = ids.values.to_numpy()
             texts.append(np.where(ids < emitted, ids, OTHER))
             size += len(ids)
     model = first_model(texts, plain, states)
