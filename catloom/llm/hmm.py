@@ -76,7 +76,9 @@ class Words:
         return min(len(self.counts), EMITTED + 2)
 
     def shares(self) -> np.ndarray:
-        """Plain shares of the emitted words, with all others in front."""
+        """Plain shares of the emitted words, with all others in front; of one if nothing was counted."""
+        if not self.total:
+            return np.ones(2)
         p = (self.counts[: self.emitted] + 1) / (self.total + self.distinct + 1)
         p[OTHER] = max(1 - p[1:].sum(), 1e-12)
         return p
