@@ -92,7 +92,7 @@ def first_payload(raw: Column, keys: tuple[str, ...]) -> Column:
     for key in keys:
         tries.append(usable(fields(raw, f"$.{key}")))
         # Only text that opens an object is worth a parse.
-        text = _if_holds(at(raw, f"$.{key}"), lambda t: F.ltrim(t).startswith("{"))
+        text = _if_holds(at(raw, f"$.{key}"), lambda t: t.rlike("^\\s*\\{"))
         tries.append(usable(fields(parse(text))))
     return F.coalesce(*tries)
 

@@ -115,3 +115,24 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, tmp_path):
     assert run() == batch()
     put(f"{src}/day2/b.json", record(3))
     assert run() == batch() and len(batch()) == 6
+
+
+def test_one_file_of_any_name_and_lines_of_tabs(spark, tmp_path):
+    from catloom.sources.ndjson import read_ndjson_tree
+
+    (tmp_path / "recs.ndjson").write_text('{"a": 1}\n\t\t\n{"a": 2}\nbad\n')
+    rows, rejected = read_ndjson_tree(spark, str(tmp_path / "recs.ndjson"))
+    assert rows.count() == 2 and [r.value for r in rejected.collect()] == ["bad"]
+    folder = tmp_path / "deep.json"
+    folder.mkdir()
+    (folder / "x.json").write_text('{"a": 1}\n')
+    (folder / "y.txt").write_text('{"a": 1}\n')
+    assert read_ndjson_tree(spark, str(folder))[0].count() == 1
+
+
+def test_payload_text_may_start_with_white_space(spark):
+    from catloom.functions import variants as V
+
+    df = spark.createDataFrame([('{"P": "\\n\\t{\\"k\\": 1}"}',), ('{"P": "no {"}',)], "v string")
+    got = df.select(V.first_payload(V.parse("v"), ("P",)).alias("m")).collect()
+    assert got[0].m is not None and got[1].m is None
