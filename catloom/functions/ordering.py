@@ -2,9 +2,9 @@
 
 Spark rows have no order, yet "last one wins" and "in order of appearance" need
 one. ``seq`` is a struct (source, block, row, item): the file, the start of its
-split, the row within it and the place inside a landed array. It compares field
-by field, and (source, block) names a slice of bounded size, which later splits
-groups too large for one task.
+split, the row within it and the place inside a landed array (null outside one).
+Card slots add a fifth field, ``slot``. It compares field by field, and
+``slice_of`` cuts it into stretches of bounded length.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 65536
+SLICE_ROWS = 4096
 
 
 def seq_from_file() -> Column:
@@ -21,7 +22,7 @@ def seq_from_file() -> Column:
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
-        F.lit(0).alias("item"),
+        F.lit(None).cast("int").alias("item"),
     )
 
 
@@ -32,12 +33,28 @@ def seq_from_number(c: Column, width: int = BLOCK_ROWS, source: str = "") -> Col
         F.lit(source).alias("source"),
         F.floor(n / F.lit(width)).cast("bigint").alias("block"),
         n.alias("row"),
-        F.lit(0).alias("item"),
+        F.lit(None).cast("int").alias("item"),
     )
 
 
-def with_item(seq: Column, item: Column) -> Column:
-    return F.struct(seq["source"].alias("source"), seq["block"].alias("block"), seq["row"].alias("row"), item.alias("item"))
+def with_slot(seq: Column, slot: Column) -> Column:
+    """Places inside one record, in order after the record's own place."""
+    return F.struct(*[seq[f].alias(f) for f in ("source", "block", "row", "item")], slot.alias("slot"))
+
+
+def slice_of(seq: Column) -> Column:
+    """A stretch of at most ``SLICE_ROWS`` records. Stretches compare as their records do.
+
+    Rows of a source either all hold one record or are all landed lists. The
+    first are cut by row; a list is cut by item.
+    """
+    row, item = seq["row"], seq["item"]
+    return F.struct(
+        seq["source"].alias("source"),
+        seq["block"].alias("block"),
+        F.when(item.isNull(), row - F.pmod(row, F.lit(SLICE_ROWS))).otherwise(row).alias("row"),
+        F.floor(item / SLICE_ROWS).alias("item"),
+    )
 
 
 def for_join(key: str) -> Column:

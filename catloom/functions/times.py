@@ -18,6 +18,9 @@ STRICT = (
     "(?:Z|([+-])([0-9]{2})(:?)([0-5][0-9])(?:\\10([0-5][0-9])(?:\\.([0-9]{1,6}))?)?)?$"
 )
 
+# What most values look like; both grammars hold it, and the built-in cast reads it.
+_COMMON = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\\.[0-9]{1,6})?(?:Z|[+-][0-9]{2}:[0-9]{2})?$"
+
 # Both shapes rewritten to: date | year | week | weekday | h | m | s | fraction |
 # zone sign | h | m | s | fraction.
 _LENIENT_PARTS = "$1$4-$2$5-$3$6|$7|$9|$10|$11|$13|$14|$15|$16|$17|$19|$20|$21"
@@ -62,18 +65,24 @@ def _millis(c: Column, shape: str, parts: str) -> Column:
     return F.when(c.rlike(shape), F.get(F.transform(F.array(fields), _from_parts), 0))
 
 
+def _common_or(c: Column, general: Column) -> Column:
+    """The built-in cast where it can read the value, else the general way."""
+    moment = F.when(c.rlike(_COMMON) & ~c.startswith("0000"), F.unix_micros(c.try_cast("timestamp")))
+    return F.coalesce(F.call_function("div", moment, F.lit(1000).cast("bigint")), general)
+
+
 def iso_millis(c: Column) -> Column:
     """Lenient ISO text to epoch ms; text without a zone is UTC, bad text is null.
 
     Takes dates alone, compact and week dates, any one separator before the
     clock, and shortened clocks.
     """
-    return _millis(F.replace(c, F.lit("Z"), F.lit("+00:00")), LENIENT, _LENIENT_PARTS)
+    return _common_or(c, _millis(F.replace(c, F.lit("Z"), F.lit("+00:00")), LENIENT, _LENIENT_PARTS))
 
 
 def iso_millis_strict(c: Column) -> Column:
     """Four layouts only: date ``T`` clock, each with or without fraction and zone."""
-    return _millis(c, STRICT, _STRICT_PARTS)
+    return _common_or(c, _millis(c, STRICT, _STRICT_PARTS))
 
 
 def variant_millis(v: Column) -> Column:

@@ -9,12 +9,9 @@ from catloom.context import RunContext
 from catloom.functions import variants as V
 from catloom.functions.binding import bind
 from catloom.functions.identity import ROOT, engine_name, qn, root_key, source_url
-from catloom.functions.ordering import for_join, last_wins, with_item
+from catloom.functions.ordering import for_join, last_wins, slice_of, with_slot
 from catloom.functions.times import variant_millis
 
-# A list longer than this is written as several records, one per slice of the input.
-LIST_LIMIT = 10000
-
 # Stage kinds of the newer query format.
 STAGE_KINDS = {"mbql.stage/native": "native", "mbql.stage/mbql": "query"}
 
@@ -203,7 +200,7 @@ def card_slots(dashboards: DataFrame) -> DataFrame:
     return dashboards.select("id", "seq", F.explode("cards").alias("_card")).select(
         F.col("_card.card_id").alias("card_id"),
         F.col("id").alias("dashboard_id"),
-        with_item(F.col("seq"), F.col("_card.slot").cast("int")).alias("seq"),
+        with_slot(F.col("seq"), F.col("_card.slot").cast("int")).alias("seq"),
     )
 
 
@@ -212,28 +209,23 @@ def card_counts(slots: DataFrame) -> DataFrame:
     return slots.groupBy("card_id", for_join("card_id")).agg(F.count("*").alias("dashboard_count")).drop("_half")
 
 
-def card_dashboards(slots: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
-    """Dashboards of each question in arrival order, ``(card_id, part, dashboard_ids)``.
+def card_dashboards(slots: DataFrame, sliced: bool = False) -> DataFrame:
+    """Dashboards of each question in arrival order, ``(card_id, dashboard_ids)``.
 
-    One list per question, unless it is longer than ``list_limit``. Such a
-    question gets one list per input slice, ordered by ``part``, so that no task
-    ever holds a list without bound. The lists together are always whole.
+    Slots are sorted per question and slice of the input, so a hot question's sorting
+    is spread over tasks; then its lists are laid end to end, in order. One record per
+    question holds its whole list, whatever the length. ``sliced`` returns the
+    lists before that, ``(card_id, part, dashboard_ids)``, for every question.
     """
-    hot = card_counts(slots).filter(F.col("dashboard_count") > list_limit).select(F.col("card_id").alias("_hot"))
-    marked = slots.join(hot, F.col("card_id") == F.col("_hot"), "left").select(
-        "card_id",
-        F.when(F.col("_hot").isNotNull(), F.struct("seq.source", "seq.block")).alias("part"),
-        "seq",
-        F.col("dashboard_id").cast("string").alias("dashboard_id"),
-    )
-    # Without this exchange Spark would group on the join's partitioning, which
-    # keeps all slices of a question in one task.
-    spread = marked.repartition("card_id", "part")
-    return spread.groupBy("card_id", "part").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("seq", "dashboard_id"))), lambda x: x["dashboard_id"]
-        ).alias("dashboard_ids")
+    listed = F.array_sort(F.collect_list(F.struct("seq", F.col("dashboard_id").cast("string").alias("dashboard_id"))))
+    pieces = slots.groupBy("card_id", slice_of(F.col("seq")).alias("part")).agg(
+        F.transform(listed, lambda x: x["dashboard_id"]).alias("dashboard_ids")
     )
+    if sliced:
+        return pieces
+    in_order = F.array_sort(F.collect_list(F.struct("part", "dashboard_ids")))
+    whole = F.flatten(F.transform(in_order, lambda x: x["dashboard_ids"])).alias("dashboard_ids")
+    return pieces.groupBy("card_id", for_join("card_id")).agg(whole).drop("_half")
 
 
 def with_dashboard_count(questions: DataFrame, slots: DataFrame) -> DataFrame:
@@ -247,7 +239,7 @@ def with_dashboard_count(questions: DataFrame, slots: DataFrame) -> DataFrame:
 
 
 def attach_dashboards(questions: DataFrame, lists: DataFrame) -> DataFrame:
-    """Questions with ``part`` and ``dashboard_ids``; without a dashboard, an empty list."""
+    """Questions with ``dashboard_ids``; without a dashboard, an empty list."""
     return (
         questions.join(lists, F.col("id") == F.col("card_id"), "left")
         .drop("card_id")
@@ -265,7 +257,7 @@ def reference(type_name: str, qualified_name: Column) -> Column:
 def edges(questions: DataFrame, lists: DataFrame, ctx: RunContext) -> DataFrame:
     """Question-to-dashboard edge records for questions on at least one dashboard.
 
-    The join is on finished lists: copies of a question each meet its lists, not
+    The join is on finished lists: copies of a question each meet its list, not
     every slot.
     """
     return (
@@ -274,7 +266,6 @@ def edges(questions: DataFrame, lists: DataFrame, ctx: RunContext) -> DataFrame:
         .select(
             F.coalesce("name", F.lit("")).alias("name"),
             F.col("id").alias("question_id"),
-            "part",
             F.array(reference(ctx.names.question, qn("question", ctx.connection_qn, F.col("id")))).alias("inputs"),
             F.transform(
                 "dashboard_ids",

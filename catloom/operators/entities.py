@@ -67,7 +67,6 @@ def project_edges(df: DataFrame) -> DataFrame:
     return df.select(
         F.coalesce("name", F.lit("")).alias("name"),
         "question_id",
-        "part",
         F.transform(found, lambda r: last_segment(r["uniqueAttributes"]["qualifiedName"])).alias("dashboard_ids"),
     )
 
@@ -168,10 +167,7 @@ def entity_questions(df: DataFrame, ctx: RunContext) -> DataFrame:
 
 
 def entity_bi_process(df: DataFrame, ctx: RunContext) -> DataFrame:
-    """Edge entities; inputs and outputs travel as attributes only.
-
-    The lists of a split edge share one qualified name and add up.
-    """
+    """Edge entities, one per question; inputs and outputs travel as attributes only."""
     n = ctx.names
     attributes = {
         "name": F.col("name"),

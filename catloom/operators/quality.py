@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from catloom.functions import variants as V
 from catloom.operators.selection import Selection, keep_selected
 
 
@@ -14,6 +15,12 @@ def _plain_key(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("None"))
 
 
+def landed_key(raw: Column, name: str) -> Column:
+    """An id of a landed record as readiness compares it: null is ``None``, a missing key is empty."""
+    field = f"$.{name}"
+    return F.when(V.has_key(raw, field), _plain_key(V.at(raw, field))).otherwise(F.lit(""))
+
+
 def countable_collections(collections: DataFrame, sel: Selection) -> DataFrame:
     shared = collections.filter(F.col("personal_owner_id").isNull())
     return keep_selected(shared, _plain_key(F.col("id")), sel)

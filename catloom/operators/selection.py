@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from catloom.functions.identity import root_key
 from catloom.functions.ordering import for_join
 
-KEY_BOUND = 1000
-
 
 def selection_keys(value: Any, strict: bool = True) -> frozenset[str]:
     """Ids named by one selection argument: an object, JSON text, or nothing.
@@ -64,18 +62,12 @@ class Selection:
 def keep_selected(df: DataFrame, key: Column, sel: Selection) -> DataFrame:
     """Rows whose key passes; excluding wins over including.
 
-    Short lists are literals in the filter. Longer ones become semi and anti
-    joins, so the plan does not grow with them.
+    The keys are literals of a set test, so no join is needed for them.
     """
-    for keys, how in ((sel.exclude, "left_anti"), (sel.include, "left_semi")):
-        if not keys:
-            continue
-        if len(keys) <= KEY_BOUND:
-            hit = key.isin(*sorted(keys))
-            df = df.filter(hit if how == "left_semi" else ~hit)
-        else:
-            ids = df.sparkSession.createDataFrame([(k,) for k in sorted(keys)], "_sel string")
-            df = df.withColumn("_key", key).join(ids, F.col("_key") == F.col("_sel"), how).drop("_key")
+    if sel.exclude:
+        df = df.filter(~key.isin(*sorted(sel.exclude)))
+    if sel.include:
+        df = df.filter(key.isin(*sorted(sel.include)))
     return df
 
 

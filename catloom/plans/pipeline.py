@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from catloom.context import RunContext
+from catloom.functions import variants as V
 from catloom.operators import enrich as E
 from catloom.operators import entities as N
+from catloom.operators import quality as Q
 from catloom.operators import selection as S
 from catloom.operators.lineage import lineage
 from catloom.operators.resolve import resolve_refs
-from catloom.sources.landing import hydrate, hydrate_queries
+from catloom.sources.landing import hydrate, hydrate_queries, unwrap_responses
 
 
 @dataclass(frozen=True)
@@ -20,6 +24,7 @@ class Landed:
     """Input of the metadata job.
 
     The first four are ``(raw, seq)`` rows; the details are landed responses.
+    ``lost`` holds failure rows of what was landed before.
     """
 
     collections: DataFrame
@@ -28,6 +33,27 @@ class Landed:
     databases: DataFrame
     dashboard_details: DataFrame
     question_queries: DataFrame
+    lost: DataFrame | None = None
+
+    @classmethod
+    def from_responses(
+        cls,
+        collections: DataFrame,
+        dashboards: DataFrame,
+        questions: DataFrame,
+        databases: DataFrame,
+        dashboard_details: DataFrame,
+        question_queries: DataFrame,
+    ) -> Landed:
+        """From landed list responses; lists that failed are in ``lost``."""
+        lists = [
+            unwrap_responses(collections, "collection"),
+            unwrap_responses(dashboards, "dashboard"),
+            unwrap_responses(questions, "question"),
+            unwrap_responses(databases, "database", envelope="data"),
+        ]
+        lost = reduce(DataFrame.unionByName, [failed for _, failed in lists])
+        return cls(*[rows for rows, _ in lists], dashboard_details, question_queries, lost)
 
 
 @dataclass(frozen=True)
@@ -58,7 +84,6 @@ def run_metadata(
     selection: S.Selection,
     ctx: RunContext,
     stage_root: str | None = None,
-    list_limit: int = E.LIST_LIMIT,
 ) -> Catalog:
     """Landed records to catalog entities.
 
@@ -71,24 +96,28 @@ def run_metadata(
     accepted = S.accepted_ids(collections)
 
     # Scope first: details are read only for what the cascade keeps.
-    summaries = S.cascade(E.typed_summaries(landed.dashboards), accepted)
+    summaries = _staged(S.cascade(E.typed_summaries(landed.dashboards), accepted), stage_root, "summaries")
     details, lost_dashboards = hydrate(summaries, landed.dashboard_details, "dashboard")
     dashboards = _staged(
         E.with_collection(E.typed_dashboards(details.select("raw", "seq"), ctx.host), collections),
         stage_root,
         "dashboards",
     )
-    slots = E.card_slots(dashboards)
+    slots = _staged(E.card_slots(dashboards), stage_root, "slots")
 
-    wanted = S.cascade(E.typed_questions(landed.questions, ctx.host), accepted)
+    wanted = _staged(S.cascade(E.typed_questions(landed.questions, ctx.host), accepted), stage_root, "wanted_questions")
     queries, lost_queries = hydrate_queries(wanted, landed.question_queries)
     known, rejected = E.with_query_context(
         E.with_collection(wanted, collections), queries, S.databases(E.typed_databases(landed.databases, ctx.host))
     )
     questions = _staged(E.with_dashboard_count(known, slots), stage_root, "questions")
+    # Edges need no counts: without a stage to read, leave them out.
     edges = _staged(
-        E.edges(questions, E.card_dashboards(slots, list_limit), ctx), stage_root, "questions_dashboards"
+        E.edges(questions if stage_root else known, E.card_dashboards(slots), ctx), stage_root, "questions_dashboards"
     )
+    lost = lost_dashboards.unionByName(lost_queries)
+    if landed.lost is not None:
+        lost = landed.lost.unionByName(lost)
 
     entities = N.all_entities(
         N.entity_collections(collections, ctx),
@@ -96,9 +125,51 @@ def run_metadata(
         N.entity_questions(questions, ctx),
         N.entity_bi_process(edges, ctx),
     )
-    return Catalog(
-        collections, dashboards, questions, edges, entities, rejected, lost_dashboards.unionByName(lost_queries)
+    return Catalog(collections, dashboards, questions, edges, entities, rejected, lost)
+
+
+def run_preflight(
+    collections: DataFrame, dashboards: DataFrame, questions: DataFrame, databases: DataFrame, selection: S.Selection
+) -> tuple[DataFrame, DataFrame]:
+    """Readiness from landed list responses: the checks, ``(name, n, passed)``, and the verdict.
+
+    A check passes if its list landed whole, whatever it counts; the permission check
+    also needs that nothing is missing. Dashboards and questions need the
+    collections too. A list that did not land has no count.
+    """
+    lists = {
+        "collections": (collections, *unwrap_responses(collections, "collection")),
+        "permissions": (databases, *unwrap_responses(databases, "database", envelope="data")),
+        "dashboards": (dashboards, *unwrap_responses(dashboards, "dashboard")),
+        "questions": (questions, *unwrap_responses(questions, "question")),
+    }
+
+    def field(name: str, key: str) -> DataFrame:
+        return lists[name][1].select(Q.landed_key(F.col("raw"), key).alias(key), V.at(F.col("raw"), "$.personal_owner_id").alias("personal_owner_id"))
+
+    counts = Q.preflight_counts(
+        field("collections", "id"),
+        field("dashboards", "collection_id"),
+        field("questions", "collection_id"),
+        E.typed_databases(lists["permissions"][1]),
+        selection,
+    )
+
+    def evidence(check: str, name: str) -> DataFrame:
+        given, _, lost = lists[name]
+        landed, failed = given.select(F.lit(1).alias("landed"), F.lit(0).alias("failed")), lost.select(F.lit(0), F.lit(1))
+        return landed.union(failed).agg(
+            F.lit(check).alias("name"), F.coalesce((F.sum("landed") > 0) & (F.sum("failed") == 0), F.lit(False)).alias("whole")
+        )
+
+    needs = [*((n, n) for n in lists), ("dashboards", "collections"), ("questions", "collections")]
+    whole = reduce(DataFrame.unionByName, [evidence(*n) for n in needs]).groupBy("name").agg(F.bool_and("whole").alias("whole"))
+    checks = counts.join(whole, "name").select(
+        "name",
+        F.when(F.col("whole"), F.col("n")).alias("n"),
+        (F.col("whole") & ((F.col("name") != "permissions") | (F.col("n") == 0))).alias("passed"),
     )
+    return checks, Q.readiness(checks)
 
 
 def with_connection(ctx: RunContext, connection: dict | None) -> RunContext:

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from catloom.context import WireNames
 from catloom.functions import variants as V
-from catloom.functions.ordering import seq_from_number, with_item
+from catloom.functions.ordering import seq_from_number, with_slot
 from catloom.operators import enrich as E
 from catloom.operators import entities as N
 from catloom.plans.pipeline import Catalog, Landed, run_metadata
 from catloom.plans.queries_select import _IN, SELECTION
 from catloom.plans.registry import CTX, query
-from catloom.plans.views import responses, rows, table, view, with_ctes
+from catloom.plans.views import pages, responses, rows, table, view, with_ctes
 from catloom.session import shared_folder
 from catloom.sources.sinks import write_entities
 
@@ -40,7 +40,7 @@ def _slots(spark, sf, width: int = 65536):
     return cards.select(
         F.col("card_id").cast("string").alias("card_id"),
         F.col("dashboard_id"),
-        with_item(seq_from_number(F.col("dashboard_id"), width), F.col("slot")).alias("seq"),
+        with_slot(seq_from_number(F.col("dashboard_id"), width), F.col("slot")).alias("seq"),
     )
 
 
@@ -55,13 +55,13 @@ def _(spark, sf):
     return lists.select("card_id", F.size("dashboard_ids").cast("bigint").alias("n"), F.array_join("dashboard_ids", ",").alias("dashboards"))
 
 
-# Most lists are longer than this limit, so most are split by input slice.
+# The lists of each input slice, for every question.
 @query("card_dashboards_split", with_ctes("""
-SELECT CAST(card_id AS VARCHAR) AS card_id, CASE WHEN total > 20 THEN dashboard_id // 4096 END AS block,
+SELECT CAST(card_id AS VARCHAR) AS card_id, dashboard_id // 4096 AS block,
   string_agg(CAST(dashboard_id AS VARCHAR), ',' ORDER BY dashboard_id, slot) AS dashboards
-FROM (SELECT *, count(*) OVER (PARTITION BY card_id) AS total FROM v_dashcards WHERE card_id <> 0) t GROUP BY 1, 2""", "v_dashcards"))
+FROM v_dashcards WHERE card_id <> 0 GROUP BY 1, 2""", "v_dashcards"))
 def _(spark, sf):
-    lists = E.card_dashboards(_slots(spark, sf, width=4096), list_limit=20)
+    lists = E.card_dashboards(_slots(spark, sf, width=4096), sliced=True)
     return lists.select("card_id", F.col("part.block").alias("block"), F.array_join("dashboard_ids", ",").alias("dashboards"))
 
 
@@ -266,6 +266,34 @@ def _(spark, sf):
     return run_metadata(landed(spark, sf), SELECTION, CTX, stage_root=shared_folder(spark, "stage")).entities
 
 
+def landed_lists(spark, sf) -> Landed:
+    return Landed.from_responses(
+        pages(spark, sf, "l_collections", "/api/collection"),
+        pages(spark, sf, "l_dashboards", "/api/dashboard"),
+        pages(spark, sf, "l_questions", "/api/card"),
+        pages(spark, sf, "l_databases", "/api/database", envelope="data"),
+        responses(spark, sf, "l_dashboard_details"),
+        responses(spark, sf, "l_question_queries"),
+    )
+
+
+# Dashboards arrive in lists, last id first, and edges keep that order.
+@query("all_entities_landed", _job_sql(_ALL_SQL.replace("ORDER BY d, slot", "ORDER BY d DESC, slot")))
+def _(spark, sf):
+    return run_metadata(landed_lists(spark, sf), SELECTION, CTX, stage_root=shared_folder(spark, "stage")).entities
+
+
+@query("landed_residuals", _job_sql("""
+SELECT unnest(['collections', 'dashboards', 'questions', 'databases']) || '_fetch_failed' AS category, CAST(1 AS BIGINT) AS n
+UNION ALL SELECT 'dashboard_detail_fetch_failed', count(*) FROM orders
+  JOIN acc a ON a.id = CASE WHEN o_custkey % 27 = 0 THEN 'root' ELSE CAST(o_custkey % 27 AS VARCHAR) END WHERE o_orderkey % 17 = 0 AND o_orderkey <> 0
+UNION ALL SELECT CASE WHEN p_partkey % 11 = 0 THEN 'question_query_fetch_failed' ELSE 'question_query_fetch_errored' END, count(*) FROM part
+  JOIN acc a ON a.id = CASE WHEN p_size % 27 = 0 THEN 'root' ELSE CAST(p_size % 27 AS VARCHAR) END WHERE p_partkey % 11 IN (0, 2) GROUP BY 1"""))
+def _(spark, sf):
+    lost = run_metadata(landed_lists(spark, sf), SELECTION, CTX, stage_root=shared_folder(spark, "stage")).residuals
+    return lost.groupBy("category").agg(F.count("*").alias("n"))
+
+
 @query("entity_sink_counts", _job_sql(f"SELECT type_dir, count(*) AS n FROM ({_ALL_SQL}) e GROUP BY type_dir"))
 def _(spark, sf):
     root = shared_folder(spark, "entities")

@@ -65,7 +65,8 @@ _CCOMP = _components(_PAIRS + """, concat('"columnName":"', col, '"')""")
 
 @query("lineage_tables", _sql("SELECT CAST(qid AS VARCHAR) AS question_id, sql, vendor_name, db, sch, tab FROM t"))
 def _(spark, sf):
-    refs = _parsed(spark, sf).select("question_id", "sql", F.explode("tables").alias("t"))
+    parsed = G.parse_records(rows(spark, sf, "l_parsed"), with_columns=False)
+    refs = parsed.select("question_id", "sql", F.explode("tables").alias("t"))
     return refs.select(
         "question_id", "sql", "t.vendor_name", F.col("t.database").alias("db"), F.col("t.schema").alias("sch"), F.col("t.table_name").alias("tab")
     )

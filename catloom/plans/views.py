@@ -194,6 +194,26 @@ def responses(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     )
 
 
+def pages(
+    spark: SparkSession, sf_dir: str, name: str, endpoint: str, envelope: str | None = None, failing: bool = True
+) -> DataFrame:
+    """Landed view as list responses of up to 100 records, last number first; one more response failed."""
+    lines = view(spark, sf_dir, name).groupBy(F.floor(F.col("n") / 100).alias("page"))
+    newest_first = F.reverse(F.array_sort(F.collect_list(F.struct("n", "value"))))
+    body = F.concat(F.lit("["), F.array_join(F.transform(newest_first, lambda r: r["value"]), ","), F.lit("]"))
+    if envelope:
+        body = F.concat(F.lit(f'{{"{envelope}":'), body, F.lit("}"))
+    place = seq_from_number(-F.col("page")).alias("seq")
+    path, nobody = F.lit(endpoint).alias("endpoint"), F.lit(None).cast("string").alias("record_id")
+    landed = lines.agg(body.alias("body")).select(path, nobody, F.lit(200).alias("http_status"), "body", place)
+    if not failing:
+        return landed
+    lost = spark.range(1).select(
+        path, nobody, F.lit(503).alias("http_status"), F.lit(None).cast("string").alias("body"), seq_from_number(F.col("id")).alias("seq")
+    )
+    return landed.unionByName(lost)
+
+
 def with_ctes(body: str, *names: str, **extra: str) -> str:
     """DuckDB text: views (and further named queries) in front of ``body``."""
     parts = [f"{n} AS ({VIEWS[n]})" for n in names] + [f"{n} AS ({sql})" for n, sql in extra.items()]

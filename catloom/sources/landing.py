@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from catloom.functions import variants as V
 from catloom.functions.binding import bind
-from catloom.functions.ordering import last_wins, with_item
+from catloom.functions.ordering import last_wins
 
 # Failure categories.
 LIST_FAILED = {
@@ -62,16 +62,19 @@ def unwrap_responses(landed: DataFrame, kind: str, envelope: str | None = None)
     and any other body gives no rows.
     """
     ok = succeeded(F.col("http_status"))
-    body = bind(landed.filter(ok), _body=V.parse(F.col("body")))
+    # The parts of seq travel as plain columns: Spark cannot take fields of a struct
+    # through two generators.
+    others = [c for c in landed.columns if c != "seq"]
+    place = ("source", "block", "row")
+    flat = landed.filter(ok).select(*others, *[F.col(f"seq.{f}").alias(f"_{f}") for f in place])
+    body = bind(flat, _body=V.parse(F.col("body")))
     items = V.elements(F.col("_body"))
     if envelope:
         items = F.coalesce(items, V.elements(F.col("_body"), f"$.{envelope}"))
-    rows = (
-        body.select("seq", F.posexplode(items).alias("_item", "raw"))
-        .select("raw", with_item(F.col("seq"), F.col("_item")).alias("seq"))
-    )
-    unreadable = body.filter(F.col("_body").isNull()).drop("_body")
-    failed = landed.filter(~ok).unionByName(unreadable)
+    exploded = body.select(*[f"_{f}" for f in place], F.posexplode(items).alias("_item", "raw"))
+    rows = exploded.select("raw", F.struct(*[F.col(f"_{f}").alias(f) for f in (*place, "item")]).alias("seq"))
+    unreadable = body.filter(F.col("_body").isNull()).select(*others)
+    failed = landed.filter(~ok).select(*others).unionByName(unreadable)
     return rows, residuals(failed, LIST_FAILED[kind])
 
 
@@ -86,11 +89,11 @@ def query_worklist(questions: DataFrame) -> DataFrame:
     return questions.filter(F.col("id").isNotNull() & V.is_given(F.col("dataset_query"), "$"))
 
 
-def _latest_response(landed: DataFrame) -> DataFrame:
-    return last_wins(
-        landed.select(F.col("record_id").cast("string").alias("record_id"), "endpoint", "http_status", "body", "seq"),
-        "record_id",
-    ).drop("seq")
+def _latest_response(landed: DataFrame, wanted: DataFrame, ident: str) -> DataFrame:
+    """Latest response of each wanted record; bodies out of scope are left behind first."""
+    given = landed.select(F.col("record_id").cast("string").alias("record_id"), "endpoint", "http_status", "body", "seq")
+    scope = wanted.select(F.col(ident).alias("_wanted"))
+    return last_wins(given.join(scope, F.col("record_id") == F.col("_wanted"), "left_semi"), "record_id").drop("seq")
 
 
 def hydrate(summaries: DataFrame, landed: DataFrame, kind: str, ident: str = "id") -> tuple[DataFrame, DataFrame]:
@@ -99,7 +102,7 @@ def hydrate(summaries: DataFrame, landed: DataFrame, kind: str, ident: str = "id
     A failed, unreadable or missing response costs that one record.
     """
     wanted = detail_worklist(summaries, ident).select(F.col(ident).cast("string").alias("id"), "seq")
-    got = _latest_response(landed)
+    got = _latest_response(landed, wanted, "id")
     joined = bind(
         wanted.join(got, wanted["id"] == got["record_id"], "left"),
         raw=F.when(succeeded(F.col("http_status")), V.parse(F.col("body"))),
@@ -123,7 +126,7 @@ def hydrate_queries(questions: DataFrame, landed: DataFrame) -> tuple[DataFrame,
     A response without a query gives neither a row nor a failure.
     """
     wanted = query_worklist(questions).select(F.col("id").cast("string").alias("question_id"), "seq")
-    got = _latest_response(landed)
+    got = _latest_response(landed, wanted, "question_id")
     joined = wanted.join(got, wanted["question_id"] == got["record_id"], "left")
     ok = succeeded(F.col("http_status"))
     joined = bind(joined, _body=F.when(ok, V.parse(F.col("body"))))

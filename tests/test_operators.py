@@ -5,15 +5,16 @@ from pyspark.sql import functions as F
 
 from catloom import RunContext, WireNames
 from catloom.functions import variants as V
-from catloom.functions.ordering import last_wins, seq_from_number, with_item
+from catloom.functions.ordering import last_wins, seq_from_number, with_slot
 from catloom.operators import enrich as E
 from catloom.operators import entities as N
 from catloom.operators import lineage as G
 from catloom.operators import quality as Q
 from catloom.operators import resolve as R
 from catloom.operators import selection as S
-from catloom.plans.pipeline import Landed, run_metadata, with_connection
+from catloom.plans.pipeline import Landed, run_metadata, run_preflight, with_connection
 from catloom.session import configure
+from catloom.sources import landing as L
 
 CTX = RunContext(connection_qn="c", connection_name="n", host="h", run_at_ms=1)
 
@@ -62,9 +63,7 @@ def test_selection_settings_take_either_spelling_and_the_first_that_names_ids():
 @pytest.mark.parametrize("include, exclude, kept", [
     ({}, {}, ["1", "2", "root"]), ({"1": {}}, {}, ["1"]), ({}, {"root": {}}, ["1", "2"]), ({"1": {}, "2": {}}, {"1": {}}, ["2"]),
 ])
-@pytest.mark.parametrize("bound", [1000, 0])
-def test_collections_exclude_beats_include(spark, monkeypatch, include, exclude, kept, bound):
-    monkeypatch.setattr(S, "KEY_BOUND", bound)
+def test_collections_exclude_beats_include(spark, include, exclude, kept):
     df = spark.createDataFrame([("root",), ("1",), ("2",)], "id string")
     assert sorted(r.id for r in S.filter_collections(df, S.Selection.parse(include, exclude)).collect()) == kept
 
@@ -138,21 +137,56 @@ def test_metadata_job(spark, tmp_path):
     assert sorted(tuple(r) for r in staged.entities.collect()) == entities
 
 
-def test_long_lists_split_by_slice_and_stay_whole(spark):
-    """A third of all slots belong to one card; no list exceeds its slice."""
-    n = 3000
+def test_a_hot_card_has_one_whole_list_from_bounded_slices(spark):
+    """A third of all slots belong to one card; no slice holds more than its stretch of the input."""
+    n = 30000
     slots = spark.range(n).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 700).cast("string"))).alias("card_id"),
         F.col("id").alias("dashboard_id"),
-        with_item(seq_from_number(F.col("id"), width=500), F.lit(0)).alias("seq"),
+        with_slot(seq_from_number(F.col("id")), F.lit(0)).alias("seq"),
     )
-    lists = E.card_dashboards(slots, list_limit=100).collect()
-    hot = sorted((r for r in lists if r.card_id == "hot"), key=lambda r: (r.part.source, r.part.block))
-    assert len(hot) == 6 and max(len(r.dashboard_ids) for r in hot) <= 167
-    assert [int(d) for r in hot for d in r.dashboard_ids] == list(range(0, n, 3))
-    cold = [r for r in lists if r.card_id != "hot"]
-    assert all(r.part is None for r in cold) and len({r.card_id for r in cold}) == len(cold)
-    assert sum(len(r.dashboard_ids) for r in lists) == n
+    lists = {r.card_id: r.dashboard_ids for r in E.card_dashboards(slots).collect()}
+    assert [int(d) for d in lists["hot"]] == list(range(0, n, 3))
+    assert sum(map(len, lists.values())) == n
+    parts = E.card_dashboards(slots, sliced=True).where("card_id = 'hot'").collect()
+    assert len(parts) == 8 and max(len(r.dashboard_ids) for r in parts) <= 1366
+
+
+def test_dashboards_of_one_landed_list_keep_its_order(spark):
+    """Card 7 stands twice on dashboards 20 and 10, which landed in one list in that order."""
+    cards = '"dashcards":[{"card_id":7,"card":{"id":7}},{"card_id":7,"card":{"id":7}}]'
+    body = f'[{{"id":20,{cards}}},{{"id":10,{cards}}}]'
+    got, lost = L.unwrap_responses(landed_rows(spark, [("/api/dashboard", None, 200, body, 1)]), "dashboard")
+    lists = E.card_dashboards(E.card_slots(E.typed_dashboards(got))).collect()
+    assert [(r.card_id, r.dashboard_ids) for r in lists] == [("7", ["20", "20", "10", "10"])]
+    assert lost.count() == 0
+
+
+@pytest.mark.parametrize("envelope", [None, "data"])
+def test_every_reader_takes_unwrapped_rows(spark, envelope):
+    body = '[{"id":1,"name":"a"},{"id":2,"name":"b"}]'
+    body = f'{{"data":{body}}}' if envelope else body
+    got, _ = L.unwrap_responses(landed_rows(spark, [("/api", None, 200, body, 5)]), "database", envelope=envelope)
+    for read in (E.typed_collections, E.typed_summaries, E.typed_dashboards, E.typed_questions, E.typed_databases):
+        rows = read(got).select("id", "seq.row", "seq.item").orderBy("id").collect()
+        assert [tuple(r) for r in rows] == [("1", 5, 0), ("2", 5, 1)]
+
+
+def test_preflight_tells_missing_null_and_lost(spark):
+    sel = S.Selection.parse(exclude={"None": {}})
+    good = landed_rows(spark, [("/api", None, 200, "[]", 1)])
+    boards = landed_rows(spark, [("/api", None, 200, '[{"id":1},{"id":2,"collection_id":null},{"id":3,"collection_id":4}]', 1)])
+    lost = landed_rows(spark, [("/api", None, 500, None, 1)])
+    checks, verdict = run_preflight(good, boards, lost, good, sel)
+    found = {r.name: (r.n, r.passed) for r in checks.collect()}
+    assert found == {"collections": (0, True), "permissions": (0, True), "dashboards": (2, True), "questions": (None, False)}
+    assert verdict.first().status == "PARTIAL"
+    assert run_preflight(lost, boards, good, good, sel)[1].first().status == "NOT_READY"
+
+
+def landed_rows(spark, rows):
+    df = spark.createDataFrame(rows, "endpoint string, record_id string, http_status int, body string, n long")
+    return df.select("endpoint", "record_id", "http_status", "body", seq_from_number(F.col("n")).alias("seq"))
 
 
 # --- entities -----------------------------------------------------------------
