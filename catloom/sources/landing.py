@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from catloom.functions import variants as V
 from catloom.functions.binding import bind
-from catloom.functions.ordering import last_wins
+from catloom.functions.ordering import for_join, last_wins
 
 # Failure categories.
 LIST_FAILED = {
@@ -90,10 +90,15 @@ def query_worklist(questions: DataFrame) -> DataFrame:
 
 
 def _latest_response(landed: DataFrame, wanted: DataFrame, ident: str) -> DataFrame:
-    """Latest response of each wanted record; bodies out of scope are left behind first."""
+    """Latest response of each wanted record; bodies out of scope are left behind first.
+
+    The scope joins by the two columns that ``last_wins`` groups by, so one shuffle
+    serves both, and the result gets its own for the join after it.
+    """
     given = landed.select(F.col("record_id").cast("string").alias("record_id"), "endpoint", "http_status", "body", "seq")
-    scope = wanted.select(F.col(ident).alias("_wanted"))
-    return last_wins(given.join(scope, F.col("record_id") == F.col("_wanted"), "left_semi"), "record_id").drop("seq")
+    scope = wanted.select(F.col(ident).alias("_wanted")).groupBy("_wanted", for_join("_wanted")).agg(F.lit(1).alias("_one"))
+    same = (F.col("record_id") == F.col("_wanted")) & (for_join("record_id") == F.col("_half"))
+    return last_wins(given.join(scope, same, "left_semi"), "record_id").drop("seq")
 
 
 def hydrate(summaries: DataFrame, landed: DataFrame, kind: str, ident: str = "id") -> tuple[DataFrame, DataFrame]:
