@@ -39,6 +39,8 @@ STEP = 20
 ALIKE = 3
 #: A token is common from this share of the documents on; at most mean set size / share are.
 COMMON = 1 / 2000
+#: Documents counted together before their common tokens are passed on, and tokens held meanwhile, about.
+TOGETHER, HELD = 8192, 4_000_000
 #: Bits in the map of documents whose sets a step needs.
 MARKS = 1 << 24
 #: Words kept with their hashes; beyond it the memory is emptied, which costs time only.
@@ -107,22 +109,31 @@ def _common_tokens(docs: DataFrame, n_docs: int) -> np.ndarray:
     """Tokens of at least ``COMMON`` of the documents, about; only the order of tokens hangs on them.
 
     Each task counts the distinct texts of a few thousand documents, and passes on
-    what is common there: what is common at all is so somewhere.
+    what is common there: what is common at all is so somewhere. Small partitions are
+    counted together, as in a few documents hardly anything occurs often enough.
     """
 
+    def common_of(sets):
+        tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
+        many = counts >= max(3, COMMON * len(sets))
+        return pa.RecordBatch.from_arrays([pa.array(tokens[many].view(np.int64)), pa.array(counts[many], pa.int64())], names=["token", "n"])
+
     def count(batches):
+        seen, sets, held = set(), [], 0
         for batch in batches:
-            seen, sets = set(), []
             for value in batch.column(0).cast(pa.binary()):
                 words = _words(value)
                 if (key := hash(tuple(words))) not in seen:
                     seen.add(key)
                     sets.append(shingles(words))
-            tokens, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, int))
-            many = counts >= max(3, COMMON * len(sets))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[many].view(np.int64)), pa.array(counts[many], pa.int64())], names=["token", "n"])
-
-    counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+                    held += len(sets[-1])
+                if len(sets) >= TOGETHER or held >= HELD:
+                    yield common_of(sets)
+                    seen, sets, held = set(), [], 0
+        if sets:
+            yield common_of(sets)
+
+    counted = docs.select("text").coalesce(max(1, -(-n_docs // TOGETHER))).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     tokens = [r.token for r in counted.where(F.col("n") >= max(3, COMMON * n_docs / 2)).select("token").collect()]
     return np.unique(np.array(tokens, np.int64).view(np.uint64))
 
