@@ -4,9 +4,13 @@ Two documents link when their sets of five-word shingles overlap by three quarte
 their union. Equal word sequences are one text. Texts that share a min-hash are held
 against the smallest id among them, and what links so forms a group of similar texts
 (cut into blocks of bounded size). The matrix has a row for each group and each token
-of its texts' prefixes: under one order of all tokens, common ones last, two texts
-that link share a token among their first quarter, and l tokens if prefixes are l - 1
-longer. A text is a query to each other group it shares that many such tokens with.
+of its texts' prefixes: under one order of all tokens, the commonest last, two texts
+that link share a token among the first seventh of the smaller and the first quarter
+of the larger, and l tokens if both are l - 1 longer. The matrix holds the shorter
+prefixes, and a text asks with its longer one for what is no larger than itself. So a
+passage that many texts share gets into the matrix only for texts it makes up almost
+whole, which link and are one group. A text is a query to each other group it shares
+enough such tokens with.
 There the group's token union bounds the overlap of the query with any member, and
 only groups whose bound reaches three quarters of the query are opened and compared
 text by text.
@@ -33,7 +37,7 @@ WORDS = 5
 SLOTS = 8
 #: Texts in a block of a group, and queries to a block in one task, about.
 MEMBERS, ASKERS = 64, 1000
-#: Prefixes are longer by a token for each so many, and then share one more.
+#: Prefixes are longer by a token for each so many, and then share one more (in the matrix, for rare tokens only).
 STEP = 20
 #: Slots a text shares with the smallest id before they are compared.
 ALIKE = 3
@@ -85,9 +89,18 @@ def least_overlap(n: int) -> int:
     return (3 * n + 3) // 4
 
 
-def shared_prefix(n: int) -> int:
-    """How many tokens the prefixes of two linked sets share, if the smaller has n."""
-    return 1 + n // STEP
+def prefixes(n: int, rare: int) -> tuple[int, int, int]:
+    """Leading tokens that a set of n, of which so many are rare, asks with, those it has in
+    the matrix, and how many of the latter any larger set that it links to asks with.
+
+    Sets of a and b that link share o >= 3 (a + b) / 7 tokens, of which the l-th stands
+    among the first a - o + l of the one and b - o + l of the other. For the larger, o is
+    at least 3/4 of its size, for the smaller 6/7.
+    """
+    asks = n - least_overlap(n) + 1 + n // STEP
+    alone = n - (6 * n + 6) // 7 + 1
+    more = min(n // STEP, max(0, rare - alone))
+    return asks, alone + more, 1 + more
 
 
 def links(common: int, a: int, b: int) -> bool:
@@ -105,8 +118,8 @@ def _words(value) -> list[bytes]:
     return (value.as_py() or b"").lower().split()
 
 
-def _common_tokens(docs: DataFrame, n_docs: int) -> np.ndarray:
-    """Tokens of at least ``COMMON`` of the documents, about; only the order of tokens hangs on them.
+def _common_tokens(docs: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of at least ``COMMON`` of the documents and their counts, about; only the order of tokens hangs on them.
 
     Each task counts the distinct texts of a few thousand documents, and passes on
     what is common there: what is common at all is so somewhere. Small partitions are
@@ -134,40 +147,48 @@ def _common_tokens(docs: DataFrame, n_docs: int) -> np.ndarray:
             yield common_of(sets)
 
     counted = docs.select("text").coalesce(max(1, -(-n_docs // TOGETHER))).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    tokens = [r.token for r in counted.where(F.col("n") >= max(3, COMMON * n_docs / 2)).select("token").collect()]
-    return np.unique(np.array(tokens, np.int64).view(np.uint64))
+    found = counted.where(F.col("n") >= max(3, COMMON * n_docs / 2)).toArrow()
+    tokens, counts = found.column("token").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], counts[order]
 
 
-def _describe(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, print (of the words), mins, prefix of every document."""
+def _describe(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """doc_id, n_shingles, print (of the words), mins, prefix, listed, need of every document.
+
+    The first ``listed`` tokens of ``prefix`` go into the matrix; a larger text that links has ``need`` of them.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def describe(batches):
-        common = shared.value
+        common, counts = shared.value
         for batch in batches:
             rows = []
             for value in batch.column(1).cast(pa.binary()):
                 words = _words(value)
                 x = shingles(words)
                 if not len(x):
-                    rows.append((0, None, None, None))
+                    rows.append((0, None, None, None, None, None))
                     continue
                 mins = [int(mixed(x * seed).min().view(np.int64)) for seed in _SEEDS]
                 at = np.searchsorted(common, x)
                 at[at == len(common)] = 0
                 hot = common[at] == x if len(common) else np.zeros(len(x), bool)
-                prefix = np.concatenate([x[~hot], x[hot]])[: len(x) - least_overlap(len(x)) + shared_prefix(len(x))]
-                rows.append((len(x), hashlib.blake2b(b" ".join(words), digest_size=16).digest(), mins, prefix.view(np.int64)))
-            n, prints, mins, prefix = zip(*rows) if rows else ((), (), (), ())
+                asks, listed, need = prefixes(len(x), int((~hot).sum()))
+                last = x[hot][np.argsort(counts[at[hot]], kind="stable")] if hot.any() else x[:0]
+                prefix = np.concatenate([x[~hot], last])[:asks]
+                rows.append((len(x), hashlib.blake2b(b" ".join(words), digest_size=16).digest(), mins, prefix.view(np.int64), listed, need))
+            n, prints, mins, prefix, listed, need = zip(*rows) if rows else ((), (), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()),
                     pa.array(mins, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64())),
+                    pa.array(listed, pa.int64()), pa.array(need, pa.int64()),
                 ],
-                names=["doc_id", "n_shingles", "print", "mins", "prefix"],
+                names=["doc_id", "n_shingles", "print", "mins", "prefix", "listed", "need"],
             )
 
-    schema = "doc_id long, n_shingles long, print binary, mins array<long>, prefix array<long>"
+    schema = "doc_id long, n_shingles long, print binary, mins array<long>, prefix array<long>, listed long, need long"
     return docs.select("doc_id", "text").mapInArrow(describe, schema)
 
 
@@ -231,23 +252,24 @@ def _star_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
 def _group_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b: a link between texts of different groups, at least one for any two blocks that have one.
 
-    ``texts``: doc_id, n_shingles, prefix, grp.
+    ``texts``: doc_id, n_shingles, prefix, listed, need, grp.
     """
     blocks = texts.groupBy("grp").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks")).where("blocks > 1")
     block = F.pmod(F.xxhash64("doc_id"), F.coalesce(F.col("blocks"), F.lit(1)))
-    placed = keep(texts.drop("prefix").join(blocks, "grp", "left").select("doc_id", F.col("n_shingles").alias("n"), "grp", block.alias("block")).distinct(), "blocks")
-    # Only tokens that two groups have matter. A window, so that the rows shuffle once.
+    placed = texts.join(blocks, "grp", "left").select("doc_id", F.col("n_shingles").alias("n"), "need", "grp", block.alias("block"))
+    placed = keep(placed.distinct(), "blocks")
+    # Only tokens that two groups have, one in the matrix, matter. A window, so that the rows shuffle once.
     token = W.partitionBy("token")
-    rows = texts.select(F.explode("prefix").alias("token"), "doc_id", "grp")
-    rows = rows.withColumn("low", F.min("grp").over(token)).withColumn("high", F.max("grp").over(token))
-    rows = keep(rows.where("low < high").select("token", "doc_id").join(placed, "doc_id"), "shared-tokens")
-    matrix = rows.groupBy("token", "grp", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    rows = texts.select(F.posexplode("prefix").alias("at", "token"), "listed", "doc_id", "grp").withColumn("listed", F.col("at") < F.col("listed"))
+    rows = rows.withColumn("low", F.min("grp").over(token)).withColumn("high", F.max("grp").over(token)).withColumn("any", F.max("listed").over(token))
+    rows = keep(rows.where("low < high and any").select("token", "listed", "doc_id").join(placed, "doc_id"), "shared-tokens")
+    matrix = rows.where("listed").groupBy("token", "grp", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("need").alias("need"))
     asking = rows.select("token", "doc_id", "n", F.col("grp").alias("own"))
-    fits = (F.col("own") > F.col("grp")) & (3 * F.col("least") <= 4 * F.col("n")) & (4 * F.col("most") >= 3 * F.col("n"))
-    met = asking.join(matrix, "token").where(fits).groupBy("doc_id", "n", "grp", "block").agg(F.count("*").alias("shared"))
-    # A partner may be smaller by a quarter.
-    enough = F.col("shared") >= 1 + F.floor(F.floor((3 * F.col("n") + 3) / 4) / STEP)
-    asked = keep(met.where(enough).select("doc_id", "grp", "block"), "asked")
+    # The larger text asks; of two of one size, that of the larger group does.
+    smaller = (F.col("least") < F.col("n")) | ((F.col("least") == F.col("n")) & (F.col("own") > F.col("grp")))
+    fits = (F.col("own") != F.col("grp")) & smaller & (4 * F.col("most") >= 3 * F.col("n"))
+    met = asking.join(matrix, "token").where(fits).groupBy("doc_id", "n", "grp", "block").agg(F.count("*").alias("shared"), F.min("need").alias("need"))
+    asked = keep(met.where("shared >= need").select("doc_id", "grp", "block").distinct(), "asked")
     salts = asked.groupBy("grp", "block").agg(F.ceil(F.count("*") / ASKERS).alias("salts"))
     members = placed.select("doc_id", "grp", "block").join(salts, ["grp", "block"])
     sets = keep(_sets(docs, asked.select("doc_id").union(members.select("doc_id")).distinct()), "sets")
@@ -295,7 +317,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     stars = keep(_star_links(docs, described_texts.select("doc_id", "mins")), "stars")
     groups = components(stars)
     grouped = described_texts.join(groups, described_texts.doc_id == groups.node, "left").select(
-        "doc_id", "n_shingles", "prefix", F.coalesce("component", "doc_id").alias("grp")
+        "doc_id", "n_shingles", "prefix", "listed", "need", F.coalesce("component", "doc_id").alias("grp")
     )
     between = keep(_group_links(docs, grouped), "between")
     found = components(same.toDF("a", "b").union(stars).union(between))
