@@ -238,6 +238,26 @@ def test_links(spark, docs):
         assert (r.component_id, r.n_shingles) == (find(r.doc_id), len(sets[r.doc_id]))
 
 
+def test_prefixes_of_linked_sets_meet():
+    """Sets around the threshold, most tokens common, in one order of all tokens: linked ones share what the matrix asks for."""
+    rng = np.random.default_rng(7)
+    met = 0
+    for _ in range(3000):
+        shared, rest = int(rng.integers(1, 150)), rng.integers(0, 40, 2)
+        a, b = [np.sort(rng.permutation(400)[:shared])] * 2
+        a, b = [np.unique(np.concatenate([s, rng.integers(400 * (i + 1), 400 * (i + 2), r)])) for i, (s, r) in enumerate(zip((a, b), rest))]
+        a, b = sorted((a, b), key=len)
+        if not jaccard.links(shared, len(a), len(b)):
+            continue
+        order, rare = rng.permutation(1200), int(rng.integers(0, 1200))
+        small, large = a[np.argsort(order[a])], b[np.argsort(order[b])]
+        _, listed, need = jaccard.prefixes(len(a), int((order[a] < rare).sum()))
+        asks, _, _ = jaccard.prefixes(len(b), int((order[b] < rare).sum()))
+        assert len(np.intersect1d(small[:listed], large[:asks])) >= need
+        met += 1
+    assert met > 500
+
+
 def test_pipeline_stages(spark, docs):
     sf = "/root/testdata/sf0.001"
     table = spark.read.parquet(f"{sf}/documents.parquet")
