@@ -2,9 +2,9 @@
 
 Each text gives a vector of four transformed statistics. Per language and source, a
 minimum-covariance-determinant estimate says where most vectors lie: concentration
-steps keep the three quarters of a group nearest to the current centre and estimate
-centre and covariance from them again, from two starts, and the estimate of smaller
-determinant stays. A text is rejected if its squared Mahalanobis distance is over a
+steps keep the half of a group nearest to the current centre and estimate centre and
+covariance from them again, from two starts, and the estimate of smaller determinant
+stays. So junk of up to nearly half of a group cannot carry the estimate along. A text is rejected if its squared Mahalanobis distance is over a
 cutoff. Everything is built-in expressions; a step is one aggregation.
 
 Vectors are whole thousandths and their sums whole numbers, so results do not depend
@@ -27,6 +27,8 @@ PAIRS = tuple((i, j) for i in DIMS for j in DIMS if j <= i)
 #: repeated lines, repeated words per hundred words, all as logarithms.
 FLOORS = (150, 400, 500, 650)
 STEPS = 5
+#: Share of a group that a step keeps, as a fraction, in ``judge``.
+KEPT = (1, 2)
 #: Sources with fewer vectors in a language are estimated together.
 FEW = 50
 #: Chi-square with four degrees of freedom: median, and one in a million.
@@ -123,17 +125,24 @@ def _bins(vectors: DataFrame, params: DataFrame) -> DataFrame:
     )
 
 
-def _starts(vectors: DataFrame) -> DataFrame:
-    """Start 0: medians and quartile spreads, from counts of values. Start 1: plain mean and covariance."""
-    values = vectors.selectExpr("g", f"stack({len(DIMS)}, {', '.join(f'{i}, x{i}' for i in DIMS)}) AS (dim, x)")
-    counts = values.groupBy("g", "dim", "x").agg(F.expr("count(*)").alias("k"))
+def _middles(counts: DataFrame) -> DataFrame:
+    """g, dim and m, the median of x, of counts k by g, dim and x."""
     upto = counts.selectExpr(
         "*", "sum(k) OVER (PARTITION BY g, dim ORDER BY x) AS upto", "sum(k) OVER (PARTITION BY g, dim) AS total"
     )
-    quartile = [F.expr(f"min(x) FILTER (WHERE 4 * upto >= {q} * total)").alias(f"q{q}") for q in (1, 2, 3)]
-    spread = upto.groupBy("g", "dim").agg(*quartile)
+    return upto.groupBy("g", "dim").agg(F.expr("min(x) FILTER (WHERE 2 * upto >= total)").alias("m"))
+
+
+def _starts(vectors: DataFrame) -> DataFrame:
+    """Start 0: medians and median absolute deviations, from counts of values. Start 1: plain mean and covariance."""
+    values = vectors.selectExpr("g", f"stack({len(DIMS)}, {', '.join(f'{i}, x{i}' for i in DIMS)}) AS (dim, x)")
+    counts = keep(values.groupBy("g", "dim", "x").agg(F.expr("count(*)").alias("k")), "mcd-values")
+    middles = keep(_middles(counts), "mcd-middles")
+    away = counts.join(middles, ["g", "dim"]).selectExpr("g", "dim", "abs(x - m) AS x", "k")
+    away = _middles(away.groupBy("g", "dim", "x").agg(F.sum("k").alias("k"))).withColumnRenamed("m", "away")
     floor = f"element_at(array({', '.join(map(str, FLOORS))}), dim)"
-    spread = spread.selectExpr("g", "dim", "CAST(q2 AS DOUBLE) AS m", f"sqrt(pow((q3 - q1) / 1.349D, 2) + {floor} * {floor}) AS l")
+    spread = middles.join(away, ["g", "dim"])
+    spread = spread.selectExpr("g", "dim", "CAST(m AS DOUBLE) AS m", f"sqrt(pow(1.4826D * away, 2) + {floor} * {floor}) AS l")
     pick = [F.expr(f"max(m) FILTER (WHERE dim = {i})").alias(f"m{i}") for i in DIMS]
     pick += [F.expr(f"max(l) FILTER (WHERE dim = {i})" if i == j else "0.0D").alias(f"l{i}{j}") for i, j in PAIRS]
     robust = spread.groupBy("g").agg(*pick).withColumn("start", F.lit(0))
@@ -141,11 +150,14 @@ def _starts(vectors: DataFrame) -> DataFrame:
     return robust.unionByName(_estimate(plain))
 
 
-def estimates(vectors: DataFrame) -> DataFrame:
-    """g, means, triangle and ``scale`` of each group of ``vectors`` (g, x1 to x4); small tables between steps are kept."""
+def estimates(vectors: DataFrame, kept: tuple[int, int] = (3, 4)) -> DataFrame:
+    """g, means, triangle and ``scale`` of each group of ``vectors`` (g, x1 to x4); small tables between steps are kept.
+
+    A step keeps the share ``kept`` of a group; junk of more than the rest breaks the estimate.
+    """
     params = keep(_starts(vectors), "mcd-start")
     for step in range(STEPS):
-        taken = _bins(vectors, params).where("4 * nearer < 3 * total")
+        taken = _bins(vectors, params).where(f"{kept[1]} * nearer < {kept[0]} * total")
         sums = [F.sum(c).alias(c) for c in [f"s{i}" for i in DIMS] + [f"q{i}{j}" for i, j in PAIRS]]
         params = keep(_estimate(taken.groupBy("g", "start").agg(F.sum("k").alias("n"), *sums)), f"mcd-{step}")
     size = " * ".join(f"l{i}{i}" for i in DIMS)
@@ -179,7 +191,7 @@ def judge(docs: DataFrame, *carry: str) -> DataFrame:
     groups = keep(sizes.select(F.col("_lang").alias("a"), F.col("_source").alias("b"), group.alias("g")), "mcd-groups")
     within = F.col("_lang").eqNullSafe(F.col("a")) & F.col("_source").eqNullSafe(F.col("b"))
     vectors = keep(passed.join(groups, within).select("g", *vector()), "vectors")
-    found = groups.join(estimates(vectors), "g")
+    found = groups.join(estimates(vectors, KEPT), "g")
     placed = distance(stats.join(found, within, "left").select("*", *vector_or_null()))
     kept = F.coalesce(~F.col("base_failed") & (F.col("d2") <= CUTOFF * F.col("scale")), F.lit(False))
     return placed.select(

@@ -93,6 +93,21 @@ def test_outliers_equal_a_plain_computation(spark):
     assert sum(rejected) == 80 and all(r.x4 == 2000 for r, bad in zip(got, rejected) if bad)
 
 
+@pytest.mark.parametrize("copies", [False, True])
+def test_a_third_and_more_of_junk_is_rejected(spark, copies):
+    """35 % junk in one language and source, each of its own or copies of one text: all of it goes, all else stays."""
+    rng = np.random.default_rng(8)
+    clean = [" ".join("w" * n for n in rng.integers(3, 8, 120) + rng.integers(0, 2)) for _ in range(390)]
+    # Windows of eight words differ, so that only the symbols tell.
+    clean = [" ".join(f"{w[:-1]}{chr(97 + j % 26)}{chr(97 + j // 26)}" for j, w in enumerate(t.split())) for t in clean]
+    one = " ".join(f"{w}{'#' if j % 2 else ''}" for j, w in enumerate(clean[0].split()))
+    junk = [one if copies else " ".join(f"{w}{'#' if j % int(rng.integers(2, 5)) == 0 else ''}" for j, w in enumerate(t.split())) for t in clean[:210]]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(clean + junk)], "doc_id long, text string, lang string, source string")
+    got = outliers.judge(df).collect()
+    assert not any(r.base_failed for r in got)
+    assert {r.doc_id for r in got if not r.kept} == set(range(390, 600))
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((600, 24)).astype(np.float32)
