@@ -4,9 +4,10 @@ States emit words; the commonest ``EMITTED`` words have emissions of their own,
 other words share one, divided among them by their counts (plus one, with one share
 for words never seen). Baum-Welch: each task runs the scaled forward and backward
 recursions over its documents and sums expected counts, Spark adds them by word, and
-the driver turns them into the next model. The first model comes from a few rounds
-over a bounded sample; then every training document takes part in each round. A text
-is scored by the exact scaled forward recursion.
+the driver turns them into the next model. The first model leans the plain frequencies
+at random, by a fixed seed; every training document takes part in each round, and the
+rounds end when the likelihood settles. A text is scored by the exact scaled forward
+recursion.
 
 Documents run side by side in lanes: a step of the recursion serves one word of each.
 """
@@ -27,9 +28,8 @@ from catloom.llm.common import keep
 STATES = 8
 #: Words with emissions of their own, and words that tasks know the counts of.
 EMITTED, KNOWN = 1 << 15, 1 << 17
-#: Training documents that reach the driver for the first model, about, and their most words in all.
-SAMPLE, SAMPLE_WORDS = 1000, 1_000_000
-FIRST_ROUNDS, ROUNDS = 12, 2
+#: Rounds end when the log likelihood a word (natural) grows by less.
+SETTLED = 0.001
 #: Words a task works on at a time; how strongly emissions lean to the plain frequencies.
 CHUNK, LEAN = 600_000, 500.0
 #: Words a task counts before it passes them on.
@@ -204,19 +204,13 @@ def improved(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, plain: np
     )
 
 
-def first_model(texts: list[np.ndarray], plain: np.ndarray, states: int = STATES, seed: int = 3) -> Model:
-    """Rounds over a sample, from random leanings of the plain frequencies and states that last."""
+def first_model(plain: np.ndarray, states: int = STATES, seed: int = 3) -> Model:
+    """Random leanings of the plain frequencies, and states that last."""
     rng = np.random.default_rng(seed)
     emit = plain[:, None] * rng.uniform(0.5, 1.5, (len(plain), states))
     move = np.full((states, states), 0.1 / max(states - 1, 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
-    model = Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
-    for _ in range(FIRST_ROUNDS if texts else 0):
-        _, starts, moves, numbers, sums = expected(model, texts)
-        emits = np.zeros_like(plain, shape=(len(plain), states))
-        emits[numbers] = sums
-        model = improved(starts, moves, emits, plain)
-    return model
+    return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
 
 def _chunks(batches, emitted: int, columns=()):
@@ -237,37 +231,30 @@ def _chunks(batches, emitted: int, columns=()):
         yield texts, rest
 
 
-def train(encoded: DataFrame, words: Words, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Fit to the rows that are not held out.
+def train(encoded: DataFrame, words: Words, states: int = STATES) -> Model:
+    """Fit to the rows that are not held out, all of them in each round.
 
     What reaches the driver each round is one row per emitted word and per state.
     """
     plain, emitted = words.shares(), words.emitted
     training = encoded.where("NOT held_out")
-    draw = F.pmod(F.xxhash64("doc_id", "size"), F.lit(1 << 30)) / float(1 << 30)
-    n = max(1, training.count())
-    drawn = training.where(draw < min(1.0, SAMPLE / n)).select("doc_id", "size", "ids")
-    texts, size = [], 0
-    for ids in drawn.where(F.col("size") <= SAMPLE_WORDS // 10).orderBy("doc_id", "size").toArrow()["ids"]:
-        if size < SAMPLE_WORDS:
-            ids = ids.values.to_numpy()
-            texts.append(np.where(ids < emitted, ids, OTHER))
-            size += len(ids)
-    model = first_model(texts, plain, states)
+    model, before = first_model(plain, states), -math.inf
     columns = [f"c{k}" for k in range(states)]
-    for _ in range(rounds):
+    while True:
         shared = encoded.sparkSession.sparkContext.broadcast(model)  # EMITTED x states at most
 
         def count(batches):
             starts, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((emitted, states))
+            likely = np.zeros(states)
             for texts, _ in _chunks(batches, emitted):
-                _, s, m, numbers, sums = expected(shared.value, texts)
+                found, s, m, numbers, sums = expected(shared.value, texts)
+                likely[0] += found
                 starts, moves = starts + s, moves + m
                 emits[numbers] += sums
             seen = np.flatnonzero(emits.any(axis=1))
-            # Numbers below zero: the starts, then the moves out of each state.
-            at = np.concatenate([np.arange(-1, -states - 2, -1), seen])
-            values = np.vstack([starts[None], moves, emits[seen]]).astype(np.float32)
+            # Numbers below zero: the starts, the moves out of each state, then the log likelihood.
+            at = np.concatenate([np.arange(-1, -states - 3, -1), seen])
+            values = np.vstack([starts[None], moves, likely[None], emits[seen]]).astype(np.float32)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *[pa.array(v) for v in values.T]], names=["number", *columns])
 
         schema = "number int, " + ", ".join(f"{c} float" for c in columns)
@@ -278,10 +265,14 @@ def train(encoded: DataFrame, words: Words, states: int = STATES, rounds: int =
                 emits[number] = values
             elif number == -1:
                 starts = np.array(values)
+            elif number == -states - 2:
+                likely = values[0] / words.total
             else:
                 moves[-number - 2] = values
         model = improved(starts, moves, emits, plain)
-    return model
+        if likely - before < SETTLED:
+            return model
+        before = likely
 
 
 def score(encoded: DataFrame, model: Model, words: Words, counts: DataFrame) -> DataFrame:

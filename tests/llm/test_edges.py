@@ -204,6 +204,16 @@ def test_hmm_is_exact_and_handles_odd_rows(spark, docs):
     assert {r.score for r in hmm.score_documents(own.withColumn("held_out", F.lit(True))).collect()} == {0.0}
 
 
+def test_long_texts_shape_the_states(spark):
+    """One text of 101,000 words, runs of eight overlapping vocabularies: rounds go on until the states tell them apart."""
+    rng = np.random.default_rng(9)
+    topic = rng.integers(0, 8, 2000).repeat(60)[:101_000]
+    text = " ".join(f"w{n}" for n in topic * 15 + rng.integers(0, 30, len(topic)))
+    df = spark.createDataFrame([(1, text, False)], "doc_id long, text string, held_out boolean")
+    r = hmm.score_documents(df).first()
+    assert (r.score - r.base_score) / r.n_tokens > 0.5
+
+
 def test_rare_words_are_joined(spark, monkeypatch):
     monkeypatch.setattr(hmm, "KNOWN", 2)
     monkeypatch.setattr(hmm, "EMITTED", 1)
