@@ -1,13 +1,15 @@
 """Hidden Markov language model over words.
 
-States emit words; the commonest ``EMITTED`` words have emissions of their own, all
-other words share one, divided among them by their counts (plus one, with one share
-for words never seen). Baum-Welch: each task runs the scaled forward and backward
-recursions over its documents and sums expected counts, Spark adds them by word, and
-the driver turns them into the next model. The first model leans the plain frequencies
-at random, by a fixed seed; every training document takes part in each round, and the
-rounds end when the likelihood settles. A text is scored by the exact scaled forward
-recursion.
+States emit words; every training word has emissions of its own. Baum-Welch: each task
+runs the scaled forward and backward recursions over its blocks of texts and sums
+expected counts, Spark adds them by word into a table, and the next round joins the
+distinct words of each block to it. Only how states start and move is sent to all
+tasks. The first model leans the plain frequencies at random, by a fixed seed; every
+training document takes part in each round, and the rounds end when the likelihood
+settles. A text is scored by the exact scaled forward recursion.
+
+A word's count in a state has one share more, as in the plain frequencies, and the
+states' shares of a word never seen are its plain one.
 
 Documents run side by side in lanes: a step of the recursion serves one word of each.
 """
@@ -26,16 +28,14 @@ from pyspark.sql import functions as F
 from catloom.llm.common import keep
 
 STATES = 8
-#: Words with emissions of their own, and words that tasks know the counts of.
-EMITTED, KNOWN = 1 << 15, 1 << 17
+#: A block is full with so many words emitted, or so many different ones known in it.
+EMITTED, KNOWN = 600_000, 1 << 17
 #: Rounds end when the log likelihood a word (natural) grows by less.
 SETTLED = 0.001
-#: Words a task works on at a time; how strongly emissions lean to the plain frequencies.
-CHUNK, LEAN = 600_000, 500.0
+#: How strongly emissions lean to the plain frequencies.
+LEAN = 500.0
 #: Words a task counts before it passes them on.
 COUNTED = 500_000
-#: Numbers of words: others, the end of a text, then the known words by rank.
-OTHER, END = 0, 1
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -61,79 +61,48 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-@dataclass
-class Words:
-    """The known words, commonest first, and what the whole training text counts."""
-
-    number: dict[bytes, int]
-    logs: np.ndarray  # log10(count + 1) by number; 0 for OTHER
-    counts: np.ndarray
-    total: int
-    distinct: int
-
-    @property
-    def emitted(self) -> int:
-        return min(len(self.counts), EMITTED + 2)
-
-    def shares(self) -> np.ndarray:
-        """Plain shares of the emitted words, with all others in front; of one if nothing was counted."""
-        if not self.total:
-            return np.ones(2)
-        p = (self.counts[: self.emitted] + 1) / (self.total + self.distinct + 1)
-        p[OTHER] = max(1 - p[1:].sum(), 1e-12)
-        return p
+def encode(docs: DataFrame) -> DataFrame:
+    """Blocks of texts: block, held_out, doc_ids, sizes, ids (places in tokens, text after text), tokens (the block's different ones)."""
 
+    def run(batches):
+        blocks, made = {}, TaskContext.get().partitionId() << 33
 
-def known_words(counts: DataFrame) -> Words:
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    # The least count that at most KNOWN words reach; there are far fewer counts than words.
-    by_count = counts.where("token <> X''").groupBy("n").count().orderBy(F.desc("n")).toArrow()
-    reached = np.cumsum(by_count["count"].to_numpy())
-    at = int(np.searchsorted(reached, KNOWN, side="right"))
-    least = by_count["n"][at - 1].as_py() if at else float("inf")
-    top = counts.where((F.col("token") != F.lit(b"")) & (F.col("n") >= least)).toArrow()
-    top = top.sort_by([("n", "descending"), ("token", "ascending")])
-    ends = counts.where("token = X''").first()
-    n = np.concatenate([[0, ends.n if ends else 0], top["n"].to_numpy()]).astype(float)
-    number = {word: i for i, word in enumerate(top["token"].to_pylist(), 2)}
-    return Words(number, np.log10(n + 1), n, total, distinct)
-
-
-def encode(docs: DataFrame, words: Words) -> DataFrame:
-    """row, doc_id, held_out, ids (numbers of the words, then the end), others (words without number)."""
-    shared = docs.sparkSession.sparkContext.broadcast(words.number)  # at most KNOWN words
+        def out(held):
+            nonlocal made
+            number, doc_ids, sizes, ids = blocks.pop(held)
+            made += 1
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([made], pa.int64()), pa.array([held], pa.bool_()), pa.array([doc_ids], pa.list_(pa.int64())),
+                    pa.array([sizes], pa.list_(pa.int32())), pa.array([np.array(ids, np.int32)], pa.list_(pa.int32())),
+                    pa.array([list(number)], pa.list_(pa.binary())),
+                ],
+                names=["block", "held_out", "doc_ids", "sizes", "ids", "tokens"],
+            )
 
-    def run(batches):
-        get, first, row = shared.value.get, TaskContext.get().partitionId() << 33, 0
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                ids, others = [], []
-                for value in batch.column(2).cast(pa.binary()):
-                    split = (value.as_py() or b"").lower().split()
-                    numbers = [get(w, OTHER) for w in split]
-                    others.append([w for w, i in zip(split, numbers) if not i])
-                    numbers.append(END)
-                    ids.append(np.array(numbers, np.int32))
-                rows = pa.array(range(first + row, first + row + len(ids)), pa.int64())
-                row += len(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [rows, batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(others, pa.list_(pa.binary()))],
-                    names=["row", "doc_id", "held_out", "ids", "others"],
-                )
+        for batch in batches:
+            for doc_id, held, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
+                number, doc_ids, sizes, ids = blocks.setdefault(held, ({}, [], [], []))
+                words = [*(value.as_py() or b"").lower().split(), b""]
+                ids.extend([number.setdefault(w, len(number)) for w in words])
+                doc_ids.append(doc_id)
+                sizes.append(len(words))
+                if len(ids) >= EMITTED or len(number) >= KNOWN:
+                    yield out(held)
+        for held in list(blocks):
+            yield out(held)
 
     encoded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "text").mapInArrow(
-        run, "row long, doc_id long, held_out boolean, ids array<int>, others array<binary>"
+        run, "block long, held_out boolean, doc_ids array<long>, sizes array<int>, ids array<int>, tokens array<binary>"
     )
-    # Texts of like length side by side fill the lanes evenly.
-    return keep(encoded.withColumn("size", F.size("ids")).sortWithinPartitions("size"), "encoded")
+    return keep(encoded, "encoded")
 
 
 @dataclass
 class Model:
     start: np.ndarray
     move: np.ndarray
-    emit: np.ndarray  # by emitted number, then state
+    emit: np.ndarray  # by number of the word, then state
 
 
 def lanes(texts: list[np.ndarray]):
@@ -197,158 +166,118 @@ def expected(model: Model, texts: list[np.ndarray]):
     return float(np.log(scales[used]).sum()), gammas[starts].sum(axis=0), moves, numbers, np.add.reduceat(weights[order], first, axis=0, dtype=np.float64)
 
 
-def improved(starts: np.ndarray, moves: np.ndarray, emits: np.ndarray, plain: np.ndarray) -> Model:
-    emits = emits + LEAN * plain[:, None]
-    return Model(
-        (starts + 1) / (starts + 1).sum(), (moves + 1) / (moves + 1).sum(axis=1, keepdims=True), emits / emits.sum(axis=0)
-    )
-
-
-def first_model(plain: np.ndarray, states: int = STATES, seed: int = 3) -> Model:
-    """Random leanings of the plain frequencies, and states that last."""
-    rng = np.random.default_rng(seed)
-    emit = plain[:, None] * rng.uniform(0.5, 1.5, (len(plain), states))
+def first_moves(states: int) -> tuple[np.ndarray, np.ndarray]:
+    """States start alike and last."""
     move = np.full((states, states), 0.1 / max(states - 1, 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
-    return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
-
-
-def _chunks(batches, emitted: int, columns=()):
-    """Texts of about CHUNK words, numbers not emitted made OTHER, with the given columns' values."""
-    texts, rest, size = [], [], 0
-    for batch in batches:
-        column = batch.column("ids")
-        flat, ends = column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())
-        flat = np.where(flat < emitted, flat, OTHER)
-        for i, text in enumerate(np.split(flat, ends[:-1])):
-            texts.append(text)
-            rest.append(tuple(batch.column(c)[i].as_py() for c in columns))
-            size += len(text)
-            if size >= CHUNK:
-                yield texts, rest
-                texts, rest, size = [], [], 0
-    if texts:
-        yield texts, rest
-
-
-def train(encoded: DataFrame, words: Words, states: int = STATES) -> Model:
-    """Fit to the rows that are not held out, all of them in each round.
-
-    What reaches the driver each round is one row per emitted word and per state.
-    """
-    plain, emitted = words.shares(), words.emitted
-    training = encoded.where("NOT held_out")
-    model, before = first_model(plain, states), -math.inf
-    columns = [f"c{k}" for k in range(states)]
-    while True:
-        shared = encoded.sparkSession.sparkContext.broadcast(model)  # EMITTED x states at most
-
-        def count(batches):
-            starts, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((emitted, states))
-            likely = np.zeros(states)
-            for texts, _ in _chunks(batches, emitted):
-                found, s, m, numbers, sums = expected(shared.value, texts)
-                likely[0] += found
-                starts, moves = starts + s, moves + m
-                emits[numbers] += sums
-            seen = np.flatnonzero(emits.any(axis=1))
-            # Numbers below zero: the starts, the moves out of each state, then the log likelihood.
-            at = np.concatenate([np.arange(-1, -states - 3, -1), seen])
-            values = np.vstack([starts[None], moves, likely[None], emits[seen]]).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *[pa.array(v) for v in values.T]], names=["number", *columns])
-
-        schema = "number int, " + ", ".join(f"{c} float" for c in columns)
-        added = training.select("ids").mapInArrow(count, schema).groupBy("number").agg(*[F.sum(c).alias(c) for c in columns])
-        starts, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((emitted, states))
-        for number, *values in added.collect():
-            if number >= 0:
-                emits[number] = values
-            elif number == -1:
-                starts = np.array(values)
-            elif number == -states - 2:
-                likely = values[0] / words.total
-            else:
-                moves[-number - 2] = values
-        model = improved(starts, moves, emits, plain)
-        if likely - before < SETTLED:
-            return model
-        before = likely
+    return np.full(states, 1 / states), move
 
 
-def score(encoded: DataFrame, model: Model, words: Words, counts: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every encoded row.
+def emissions(uses: DataFrame, soft: DataFrame, total: int, distinct: int, states: int) -> DataFrame:
+    """of (the block), at, token, n and emissions e by state of each block's words, from the table of expected counts (token, n, c)."""
+    sums = soft.agg(*[F.coalesce(F.sum(f"c{k}"), F.lit(0.0)) for k in range(states)]).first()
+    count, all_shares = F.coalesce(F.col("n"), F.lit(0)), float(total + distinct + 1)
+    plain = (count + 1) / all_shares
+    by_state = []
+    for k, used in enumerate(sums):
+        one = used / max(total, 1)
+        own = F.coalesce(F.col(f"c{k}"), F.lit(0.0)) + one + LEAN * plain
+        by_state.append((own / (one * all_shares + LEAN)).alias(f"e{k}"))
+    return uses.join(soft, "token", "left").select(F.col("block").alias("of"), "at", "token", count.alias("n"), *by_state)
 
-    Words without number are joined with their counts; those never seen add nothing
-    to the sums of log10(count + 1).
-    """
-    shared = encoded.sparkSession.sparkContext.broadcast((model, words.logs, words.counts > 0))
-    emitted = words.emitted
-    whole = math.log10(words.total + words.distinct + 1)
-    other = math.log10(words.shares()[OTHER]) + whole  # of the share of other words, on the scale of counts
 
-    def run(batches):
-        model, logs, known = shared.value
-        kept: list[pa.RecordBatch] = []
-
-        def scored():
-            table = pa.Table.from_batches(kept)
-            texts = [t.values.to_numpy() for t in table.column("ids")]
-            numbers = [np.where(t < emitted, t, OTHER) for t in texts]
-            ids, starts, places = lanes(numbers)
-            scales, _, _ = forward(model, ids, starts, False)
-            sums = np.vstack([np.zeros(scales.shape[1]), np.cumsum(np.log10(scales), axis=0)])
-            likely = np.empty(len(texts))
-            for text, lane, at in places:
-                likely[text] = sums[at + len(texts[text]), lane] - sums[at, lane]
-            base = np.array([logs[t].sum() for t in texts])
-            within = np.array([logs[t[t >= emitted]].sum() for t in texts])
-            rare = np.array([(n == OTHER).sum() for n in numbers])
-            known_n = np.array([known[t].sum() for t in texts])
-            return pa.RecordBatch.from_arrays(
+def _block(blocks: pa.Table, words: pa.Table, states: int):
+    """The numbers of each text of one block, its words in their order, and the emissions by number."""
+    words = words.sort_by("at")
+    ids, sizes = (blocks.column(c).combine_chunks().values.to_numpy() for c in ("ids", "sizes"))
+    texts = np.split(ids, np.cumsum(sizes)[:-1])
+    return texts, words, np.column_stack([words.column(f"e{k}").to_numpy() for k in range(states)])
+
+
+def train(encoded: DataFrame, counts: DataFrame, total: int, distinct: int, states: int = STATES):
+    """How states start and move, and the table of expected counts (token, n, c by state).
+
+    Fits to the rows that are not held out, all of them in each round. What reaches the
+    driver each round is a few rows per state.
+    """
+    columns = [f"c{k}" for k in range(states)]
+    lean = [F.col("n") * (0.5 + F.pmod(F.xxhash64("token", F.lit(k)), F.lit(1 << 20)) / float(1 << 20)) / states for k in range(states)]
+    soft = counts.select("token", "n", *[x.alias(c) for x, c in zip(lean, columns)])
+    training = encoded.where("NOT held_out")
+    blocks = training.select("block", "sizes", "ids").groupBy("block")
+    uses = training.select("block", F.posexplode("tokens").alias("at", "token"))
+    (start, move), before = first_moves(states), -math.inf
+    schema = "number int, token binary, n long, " + ", ".join(f"{c} double" for c in columns)
+    while total:
+
+        def count(block: pa.Table, words: pa.Table) -> pa.Table:
+            texts, words, emit = _block(block, words, states)
+            # The table is written before start and move change.
+            likely, starts, moves, numbers, sums = expected(Model(start, move, emit), texts)
+            emits = np.zeros_like(emit)
+            emits[numbers] = sums
+            # Numbers below zero: the starts, the moves out of each state, then the log likelihood.
+            few = np.vstack([starts, moves, [likely] + [0.0] * (states - 1)])
+            values = np.vstack([few, emits])
+            return pa.table(
                 [
-                    *[table.column(c).combine_chunks() for c in ("row", "doc_id", "held_out")],
-                    pa.array([len(t) for t in texts], pa.int64()), pa.array(known_n, pa.int64()),
-                    pa.array(base), pa.array(likely + within - rare * other),
+                    pa.array([*range(-1, -len(few) - 1, -1), *[0] * len(emit)], pa.int32()),
+                    pa.array([None] * len(few) + words.column("token").to_pylist(), pa.binary()),
+                    pa.array([0] * len(few) + words.column("n").to_pylist(), pa.int64()),
+                    *[pa.array(v, pa.float64()) for v in values.T],
                 ],
-                names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "likely"],
-            )
-
-        size = 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                kept.append(part := batch.slice(at, 100))
-                size += len(part.column("ids").flatten())
-                if size >= CHUNK:
-                    yield scored()
-                    kept, size = [], 0
-        if kept:
-            yield scored()
-
-    schema = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, likely double"
-    numbered = encoded.select("row", "doc_id", "held_out", "ids").mapInArrow(run, schema)
-    rare = encoded.select("row", F.explode("others").alias("token")).join(counts, "token")
-    rare = rare.groupBy("row").agg(F.sum(F.log10(F.col("n") + 1)).alias("logs"), F.count("*").alias("seen"))
-    all_rows = numbered.join(rare, "row", "left").withColumn("logs", F.coalesce("logs", F.lit(0.0)))
-    return all_rows.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("seen", F.lit(0))).alias("n_known"),
-        F.lit(words.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("logs") - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("likely") + F.col("logs")).alias("score"),
-    )
+                names=["number", "token", "n", *columns],
+            )
+
+        given = emissions(uses, soft, total, distinct, states).groupBy("of")
+        added = blocks.cogroup(given).applyInArrow(count, schema).groupBy("number", "token")
+        added = keep(added.agg(F.max("n").alias("n"), *[F.sum(c).alias(c) for c in columns]), "hmm-round")
+        soft = added.where("number = 0").select("token", "n", *columns)
+        few = {-r.number - 1: np.array([r[c] for c in columns]) for r in added.where("number < 0").collect()}
+        starts, moves = few[0] + 1, np.array([few[k + 1] for k in range(states)]) + 1
+        start, move = starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True)
+        likely = few[states + 1][0] / total
+        if likely - before < SETTLED:
+            break
+        before = likely
+    return start, move, soft
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """Learn from the rows of ``docs`` (doc_id, text, held_out) not held out, score all.
 
-    Null and blank texts are the end alone. Repeated rows and ids stay. With nothing
-    to learn from, every score is that of a uniform model of one word: 0.
+    Gives doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Null and
+    blank texts are the end alone. Repeated rows and ids stay. With nothing to learn
+    from, every score is that of a uniform model of one word: 0.
     """
     counts = keep(count_words(docs.where("NOT held_out")), "word-counts")
-    words = known_words(counts)
-    encoded = encode(docs, words)
-    if words.total == 0:
-        return score(encoded, Model(np.ones(1), np.ones((1, 1)), np.ones((2, 1))), words, counts)
-    return score(encoded, train(encoded, words), words, counts)
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    encoded = encode(docs)
+    states = STATES if total else 1
+    start, move, soft = train(encoded, counts, total, distinct, states)
+    whole = math.log10(total + distinct + 1)
+
+    def run(block: pa.Table, words: pa.Table) -> pa.Table:
+        texts, words, emit = _block(block, words, states)
+        ids, starts, places = lanes(texts)
+        scales, _, _ = forward(Model(start, move, emit), ids, starts, False)
+        sums = np.vstack([np.zeros(scales.shape[1]), np.cumsum(np.log10(scales), axis=0)])
+        likely = np.empty(len(texts))
+        for text, lane, at in places:
+            likely[text] = sums[at + len(texts[text]), lane] - sums[at, lane]
+        n = words.column("n").to_numpy()
+        logs, known = np.log10(n + 1.0) - whole, n > 0
+        doc_ids = block.column("doc_ids").combine_chunks().values
+        return pa.table(
+            [
+                doc_ids, pa.array(block.column("held_out").to_pylist() * len(texts), pa.bool_()),
+                pa.array([len(t) for t in texts], pa.int64()), pa.array([known[t].sum() for t in texts], pa.int64()),
+                pa.array([total] * len(texts), pa.int64()), pa.array([logs[t].sum() for t in texts]), pa.array(likely),
+            ],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
+
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    uses = encoded.select("block", F.posexplode("tokens").alias("at", "token"))
+    given = emissions(uses, soft, total, distinct, states).groupBy("of")
+    return encoded.drop("tokens").groupBy("block").cogroup(given).applyInArrow(run, schema)

@@ -223,6 +223,19 @@ def test_rare_words_are_joined(spark, monkeypatch):
     assert abs(got[2].base_score - want) < 1e-9 and (got[2].n_tokens, got[2].n_known) == (5, 4)
 
 
+def test_no_rank_cap_on_emissions(spark):
+    """40,000 different words, each twice, in texts of one of two kinds: also the rarest ones lean to a state."""
+    words = [[f"{kind}{i}" for i in range(20_000)] for kind in "ab"]
+    parts = [w[i : i + 50] * 2 for w in words for i in range(0, 20_000, 50)]
+    df = spark.createDataFrame([(i, " ".join(p), False) for i, p in enumerate(parts)], "doc_id long, text string, held_out boolean")
+    counts = hmm.count_words(df)
+    total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
+    _, _, soft = hmm.train(hmm.encode(df), counts, total, distinct)
+    rows = soft.where("token <> X''").select("n", *[f"c{k}" for k in range(hmm.STATES)]).collect()
+    assert len(rows) == 40_000 and all(abs(sum(r[1:]) - r.n) < 1e-3 for r in rows)
+    assert sum(max(r[1:]) > 0.6 * r.n for r in rows) > 0.9 * len(rows)
+
+
 def test_quality(spark, docs):
     rows = [(i, "clean words in order here" if i % 2 else "junk ### $$$ ||| junk", i % 2) for i in range(200)]
     model = quality_model.train(spark.createDataFrame([*rows, (None, "x", 1), (5, None, 0), (6, "x", None), (7, "x", 7)], "doc_id long, text string, quality int"))
