@@ -36,12 +36,20 @@ def remainder(key: Column, divisor: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % divisor, F.lit(-1))
 
 
-def keep(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
+def keep(df: DataFrame, purpose: str, *by: str) -> DataFrame:
+    """Write a table to the shared folder and read it back, in folders by the columns ``by``.
 
     Later jobs start from the files, so neither a second use nor a lost executor
     repeats the work above.
     """
     folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.partitionBy(*by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a kept table (one without ``by`` columns or with one) that nothing reads any more."""
+    jvm = df.sparkSession._jvm
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        place = jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)

@@ -23,6 +23,6 @@ def query(name: str, sql: str | None = None):
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:
-    from catloom.llm import queries  # noqa: F401
+    from catloom.llm import queries, queries_spans  # noqa: F401
 
     return dict(QUERIES), dict(ORACLES)
