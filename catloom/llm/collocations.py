@@ -18,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -25,11 +26,12 @@ from pyspark.sql import functions as F
 
 from catloom.llm.common import LOWER, UPPER, keep, release
 
-SHARDS, LENGTHS, THRESHOLD = 4, 4, 30
+SHARDS, LENGTHS, THRESHOLD = 3, 4, 30
 #: Places of the table for each length; more phrases than that make it coarser, not wrong.
 SLOTS = 1 << 23
-#: Words counted together in a task; bounds its memory.
-BLOCK = 1_500_000
+#: Bytes of text counted together in a task, and counts passed on at once; both bound its memory.
+BLOCK, PASSED = 8_000_000, 100_000
+_LAST = np.uint64(SLOTS - 1)
 NEVER = 255
 TOP = 2000
 #: Parts that a language's candidates are ranked in before the ranking of the best of each.
@@ -39,134 +41,102 @@ SALTS = 32
 _FOLD = bytes.maketrans(UPPER.encode() + b".,;:!?\n\x0b\x0c\r\t", LOWER.encode() + b"\n" * 10 + b" ")
 
 
-def slot(key: bytes) -> int:
-    """As ``slots_of``, which computes it in Spark."""
-    return xxhash.xxh64_intdigest(key, 42) & (SLOTS - 1)
+def normal_text(text: bytes) -> bytes:
+    """A-Z folded, words parted by spaces, and each piece ended by a line feed that is a word of its own."""
+    return (text.translate(_FOLD) + b"\n").replace(b"\n", b" \n ")
 
 
-def slots_of(key):
-    return F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
+    return x ^ (x >> np.uint64(28))
 
 
-class _Numbers(dict):
-    """Number of each word of each language; 0 ends a piece, 1 is no word."""
+def active_counts(lang: bytes, texts: pa.Array, since: list[np.ndarray], scan: int, shards: int):
+    """(length, keys, since, slots, n) of the active phrases of a block of normal texts.
 
-    def __init__(self):
-        self.plain, self.keys = [b"", b""], [b"", b""]
-        self.by_lang: dict[bytes, dict] = {}
-
-    def of(self, lang: bytes) -> dict:
-        if lang not in self.by_lang:
-            self.by_lang[lang] = _Words(lang, self)
-        return self.by_lang[lang]
-
-
-class _Words(dict):
-    def __init__(self, lang: bytes, numbers: _Numbers):
-        super().__init__({b"\n": 0, b"": 1})
-        self.lang, self.numbers = lang, numbers
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.numbers.plain)
-        self.numbers.plain.append(word)
-        self.numbers.keys.append(self.lang + b"\t" + word)
-        return n
-
-
-class Counter:
-    """Counts the active phrases of a block of texts in scan number ``scan``.
-
-    ``since[length - 1]`` is the table of that length: at the slot of a phrase the
-    first scan that may build on it.
+    ``since[length - 1]`` is the table of that length: at the slot of a phrase the first
+    scan that may build on it. Keys are language, tab, words.
     """
+    tokens = pc.split_pattern(texts, b" ").flatten().dictionary_encode()
+    words, a = tokens.dictionary, tokens.indices.to_numpy()
+    first = pc.binary_join_element_wise(pa.scalar(lang), words, b"\t")
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, first.to_pylist()), np.uint64, len(words))
+    end, blank = (pc.index(words, mark).as_py() for mark in (b"\n", b""))
+    a = a[a != blank]
+    is_word = np.ones(len(words), bool)
+    is_word[[i for i in (end, blank) if i >= 0]] = False
+    if scan < shards:
+        n = np.bincount(a, minlength=len(words))
+        seen = np.flatnonzero(is_word & (n > 0))
+        yield 1, first.take(pa.array(seen)), np.zeros(len(seen), np.int64), (hashes[seen] & _LAST).astype(np.int64), n[seen]
+    # At each place: the number of the phrase that starts there, and when it reached the threshold.
+    phrase, ready = a, np.where(is_word, since[0][hashes & _LAST], NEVER)[a]
+    parts, hashed = np.arange(len(words))[:, None], hashes
+    for length in range(2, LENGTHS + 1):
+        both = np.maximum(ready[:-1], ready[1:])
+        at = np.flatnonzero(both <= scan)
+        numbers, distinct = pd.factorize(phrase[at].astype(np.int64) * len(words) + a[at + length - 1])
+        if not len(distinct):
+            return
+        left, last = np.divmod(distinct, len(words))
+        parts = np.column_stack([parts[left], last])
+        hashed = _mixed(hashed[left] * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[last])
+        slots = (hashed & _LAST).astype(np.int64)
+        begun = np.empty(len(distinct), np.int64)
+        begun[numbers] = both[at]
+        active = np.flatnonzero(scan < begun + shards)
+        if len(active):
+            n = np.bincount(numbers, minlength=len(distinct))[active]
+            chosen = [first.take(pa.array(parts[active, 0])), *[words.take(pa.array(parts[active, i])) for i in range(1, length)]]
+            yield length, pc.binary_join_element_wise(*chosen, b" "), begun[active], slots[active], n
+        if length < LENGTHS:
+            phrase, ready = np.zeros(len(both), np.int64), np.full(len(both), NEVER, np.uint8)
+            phrase[at], ready[at] = numbers, since[length - 1][slots][numbers]
+
+
+def _normal(docs: DataFrame) -> DataFrame:
+    """lang, text (both binary, normal) of the texts that are not empty."""
+
+    def fold(batches):
+        for batch in batches:
+            texts = pa.array(map(normal_text, batch.column(1).to_pylist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts], names=["lang", "text"])
 
-    def __init__(self, since: list[np.ndarray], scan: int, shards: int):
-        self.since, self.scan, self.shards = since, scan, shards
-        self.clear()
-
-    def clear(self):
-        self.numbers, self.tokens, self.held = _Numbers(), [], 0
-
-    def add(self, lang: bytes, text: bytes):
-        words = text.translate(_FOLD).replace(b"\n", b" \n ").split(b" ")
-        found = np.fromiter(map(self.numbers.of(lang).__getitem__, words), np.int64, len(words))
-        found = found[found != 1]
-        self.tokens += [found, np.zeros(1, np.int64)]
-        self.held += len(found) + 1
-
-    def _active(self, since: np.ndarray) -> np.ndarray:
-        return (since <= self.scan) & (self.scan < since + self.shards)
-
-    def counts(self):
-        """(length, keys, since, n) of the active phrases, keys being language, tab, words."""
-        a = np.concatenate(self.tokens) if self.tokens else np.zeros(0, np.int64)
-        keys, plain = self.numbers.keys, self.numbers.plain
-        n = np.bincount(a, minlength=len(keys))
-        seen = np.flatnonzero(n[2:]) + 2
-        if self.scan < self.shards and len(seen):
-            yield 1, [keys[i] for i in seen], np.zeros(len(seen), np.int64), n[seen]
-        # phrase: at each place the number of the phrase that starts there; ready: when it reached the threshold.
-        phrase, words, ready = a, len(keys), np.full(len(a), NEVER, np.int64)
-        by_word = np.full(len(keys), NEVER, np.int64)
-        by_word[seen] = [self.since[0][slot(keys[i])] for i in seen]
-        if len(a):
-            ready = by_word[a]
-        for length in range(2, LENGTHS + 1):
-            if len(ready) < 2:
-                return
-            both = np.maximum(ready[:-1], ready[1:])
-            at = np.flatnonzero(both <= self.scan)
-            codes, distinct = pd.factorize(phrase[at] * words + a[at + length - 1])
-            if not len(distinct):
-                return
-            left, last = np.divmod(distinct, words)
-            keys = [keys[i] + b" " + plain[j] for i, j in zip(left.tolist(), last.tolist())]
-            since = np.empty(len(distinct), np.int64)
-            since[codes] = both[at]
-            active = np.flatnonzero(self._active(since))
-            n = np.bincount(codes, minlength=len(distinct))
-            if len(active):
-                yield length, [keys[i] for i in active.tolist()], since[active], n[active]
-            if length == LENGTHS:
-                return
-            phrase, ready = np.zeros(len(both), np.int64), np.full(len(both), NEVER, np.int64)
-            phrase[at] = codes
-            reached = np.array([self.since[length - 1][slot(k)] for k in keys], np.int64)
-            ready[at] = reached[codes]
+    lang = F.coalesce("lang", F.lit("und")).cast("binary").alias("lang")
+    return docs.where("text <> ''").select(lang, F.col("text").cast("binary").alias("text")).mapInArrow(fold, "lang binary, text binary")
 
 
 def _scan(shard: DataFrame, shared, scan: int, shards: int) -> DataFrame:
-    """key, length, since, n: counts of one scan by block, not yet summed."""
+    """key, length, since, slot, n: counts of one scan by block, not yet summed."""
 
     def count(batches):
-        counter = Counter(shared.value, scan, shards)
+        held, size = {}, 0
 
         def flush():
-            for length, keys, first, n in counter.counts():
-                columns = [
-                    pa.array(keys, pa.binary()), pa.array(np.full(len(keys), length, np.int32)),
-                    pa.array(first.astype(np.int32)), pa.array(n, pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "length", "since", "n"])
-            counter.clear()
+            for lang, texts in held.items():
+                for length, keys, begun, slots, n in active_counts(lang, pa.array(texts, pa.binary()), shared.value, scan, shards):
+                    lengths = pa.array(np.full(len(n), length, np.int32))
+                    numbers = [pa.array(x.astype(np.int32)) for x in (begun, slots)]
+                    whole = pa.RecordBatch.from_arrays([keys, lengths, *numbers, pa.array(n, pa.int64())], names=["key", "length", "since", "slot", "n"])
+                    for i in range(0, len(n), PASSED):
+                        yield whole.slice(i, PASSED)
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                counter.add(lang, text.as_py())
-                if counter.held >= BLOCK:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held.setdefault(lang, []).append(text)
+                size += len(text)
+                if size >= BLOCK:
                     yield from flush()
+                    held, size = {}, 0
         yield from flush()
 
-    rows = shard.select("lang", "text").mapInArrow(count, "key binary, length int, since int, n long")
+    rows = shard.select("lang", "text").mapInArrow(count, "key binary, length int, since int, slot int, n long")
     return rows.withColumn("key", F.col("key").cast("string"))
 
 
 def _mark(table: np.ndarray, reached: DataFrame, scan: int) -> bool:
-    """Enter the next scan at the unset slots of those keys; at most ``SLOTS`` / 32 rows come back."""
-    at = slots_of(F.col("key"))
-    words = reached.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word")).agg(
-        F.expr("bit_or(shiftleft(1, at % 32))").alias("bits")
-    )
+    """Enter the next scan at the unset ones of those slots; at most ``SLOTS`` / 32 rows come back."""
+    words = reached.groupBy(F.shiftright("slot", 5).alias("word")).agg(F.expr("bit_or(shiftleft(1, slot % 32))").alias("bits"))
     found = words.toArrow()
     bits = found.column("bits").to_numpy().astype(np.int32).view(np.uint32)
     word, place = np.nonzero((bits[:, None] >> np.arange(32, dtype=np.uint32)) & 1)
@@ -182,10 +152,8 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, shards: int =
     Occurrences are counted within pieces, overlaps included, over all rows: repeated
     rows count again, null and empty texts hold nothing, a null language is ``und``.
     """
-    text = F.coalesce("text", F.lit("")).cast("binary")
-    lang = F.coalesce("lang", F.lit("und")).cast("binary")
-    dealt = docs.select(lang.alias("lang"), text.alias("text"), F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
-    dealt = keep(dealt.where(F.length("text") > 0), "phrase-shards", "shard")
+    dealt = _normal(docs).withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int"))
+    dealt = keep(dealt, "phrase-shards", "shard")
     since = [np.full(SLOTS, NEVER, np.uint8) for _ in range(LENGTHS - 1)]
     starts = [{0}, *(set() for _ in range(LENGTHS - 1))]  # by length: scans from which some phrase is counted
     frequent, pending, words, scan = [], None, None, 0
@@ -195,7 +163,9 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, shards: int =
         if pending is not None:
             open_ = pending.where(F.col("since") + shards > scan)
             found = found.unionByName(open_)
-        before, pending = pending, keep(found.groupBy("key", "length", "since").agg(F.sum("n").alias("n")), "phrase-counts")
+        # The key decides the other columns, so any of their values is the value.
+        same = [F.min(c).alias(c) for c in ("length", "since", "slot")]
+        before, pending = pending, keep(found.groupBy("key").agg(F.sum("n").alias("n"), *same).select(found.columns), "phrase-counts")
         shared.destroy()
         if before is not None:
             release(before)
