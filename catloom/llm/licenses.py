@@ -8,8 +8,9 @@ neighbouring diagonals merged, and a span is accepted when the hits cover enough
 template and all of its telling words. A hash only finds its partner; the k-grams
 themselves are compared too, so what is covered agrees word by word.
 
-Built-in functions only. Templates are a short list of the caller; Spark broadcasts
-their k-grams only if their measured size allows it. Texts are never shuffled, only hits.
+Built-in functions only. Templates are a list of the caller, so the number of their
+k-grams is known: up to ``SMALL`` they are broadcast and only hits are shuffled; more
+join by shuffle.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from catloom.llm.common import ascii_lower, keep
 
 #: Words of a k-gram, diagonals that merge, and the share of a template that a span covers.
 K, NEAR, COVER = 3, 4, 0.8
-WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: k-grams of templates that may be broadcast, some hundred bytes each.
+SMALL = 50_000
+BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
 @dataclass(frozen=True)
@@ -58,7 +61,7 @@ NOTICES = (
 
 def license_words(text: Column) -> Column:
     """Runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased; none for null."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
 
 
 def template_grams(spark, templates: tuple[Template, ...]) -> DataFrame:
@@ -89,6 +92,8 @@ def hits(docs: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
     grams = read.where(F.size("words") >= K).select("_doc", F.posexplode(F.transform(places, gram)).alias("p", "_gram"))
     hashed = grams.withColumn("_hash", F.xxhash64("_gram"))
     known = template_grams(docs.sparkSession, templates).withColumn("hash", F.xxhash64("gram"))
+    if sum(len(t.text.split()) for t in templates) <= SMALL:
+        known = F.broadcast(known)
     met = hashed.join(known, (F.col("_hash") == F.col("hash")) & (F.col("_gram") == F.col("gram")))
     return met.drop("_hash", "_gram", "hash", "gram")
 
@@ -168,7 +173,7 @@ def scan_licenses(docs: DataFrame, phrases: tuple[Template, ...], notices: tuple
     rows = docs.select(
         "doc_id",
         row_key(F.col("doc_id"), F.col("text")).alias("_doc"),
-        F.regexp_count(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(WORD)).cast("long").alias("n_words"),
+        F.size(license_words(F.col("text"))).cast("long").alias("n_words"),
     )
     return rows.join(found, "_doc", "left").select(
         "doc_id",
