@@ -47,7 +47,7 @@ class Template:
 
 # Sentences by which texts state a licence, and the words that tell which.
 NOTICES = (
-    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission granted"),
+    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "granted copy"),
     Template("mit", "released under the mit license", "mit"),
     Template("apache-2", "licensed under the apache license version 2 0", "apache 2"),
     Template("gpl", "this work is licensed under the gnu general public license version 3", "gnu public"),
