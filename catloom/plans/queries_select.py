@@ -131,7 +131,43 @@ def _(spark, sf):
     _, details = L.hydrate(summaries, responses(spark, sf, "l_dashboard_details"), "dashboard")
     questions = E.typed_questions(rows(spark, sf, "l_questions"))
     _, queries = L.hydrate_queries(questions, responses(spark, sf, "l_question_queries"))
-    return lists.unionByName(details).unionByName(queries).drop("timestamp")
+    return lists.unionByName(details).unionByName(queries).drop("timestamp", "length")
+
+
+# Pages of up to 1500 elements of 28,000 characters, and one of 21 million, which no parser call holds.
+_PAGE, _PAD, _LONG = 1500, 28000, 21000000
+
+
+@query("oversize_lists", f"""
+SELECT 'dashboard' AS kind, c_custkey AS id, CAST({_PAD} AS BIGINT) AS size FROM customer
+UNION ALL SELECT 'oversize', NULL, CAST(length('{{"id":' || CAST(-(p) AS VARCHAR) || ',"pad":""}}') + {_LONG} AS BIGINT)
+FROM (SELECT DISTINCT c_custkey // {_PAGE} AS p FROM customer) pages""")
+def _(spark, sf):
+    page = F.expr(f"c_custkey DIV {_PAGE}")
+    element = F.format_string(f'{{"id":%d,"pad":"%s"}}', "c_custkey", F.repeat(F.lit("x"), F.lit(_PAD)))
+    last = F.format_string('{"id":%d,"pad":"%s"}', -F.col("page"), F.repeat(F.lit("x"), F.lit(_LONG)))
+    lists = table(spark, sf, "customer").groupBy(page.alias("page")).agg(F.collect_list(element).alias("elements"))
+    body = F.concat(F.lit('{"data":['), F.array_join("elements", ","), F.lit(","), last, F.lit("]}"))
+    landed = lists.select(
+        F.lit("/api/dashboard").alias("endpoint"), F.lit(None).cast("string").alias("record_id"),
+        F.lit(200).alias("http_status"), body.alias("body"), seq_from_number(F.col("page")).alias("seq"),
+    )
+    got, lost = L.unwrap_responses(landed, "dashboard", envelope="data")
+    listed = got.select(F.lit("dashboard").alias("kind"), V.at(F.col("raw"), "$.id", "long").alias("id"), F.length(V.at(F.col("raw"), "$.pad")).cast("long").alias("size"))
+    return listed.union(lost.select("category", F.lit(None).cast("long"), "length"))
+
+
+# Every page is longer than the bound given here, so each is cut before it is parsed.
+@query("cut_lists", """
+SELECT o_orderkey AS id, concat('Dashboard ', CAST(o_orderkey AS VARCHAR)) AS name, nullif(o_custkey % 27, 0) AS collection_id FROM orders
+UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier""")
+def _(spark, sf):
+    def read(name: str, envelope: str | None):
+        landed = pages(spark, sf, name, "/api", envelope, failing=False)
+        raw, _ = L.unwrap_responses(landed, "dashboard", envelope, holds=64)
+        return raw.select(*[V.at(F.col("raw"), f"$.{k}", t).alias(k) for k, t in (("id", "long"), ("name", "string"), ("collection_id", "long"))])
+
+    return read("l_dashboards", None).union(read("l_databases", "data"))
 
 
 @query("last_wins", """

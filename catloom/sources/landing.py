@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from catloom.functions import variants as V
 from catloom.functions.binding import bind
 from catloom.functions.ordering import for_join, last_wins
+from catloom.sources.bodies import PARSER_HOLDS, cut_bodies
 
 # Failure categories.
 LIST_FAILED = {
@@ -27,7 +28,10 @@ DETAIL_FAILED = {
 QUERY_FAILED = "question_query_fetch_failed"
 QUERY_ERRORED = "question_query_fetch_errored"
 
-RESIDUAL_COLUMNS = ("timestamp", "category", "endpoint", "record_id", "http_status")
+#: Category of what landed whole but is more than the JSON parser holds.
+OVERSIZE = "oversize"
+
+RESIDUAL_COLUMNS = ("timestamp", "category", "endpoint", "record_id", "http_status", "length")
 
 
 def succeeded(status: Column) -> Column:
@@ -36,7 +40,7 @@ def succeeded(status: Column) -> Column:
 
 def residuals(rejects: DataFrame, category: Column | str, at: Column | None = None) -> DataFrame:
     """Failure rows. Detail columns that are missing become null, as does a
-    status that is not a number."""
+    status that is not a number. ``length`` is given for what is oversize."""
 
     def detail(name: str, kind: str) -> Column:
         return (F.col(name).try_cast(kind) if name in rejects.columns else F.lit(None).cast(kind)).alias(name)
@@ -48,6 +52,7 @@ def residuals(rejects: DataFrame, category: Column | str, at: Column | None = No
         detail("endpoint", "string"),
         detail("record_id", "string"),
         detail("http_status", "int"),
+        detail("length", "long"),
     )
 
 
@@ -55,27 +60,49 @@ def append_residuals(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
-def unwrap_responses(landed: DataFrame, kind: str, envelope: str | None = None) -> tuple[DataFrame, DataFrame]:
+def _too_long(body: Column, holds: int = PARSER_HOLDS) -> Column:
+    return F.coalesce(F.octet_length(body) > holds, F.lit(False))
+
+
+def _failure(category: Column | str, succeeded: Column | None = None) -> list[Column]:
+    """Category and length of a body that was not read: oversize if it landed and is longer than the parser must hold."""
+    other = F.lit(category) if isinstance(category, str) else category
+    lost = _too_long(F.col("body"))
+    lost = lost if succeeded is None else lost & succeeded
+    return [F.when(lost, F.lit(OVERSIZE)).otherwise(other).alias("category"), F.when(lost, F.octet_length("body")).alias("length")]
+
+
+def unwrap_responses(
+    landed: DataFrame, kind: str, envelope: str | None = None, holds: int = PARSER_HOLDS
+) -> tuple[DataFrame, DataFrame]:
     """One row per element of the landed list, ``(raw, seq)``, and the failures.
 
     With ``envelope`` the list sits under that key; a bare list is accepted too,
-    and any other body gives no rows.
+    and any other body gives no rows. A body of more than ``holds`` bytes is cut into
+    its elements first; an element that the parser still does not hold is one failure,
+    ``oversize`` with its length.
     """
     ok = succeeded(F.col("http_status"))
     # The parts of seq travel as plain columns: Spark cannot take fields of a struct
     # through two generators.
     others = [c for c in landed.columns if c != "seq"]
+    told = [c for c in others if c != "body"]
     place = ("source", "block", "row")
+    seq = F.struct(*[F.col(f"_{f}").alias(f) for f in place], F.col("_item").alias("item")).alias("seq")
     flat = landed.filter(ok).select(*others, *[F.col(f"seq.{f}").alias(f"_{f}") for f in place])
-    body = bind(flat, _body=V.parse(F.col("body")))
+    body = bind(flat.filter(~_too_long(F.col("body"), holds)), _body=V.parse(F.col("body")))
     items = V.elements(F.col("_body"))
     if envelope:
         items = F.coalesce(items, V.elements(F.col("_body"), f"$.{envelope}"))
     exploded = body.select(*[f"_{f}" for f in place], F.posexplode(items).alias("_item", "raw"))
-    rows = exploded.select("raw", F.struct(*[F.col(f"_{f}").alias(f) for f in (*place, "item")]).alias("seq"))
-    unreadable = body.filter(F.col("_body").isNull()).select(*others)
-    failed = landed.filter(~ok).select(*others).unionByName(unreadable)
-    return rows, residuals(failed, LIST_FAILED[kind])
+    cut = cut_bodies(flat.filter(_too_long(F.col("body"), holds)), envelope).withColumnRenamed("item", "_item")
+    cut = bind(cut, raw=V.parse(F.col("text")))
+    rows = exploded.select("raw", seq).unionByName(cut.filter(F.col("raw").isNotNull()).select("raw", seq))
+    unreadable = body.filter(F.col("_body").isNull()).select(*told)
+    unreadable = unreadable.unionByName(cut.filter(F.col("_item").isNull()).select(*told))
+    failed = residuals(landed.filter(~ok).select(*told).unionByName(unreadable), LIST_FAILED[kind])
+    lost = cut.filter(F.col("_item").isNotNull() & F.col("raw").isNull()).select(*told, "length")
+    return rows, failed.unionByName(residuals(lost, OVERSIZE))
 
 
 def detail_worklist(summaries: DataFrame, ident: str = "id") -> DataFrame:
@@ -104,7 +131,8 @@ def _latest_response(landed: DataFrame, wanted: DataFrame, ident: str) -> DataFr
 def hydrate(summaries: DataFrame, landed: DataFrame, kind: str, ident: str = "id") -> tuple[DataFrame, DataFrame]:
     """Detail record of every summary, ``(id, raw, seq)``, and the failures.
 
-    A failed, unreadable or missing response costs that one record.
+    A failed, unreadable or missing response costs that one record; one beyond what
+    the parser holds is named ``oversize``.
     """
     wanted = detail_worklist(summaries, ident).select(F.col(ident).cast("string").alias("id"), "seq")
     got = _latest_response(landed, wanted, "id")
@@ -114,9 +142,9 @@ def hydrate(summaries: DataFrame, landed: DataFrame, kind: str, ident: str = "id
     )
     rows = joined.filter(F.col("raw").isNotNull()).select("id", "raw", "seq")
     failed = joined.filter(F.col("raw").isNull()).select(
-        "endpoint", F.col("id").alias("record_id"), "http_status"
+        *_failure(DETAIL_FAILED[kind], succeeded(F.col("http_status"))), "endpoint", F.col("id").alias("record_id"), "http_status"
     )
-    return rows, residuals(failed, DETAIL_FAILED[kind])
+    return rows, residuals(failed, F.col("category"))
 
 
 def query_text(v: Column, json_path: str = "$.query") -> Column:
@@ -142,8 +170,9 @@ def hydrate_queries(questions: DataFrame, landed: DataFrame) -> tuple[DataFrame,
         F.nullif(V.json_text(F.col("_body"), "$.params"), F.lit("null")).alias("params"),
         "seq",
     )
+    category = F.when(ok, F.lit(QUERY_ERRORED)).otherwise(F.lit(QUERY_FAILED))
     failed = joined.filter(~readable).select(
-        F.when(ok, F.lit(QUERY_ERRORED)).otherwise(F.lit(QUERY_FAILED)).alias("category"),
+        *_failure(category, ok & F.col("_body").isNull()),
         "endpoint",
         F.col("question_id").alias("record_id"),
         F.when(~ok, F.col("http_status")).alias("http_status"),

@@ -1,4 +1,5 @@
 import json
+import random
 import os
 
 import pytest
@@ -8,6 +9,7 @@ from catloom import RunContext
 from catloom.functions import variants as V
 from catloom.functions.ordering import seq_from_number
 from catloom.operators.lineage import lineage_lines
+from catloom.sources import bodies
 from catloom.sources import landing as L
 from catloom.sources.ndjson import read_ndjson, read_ndjson_tree, write_ndjson
 from catloom.sources.sinks import write_entities, write_lineage
@@ -75,6 +77,68 @@ def test_hydrate_turns_each_failure_into_a_residual(spark):
     assert {(r.record_id, r.http_status) for r in lost.collect()} == {("2", 404), ("3", None), ("4", None)}
 
 
+def test_cut_lists_agree_with_a_json_reader(monkeypatch):
+    rng = random.Random(1)
+
+    def value(depth=0):
+        kind = rng.random()
+        if depth > 3 or kind < 0.4:
+            return rng.choice([1, -2.5e3, None, True, 'a"b\\', "[,]{}:", '\\\\"', "é ", "", {}, [], "\n\t"])
+        if kind < 0.7:
+            return [value(depth + 1) for _ in range(rng.randrange(4))]
+        return {rng.choice(["data", 'a"', "b\\", "c,"]): value(depth + 1) for _ in range(rng.randrange(4))}
+
+    for window in (1, 3, 1 << 20):
+        monkeypatch.setattr(bodies, "WINDOW", window)
+        for _ in range(600):
+            text = rng.choice(["", " ", "\n"]) + json.dumps(value(), indent=rng.choice([None, 1])) + rng.choice(["", "  "])
+            if rng.random() < 0.3:
+                i = rng.randrange(len(text))
+                text = text[:i] + rng.choice('[]{},:"\\x ') + text[i + rng.randrange(2) :]
+            try:
+                want = json.loads(text)
+            except ValueError:
+                assert bodies.cut_list(text.encode(), "data") is None
+                continue
+            if isinstance(want, dict):
+                want = want.get("data")
+            got = [json.loads(text[a:b]) for a, b in bodies.cut_list(text.encode(), "data")]
+            assert got == (want if isinstance(want, list) else [])
+    assert bodies.cut_list(b"") is None and bodies.cut_list(b"[NaN]") is None
+
+
+def test_long_lists_give_the_same_rows_as_short_ones(spark):
+    landed = responses(
+        spark, ("/c", None, "200", '[{"id":1}, null,"a,]",[2]]'), ("/c", None, "200", '{"x":[0],"data":[3.50 ,4]}'), ("/c", None, "200", "[1,2"),
+        ("/c", "9", "500", "[5]"), ("/c", None, "200", "[]"), ("/c", None, "200", None), ("/c", None, "200", '{"data":5}'),
+    )
+
+    def found(holds):
+        rows, lost = L.unwrap_responses(landed, "collection", "data", holds)
+        texts = rows.select(F.to_json("raw").alias("t"), "seq").orderBy("seq").collect()
+        return [(r.t, r.seq.row, r.seq.item) for r in texts], sorted((r.category, r.http_status, r.length) for r in lost.collect())
+
+    assert found(0) == found(1000)
+    assert [t for t, _, _ in found(0)[0]] == ['{"id":1}', "null", '"a,]"', "[2]", "3.5", "4"]
+
+
+def test_what_the_parser_cannot_hold_is_oversize(spark):
+    long = F.concat(F.lit('{"id":1,"text":"'), F.repeat(F.lit("x"), F.lit(40_000_000)), F.lit('"}'))
+    landed = responses(spark, ("/d", "1", "200", ""), ("/d", "2", "200", "{"), ("/d", "3", "500", "")).withColumn(
+        "body", F.when(F.col("record_id") == "2", F.col("body")).otherwise(long))
+    wanted = landed.select(F.col("record_id").alias("id"), F.lit("{}").alias("q"), "seq")
+    _, lost = L.hydrate(wanted, landed, "dashboard")
+    assert {(r.record_id, r.category, r.length) for r in lost.collect()} == {
+        ("1", "oversize", 40_000_018), ("2", "dashboard_detail_fetch_failed", None), ("3", "dashboard_detail_fetch_failed", None)}
+    questions = landed.select(F.col("record_id").alias("id"), F.parse_json(F.lit('{"a":1}')).alias("dataset_query"), "seq")
+    _, lost = L.hydrate_queries(questions, landed)
+    assert {(r.record_id, r.category, r.length) for r in lost.collect()} == {
+        ("1", "oversize", 40_000_018), ("2", "question_query_fetch_errored", None), ("3", "question_query_fetch_failed", None)}
+    lists = landed.limit(1).withColumn("body", F.concat(F.lit("[1,"), long, F.lit(",2]")))
+    rows, lost = L.unwrap_responses(lists, "dashboard")
+    assert rows.count() == 2 and [(r.category, r.length, r.endpoint) for r in lost.collect()] == [("oversize", 40_000_018, "/d")]
+
+
 def test_residuals_append(spark, tmp_path):
     rows = L.residuals(responses(spark, ("/d", "1", "500", "x")), "dashboards_fetch_failed")
     for _ in range(2):
