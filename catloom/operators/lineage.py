@@ -133,7 +133,32 @@ def relationship_ends(relationships: Column, kind: str = "string") -> Column:
     return F.flatten(F.transform(V.at(relationships, "$", _relationships_of(kind)), ends))
 
 
-def resolve_parents(ends: Column, objects: Column) -> Column:
+def objects_by_id(objects: Column) -> Column:
+    """The objects that have an id as ``(id, place, o)``, sorted by id, then place."""
+    placed = F.transform(objects, lambda o, i: F.struct(o["id"].alias("id"), i.alias("place"), o.alias("o")))
+    return F.sort_array(F.filter(placed, lambda x: x["id"].isNotNull()))
+
+
+def search_steps(by_id: Column) -> Column:
+    """Powers of two up to the length of a list, the greatest first."""
+    bits = F.length(F.bin(F.size(by_id)))
+    return F.slice(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), 32 - bits, bits)
+
+
+def last_with_id(by_id: Column, steps: Column, key: Column) -> Column:
+    """Last object of that id, by binary search over ``objects_by_id``; null if none has it.
+
+    Both lists have to be columns: an expression would be evaluated for each key.
+    """
+
+    def advance(at: Column, step: Column) -> Column:
+        return F.when(F.get(by_id, at + step - 1)["id"] <= key, at + step).otherwise(at)
+
+    found = F.get(by_id, F.aggregate(steps, F.lit(0), advance) - 1)
+    return F.get(F.filter(F.array(found), lambda x: x["id"] == key), 0)["o"]
+
+
+def resolve_parents(ends: Column, by_id: Column, steps: Column) -> Column:
     """Each end and, if it names a parent by id, the last object of that id."""
     keyed = F.transform(
         ends,
@@ -148,16 +173,28 @@ def resolve_parents(ends: Column, objects: Column) -> Column:
         lambda e: F.struct(
             e["by_id"].alias("by_id"),
             e["v"].alias("v"),
-            F.when(
-                e["parent_id"].isNotNull(),
-                F.try_element_at(F.filter(objects, lambda o: o["id"] == e["parent_id"]), F.lit(-1)),
-            ).alias("parent"),
+            F.when(e["parent_id"].isNotNull(), last_with_id(by_id, steps, e["parent_id"])).alias("parent"),
         ),
     )
 
 
-def column_refs(relationships: Column, objects: Column, vendor: Column) -> Column:
-    """Distinct source columns in order of appearance.
+def with_distinct(df: DataFrame, column: str) -> DataFrame:
+    """Keep the first of equal elements of a list, in order.
+
+    Equal elements meet by a sort; Spark's own function compares all pairs of structs.
+    """
+    placed = F.transform(column, lambda x, i: F.struct(x.alias("x"), i.alias("place")))
+    df = bind(df, _sorted=F.sort_array(placed))
+
+    def is_first(x: Column, i: Column) -> Column:
+        return (i == 0) | ~F.get("_sorted", i - 1)["x"].eqNullSafe(x["x"])
+
+    firsts = F.transform(F.filter("_sorted", is_first), lambda x: F.struct(x["place"].alias("place"), x["x"].alias("x")))
+    return bind(df, **{column: F.transform(F.sort_array(firsts), lambda x: x["x"])}).drop("_sorted")
+
+
+def column_refs(relationships: Column, by_id: Column, steps: Column, vendor: Column) -> Column:
+    """Source columns in order of appearance, repeats included.
 
     The parent may be of any kind. Without one, the dotted parent name tells the
     table; ends without ids carry the table themselves.
@@ -187,7 +224,7 @@ def column_refs(relationships: Column, objects: Column, vendor: Column) -> Colum
             unquote_ident(pick("column", "name")).alias("column_name"),
         )
 
-    found = F.transform(resolve_parents(relationship_ends(relationships), objects), ref)
+    found = F.transform(resolve_parents(relationship_ends(relationships), by_id, steps), ref)
     refs = F.transform(
         F.filter(found, lambda x: x["column_name"] != ""),
         lambda x: F.struct(
@@ -196,7 +233,7 @@ def column_refs(relationships: Column, objects: Column, vendor: Column) -> Colum
             x["column_name"].alias("column_name"),
         ),
     )
-    return F.array_distinct(F.coalesce(refs, F.array()))
+    return F.coalesce(refs, F.array())
 
 
 def identified(records: DataFrame) -> DataFrame:
@@ -223,8 +260,13 @@ def parse_records(landed: DataFrame, default_vendor: str = "", with_columns: boo
     )
     refs = {"tables": table_refs(F.col("_objects"), F.col("vendor"))}
     if with_columns:
-        refs["columns"] = column_refs(part("relationships"), F.col("_objects"), F.col("vendor"))
-    return bind(read, **refs).select(
+        read = bind(read, _by_id=objects_by_id(F.col("_objects")))
+        read = bind(read, _steps=search_steps(F.col("_by_id")))
+        refs["columns"] = column_refs(part("relationships"), F.col("_by_id"), F.col("_steps"), F.col("vendor"))
+    read = bind(read, **refs)
+    if with_columns:
+        read = with_distinct(read, "columns")
+    return read.select(
         "question_qn",
         last_segment(F.col("question_qn")).alias("question_id"),
         V.first_filled("question_name", "question_qn").alias("question_name"),

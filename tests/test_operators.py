@@ -1,4 +1,6 @@
 import json
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -268,6 +270,35 @@ def test_column_refs(spark):
         ("v", "d", "s", "t", "p"), ("dv", "e", "", "u", "q"), ("dv", "", "", "", "kept")]
 
 
+def test_parents_and_repeats_of_long_lists(spark):
+    """Against a plain dictionary, with ids of both kinds, missing ones and repeats."""
+    rng = random.Random(2)
+    ids = [rng.choice([i, str(i), None, -i, f"x{i}", i + 0.25]) for i in range(700)] + [5, "5", 5]
+    objects = [{"id": i, "name": f"t{n}"} for n, i in enumerate(ids)]
+    wanted = [{"column": f"c{rng.randrange(3)}", "parentId": rng.choice([*ids, 10**6, "none"])} for _ in range(3000)]
+    last = {json.dumps(o["id"]): o["name"] for o in objects if o["id"] is not None}
+    want = list(dict.fromkeys(("", "", "", last.get(json.dumps(w["parentId"]), ""), w["column"]) for w in wanted))
+    _, columns = refs(spark, {"dbobjs": objects, "relationships": [{"sources": wanted[:1000]}, {"sources": wanted[1000:]}]})
+    assert columns == want
+    assert refs(spark, {"relationships": [{"sources": wanted[:50]}]})[1] == [("", "", "", "", c) for c in dict.fromkeys(w["column"] for w in wanted[:50])]
+
+
+def test_lineage_time_grows_with_the_ends(spark):
+    def seconds(n):
+        objects = [{"id": i, "name": f"t{i}"} for i in range(n // 2)]
+        ends = [{"column": f"c{i}", "parentId": i % (n // 2)} for i in range(n)]
+        rows = raw_rows(spark, {"QUERY_ID": "q/1", "gudusoft": {"dbobjs": objects, "relationships": [{"sources": ends}]}})
+        lines, times = G.lineage_lines(rows, CTX).select(F.sum(F.length("json"))), []
+        for _ in range(3):
+            start = time.perf_counter()
+            assert lines.collect()[0][0] > n
+            times.append(time.perf_counter() - start)
+        return min(times)
+
+    seconds(8000)
+    assert seconds(16000) <= 2.2 * seconds(8000) + 0.2
+
+
 def test_lists_of_the_wrong_kind_count_as_empty(spark):
     assert refs(spark, {"dbobjs": {"name": "x"}, "relationships": "none"}) == ([], [])
     assert refs(spark, [], parsedData="{", PARSED_DATA='{"dbobjs":[{"name":"t"}]}')[0] == [("", "", "", "t")]
