@@ -29,6 +29,9 @@ TABLE_TYPES = ("table", "view")
 # Entity types a reference may resolve to.
 MATCH_TYPES = {"Table": ("Table", "View"), "Column": ("Column",)}
 
+#: Elements of a list that are compared pairwise.
+FEW = 16
+
 # Components of a reference's identity, in order.
 COMPONENTS = {
     "connectorType": "vendor_name",
@@ -181,16 +184,19 @@ def resolve_parents(ends: Column, by_id: Column, steps: Column) -> Column:
 def with_distinct(df: DataFrame, column: str) -> DataFrame:
     """Keep the first of equal elements of a list, in order.
 
-    Equal elements meet by a sort; Spark's own function compares all pairs of structs.
+    Spark's own function compares all pairs of structs, which is quick for a few. In
+    longer lists equal elements meet by a sort.
     """
     placed = F.transform(column, lambda x, i: F.struct(x.alias("x"), i.alias("place")))
-    df = bind(df, _sorted=F.sort_array(placed))
+    few = F.size(column) <= FEW
+    df = bind(df, _sorted=F.when(~few, F.sort_array(placed)))
 
     def is_first(x: Column, i: Column) -> Column:
         return (i == 0) | ~F.get("_sorted", i - 1)["x"].eqNullSafe(x["x"])
 
     firsts = F.transform(F.filter("_sorted", is_first), lambda x: F.struct(x["place"].alias("place"), x["x"].alias("x")))
-    return bind(df, **{column: F.transform(F.sort_array(firsts), lambda x: x["x"])}).drop("_sorted")
+    distinct = F.when(few, F.array_distinct(column)).otherwise(F.transform(F.sort_array(firsts), lambda x: x["x"]))
+    return bind(df, **{column: distinct}).drop("_sorted")
 
 
 def column_refs(relationships: Column, by_id: Column, steps: Column, vendor: Column) -> Column:
