@@ -157,14 +157,11 @@ def with_collection(df: DataFrame, collections: DataFrame) -> DataFrame:
     return keyed.join(side, F.col("_key") == F.col("_cid")).withColumn("collection_id", F.col("_cid")).drop("_key", "_cid")
 
 
-def with_query_context(
-    questions: DataFrame, queries: DataFrame, databases: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Attach resolved SQL, kind, database, schema and engine.
+def query_context(questions: DataFrame, queries: DataFrame, databases: DataFrame) -> DataFrame:
+    """All questions with resolved SQL, kind, database, schema and engine.
 
-    Second result: questions without a resolved query or a known database, with
-    ``id`` and ``name``. The context stays empty for native queries on databases
-    that landed without details.
+    ``known`` is false for questions without a resolved query or a known database. The
+    context stays empty for native queries on databases that landed without details.
     """
     q = last_wins(queries.select("question_id", "query", "seq"), "question_id").select(
         F.col("question_id").cast("string").alias("_qid"), F.col("query").alias("_sql")
@@ -177,22 +174,29 @@ def with_query_context(
     joined = questions.join(q, F.col("id") == F.col("_qid"), "left").join(
         d, F.col("database_id") == F.col("_did"), "left"
     )
-    known = F.col("_qid").isNotNull() & F.col("_did").isNotNull()
     kind = query_kind(F.col("dataset_query"))
     open_context = (kind != "native") | F.col("has_details")
 
     def filled(c: Column) -> Column:
         return F.when(open_context, F.coalesce(c, F.lit(""))).otherwise(F.lit(""))
 
-    rows = joined.filter(known).select(
+    return joined.select(
         *[c for c in questions.columns if c not in ("dataset_query", "database_id")],
         kind.alias("query_type"),
         filled(F.col("_sql")).alias("query"),
         filled(F.col("default_database")).alias("database_name"),
         filled(F.col("default_schema")).alias("schema_name"),
         filled(engine_name(F.col("engine"))).alias("engine"),
+        (F.col("_qid").isNotNull() & F.col("_did").isNotNull()).alias("known"),
     )
-    return rows, joined.filter(~known).select("id", "name")
+
+
+def with_query_context(
+    questions: DataFrame, queries: DataFrame, databases: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """The known questions with their context, and ``id`` and ``name`` of the others."""
+    context = query_context(questions, queries, databases)
+    return context.filter("known").drop("known"), context.filter("NOT known").select("id", "name")
 
 
 def card_slots(dashboards: DataFrame) -> DataFrame:

@@ -371,6 +371,16 @@ def column_processes(parsed: DataFrame, ctx: RunContext) -> DataFrame:
     return with_process_names(parsed.filter(both), ctx).select(*column_process_record(ctx))
 
 
+def parsed_processes(landed: DataFrame, ctx: RunContext, default_vendor: str = "") -> DataFrame:
+    """The records with source tables, parsed and named: what both record sets are made of."""
+    return with_process_names(parse_records(landed, default_vendor).filter(F.size("tables") > 0), ctx)
+
+
+def column_records(named: DataFrame, ctx: RunContext) -> DataFrame:
+    """Column processes of ``parsed_processes``."""
+    return named.filter(F.size("columns") > 0).select(*column_process_record(ctx))
+
+
 def lineage(landed: DataFrame, ctx: RunContext, default_vendor: str = "") -> tuple[DataFrame, DataFrame]:
     return (
         processes(parse_records(landed, default_vendor, with_columns=False), ctx),
@@ -380,7 +390,7 @@ def lineage(landed: DataFrame, ctx: RunContext, default_vendor: str = "") -> tup
 
 def lineage_lines(landed: DataFrame, ctx: RunContext, default_vendor: str = "") -> DataFrame:
     """Both record sets in one pass, as ``(type_dir, qualified_name, json)``."""
-    parsed = with_process_names(parse_records(landed, default_vendor).filter(F.size("tables") > 0), ctx)
+    parsed = parsed_processes(landed, ctx, default_vendor)
 
     def line(kind: str, qualified_name: Column, json: Column) -> Column:
         return F.struct(F.lit(kind).alias("type_dir"), qualified_name.alias("qualified_name"), json.alias("json"))

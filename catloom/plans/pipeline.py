@@ -14,8 +14,10 @@ from catloom.operators import enrich as E
 from catloom.operators import entities as N
 from catloom.operators import quality as Q
 from catloom.operators import selection as S
-from catloom.operators.lineage import lineage
+from catloom.operators.lineage import column_records, parsed_processes, process_record
 from catloom.operators.resolve import resolve_refs
+from catloom.plans.stages import Stages
+from catloom.session import shared_folder
 from catloom.sources.landing import hydrate, hydrate_queries, unwrap_responses
 
 
@@ -56,27 +58,77 @@ class Landed:
         return cls(*[rows for rows, _ in lists], dashboard_details, question_queries, lost)
 
 
-@dataclass(frozen=True)
 class Catalog:
-    """Output of the metadata job."""
+    """Output of the metadata job. Each part is worked out when it is first asked for."""
+
+    def __init__(self, landed: Landed, selection: S.Selection, ctx: RunContext, root: str):
+        self._ctx = ctx
+        at = self._stages = Stages(
+            root,
+            {
+                "collections": lambda: S.filter_collections(E.typed_collections(landed.collections, ctx.host), selection),
+                "summaries": lambda: S.cascade(E.typed_summaries(landed.dashboards), S.accepted_ids(at["collections"])),
+                "wanted_questions": lambda: S.cascade(E.typed_questions(landed.questions, ctx.host), S.accepted_ids(at["collections"])),
+                "databases": lambda: S.databases(E.typed_databases(landed.databases)),
+                # Scope first: details are read only for what the cascade keeps.
+                "dashboards": lambda: E.with_collection(
+                    E.typed_dashboards(hydrate(at["summaries"], landed.dashboard_details, "dashboard")[0].select("raw", "seq"), ctx.host),
+                    at["collections"],
+                ),
+                "slots": lambda: E.card_slots(at["dashboards"]),
+                "question_context": lambda: E.query_context(
+                    E.with_collection(at["wanted_questions"], at["collections"]),
+                    hydrate_queries(at["wanted_questions"], landed.question_queries)[0],
+                    at["databases"],
+                ),
+                "questions": lambda: E.with_dashboard_count(self.question_context, at["slots"]),
+                "questions_dashboards": lambda: E.edges(self.question_context, E.card_dashboards(at["slots"]), ctx),
+                "residuals": lambda: reduce(
+                    DataFrame.unionByName,
+                    [
+                        *([landed.lost] if landed.lost is not None else []),
+                        hydrate(at["summaries"], landed.dashboard_details, "dashboard")[1],
+                        hydrate_queries(at["wanted_questions"], landed.question_queries)[1],
+                    ],
+                ),
+            },
+        )
 
-    collections: DataFrame
-    dashboards: DataFrame
-    questions: DataFrame
-    edges: DataFrame
-    entities: DataFrame
-    rejected: DataFrame
-    residuals: DataFrame
+    collections = property(lambda self: self._stages["collections"])
+    dashboards = property(lambda self: self._stages["dashboards"])
+    questions = property(lambda self: self._stages["questions"])
+    edges = property(lambda self: self._stages["questions_dashboards"])
+    residuals = property(lambda self: self._stages["residuals"])
+
+    @property
+    def question_context(self) -> DataFrame:
+        """The questions before their dashboards are counted."""
+        return self._stages["question_context"].filter("known").drop("known")
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self._stages["question_context"].filter("NOT known").select("id", "name")
+
+    @property
+    def entities(self) -> DataFrame:
+        return N.all_entities(
+            N.entity_collections(self.collections, self._ctx),
+            N.entity_dashboards(self.dashboards, self._ctx),
+            N.entity_questions(self.questions, self._ctx),
+            N.entity_bi_process(self.edges, self._ctx),
+        )
 
+    @property
+    def totals(self) -> dict[str, int]:
+        """Rows after filtering and after enrichment, as the writes of the stages counted them.
 
-def _staged(df: DataFrame, root: str | None, name: str) -> DataFrame:
-    """With a root, write the stage as Parquet and go on from the table: later
-    reads skip the JSON, and a lost executor does not repeat the stages before."""
-    if not root:
-        return df
-    path = f"{root.rstrip('/')}/processed/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+        A total whose stages no output asked for is left out; nothing is run for it.
+        """
+        found = {
+            "filter": self._stages.total("collections", "summaries", "wanted_questions", "databases"),
+            "enrich": self._stages.total("collections", "dashboards", "questions", "questions_dashboards"),
+        }
+        return {k: n for k, n in found.items() if n is not None}
 
 
 def run_metadata(
@@ -87,45 +139,11 @@ def run_metadata(
 ) -> Catalog:
     """Landed records to catalog entities.
 
-    Lazy throughout unless ``stage_root`` names a folder for the stage tables,
-    which is the way to run it on large input: four outputs share them.
+    Stages are written as Parquet below ``stage_root`` (a new shared folder without it),
+    each once and only if an output that is asked for needs it.
     """
-    collections = _staged(
-        S.filter_collections(E.typed_collections(landed.collections, ctx.host), selection), stage_root, "collections"
-    )
-    accepted = S.accepted_ids(collections)
-
-    # Scope first: details are read only for what the cascade keeps.
-    summaries = _staged(S.cascade(E.typed_summaries(landed.dashboards), accepted), stage_root, "summaries")
-    details, lost_dashboards = hydrate(summaries, landed.dashboard_details, "dashboard")
-    dashboards = _staged(
-        E.with_collection(E.typed_dashboards(details.select("raw", "seq"), ctx.host), collections),
-        stage_root,
-        "dashboards",
-    )
-    slots = _staged(E.card_slots(dashboards), stage_root, "slots")
-
-    wanted = _staged(S.cascade(E.typed_questions(landed.questions, ctx.host), accepted), stage_root, "wanted_questions")
-    queries, lost_queries = hydrate_queries(wanted, landed.question_queries)
-    known, rejected = E.with_query_context(
-        E.with_collection(wanted, collections), queries, S.databases(E.typed_databases(landed.databases, ctx.host))
-    )
-    questions = _staged(E.with_dashboard_count(known, slots), stage_root, "questions")
-    # Edges need no counts: without a stage to read, leave them out.
-    edges = _staged(
-        E.edges(questions if stage_root else known, E.card_dashboards(slots), ctx), stage_root, "questions_dashboards"
-    )
-    lost = lost_dashboards.unionByName(lost_queries)
-    if landed.lost is not None:
-        lost = landed.lost.unionByName(lost)
-
-    entities = N.all_entities(
-        N.entity_collections(collections, ctx),
-        N.entity_dashboards(dashboards, ctx),
-        N.entity_questions(questions, ctx),
-        N.entity_bi_process(edges, ctx),
-    )
-    return Catalog(collections, dashboards, questions, edges, entities, rejected, lost)
+    root = stage_root or shared_folder(landed.collections.sparkSession, "metadata")
+    return Catalog(landed, selection, ctx, root)
 
 
 def run_preflight(
@@ -186,11 +204,17 @@ def with_connection(ctx: RunContext, connection: dict | None) -> RunContext:
 
 
 def run_lineage(
-    parsed: DataFrame, ctx: RunContext, catalog: DataFrame | None = None, default_vendor: str = ""
+    parsed: DataFrame, ctx: RunContext, catalog: DataFrame | None = None, default_vendor: str = "", stage_root: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Parsed-SQL records to processes and column processes, resolved against a
-    catalog table when one is given."""
-    tables, columns = lineage(parsed, ctx, default_vendor)
+    catalog table when one is given.
+
+    The records are parsed once, into a stage below ``stage_root`` (a new shared folder
+    without it); everything else reads the stage.
+    """
+    root = stage_root or shared_folder(parsed.sparkSession, "lineage-parsed")
+    stages = Stages(root, {"parsed": lambda: parsed_processes(parsed, ctx, default_vendor)})
+    tables, columns = stages["parsed"].select(*process_record(ctx)), column_records(stages["parsed"], ctx)
     if catalog is None:
         return tables, columns
     return resolve_refs(tables, catalog, ctx), resolve_refs(columns, catalog, ctx)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catloom.context import WireNames
@@ -200,7 +203,7 @@ def _(spark, sf):
 SELECT id, name, cid AS collection_id, cname AS collection_name, kind AS query_type, query,
   db AS database_name, sch AS schema_name, eng AS engine FROM quest"""))
 def _(spark, sf):
-    return catalog(spark, sf).questions.select(
+    return catalog(spark, sf).question_context.select(
         "id", "name", "collection_id", "collection_name", "query_type", "query", "database_name", "schema_name", "engine"
     )
 
@@ -295,10 +298,33 @@ def _(spark, sf):
 
 
 @query("entity_sink_counts", _job_sql(f"SELECT type_dir, count(*) AS n FROM ({_ALL_SQL}) e GROUP BY type_dir"))
+def _(spark, sf):
+    counts = write_entities(catalog(spark, sf).entities, shared_folder(spark, "entities"), CTX.names.entity_types)
+    return spark.createDataFrame([(d, n) for d, n in counts.items() if n], "type_dir string, n long")
+
+
+# Every line of every type, from the folders by type.
+@query("entity_sink_lines", _job_sql(f"SELECT type_dir, json FROM ({_ALL_SQL}) e"))
 def _(spark, sf):
     root = shared_folder(spark, "entities")
-    write_entities(catalog(spark, sf).entities, root, CTX.names.entity_types)
-    return spark.read.text(f"{root}/transformed/chunk=0").groupBy("type_dir").agg(F.count("*").alias("n"))
+    write_entities(catalog(spark, sf).entities, root, CTX.names.entity_types, exact_layout=True)
+    lines = [
+        spark.read.text(f"{root}/transformed/{d.upper()}/chunk=0").select(F.lit(d.upper()).alias("type_dir"), F.col("value").alias("json"))
+        for d in CTX.names.entity_types
+    ]
+    return reduce(DataFrame.unionByName, lines)
+
+
+# Totals as the stage writes of one run counted them.
+@query("run_totals", _job_sql(f"""
+SELECT 'filter' AS stage, CAST((SELECT count(*) FROM v_collections WHERE {_IN}) + (SELECT count(*) FROM supplier)
+  + (SELECT count(*) FROM orders JOIN acc a ON a.id = CASE WHEN o_custkey % 27 = 0 THEN 'root' ELSE CAST(o_custkey % 27 AS VARCHAR) END)
+  + (SELECT count(*) FROM part JOIN acc a ON a.id = CASE WHEN p_size % 27 = 0 THEN 'root' ELSE CAST(p_size % 27 AS VARCHAR) END) AS BIGINT) AS n
+UNION ALL SELECT 'enrich', count(*) FROM ({_ALL_SQL}) e"""))
+def _(spark, sf):
+    out = catalog(spark, sf)
+    write_entities(out.entities, shared_folder(spark, "entities"), CTX.names.entity_types)
+    return spark.createDataFrame(list(out.totals.items()), "stage string, n long")
 
 
 @query("entity_dispatch", _job_sql(f"SELECT * FROM ({_QUESTION_SQL}) q"))
