@@ -64,6 +64,7 @@ class Catalog:
     def __init__(self, landed: Landed, selection: S.Selection, ctx: RunContext, root: str):
         self._ctx = ctx
         at = self._stages = Stages(
+            landed.collections.sparkSession,
             root,
             {
                 "collections": lambda: S.filter_collections(E.typed_collections(landed.collections, ctx.host), selection),
@@ -111,6 +112,8 @@ class Catalog:
 
     @property
     def entities(self) -> DataFrame:
+        self._stages.together("dashboards", "question_context")
+        self._stages.together("questions", "questions_dashboards")
         return N.all_entities(
             N.entity_collections(self.collections, self._ctx),
             N.entity_dashboards(self.dashboards, self._ctx),
@@ -213,7 +216,7 @@ def run_lineage(
     without it); everything else reads the stage.
     """
     root = stage_root or shared_folder(parsed.sparkSession, "lineage-parsed")
-    stages = Stages(root, {"parsed": lambda: parsed_processes(parsed, ctx, default_vendor)})
+    stages = Stages(parsed.sparkSession, root, {"parsed": lambda: parsed_processes(parsed, ctx, default_vendor)})
     tables, columns = stages["parsed"].select(*process_record(ctx)), column_records(stages["parsed"], ctx)
     if catalog is None:
         return tables, columns

@@ -11,10 +11,10 @@ from catloom.operators.quality import stage_totals
 from catloom.plans.pipeline import run_lineage
 from catloom.plans.queries_scalars import _unq
 from catloom.plans.registry import CTX, query
-from catloom.plans.views import rows, view, with_ctes
+from catloom.plans.views import rows, table, view, with_ctes
 from catloom.session import shared_folder
 from catloom.sources.sinks import write_lineage
-from catloom.streaming.lineage_stream import stream_lineage
+from catloom.streaming.lineage_stream import read_stream, stream_lineage
 
 # The expected rows, from the line items the records were made of.
 _RECORDS = """SELECT row_number() OVER () AS rec, l_partkey AS qid, l_suppkey AS s, l_linenumber AS n,
@@ -191,7 +191,18 @@ def _(spark, sf):
     root = shared_folder(spark, "stream")
     view(spark, sf, "l_parsed").select("value").write.text(f"{root}/landed")
     stream_lineage(spark, f"{root}/landed", f"{root}/sink", f"{root}/log", CTX, pattern="*.txt").awaitTermination()
-    return spark.read.parquet(f"{root}/sink").select("type_dir", "qualified_name", "json")
+    return read_stream(spark, f"{root}/sink")[0]
+
+
+# Event lines of which some are broken and some blank, landed in several files and taken in several batches.
+@query("stream_rejects", """
+SELECT 'not-json ' || CAST(event_id AS VARCHAR) AS value, count(*) AS n FROM events WHERE event_id % 50 = 0 GROUP BY 1""")
+def _(spark, sf):
+    root = shared_folder(spark, "stream")
+    line = F.expr("CASE event_id % 50 WHEN 0 THEN concat('not-json ', event_id) WHEN 1 THEN '   ' ELSE props END")
+    table(spark, sf, "events").repartition(4, "event_id").select(line.alias("value")).write.text(f"{root}/landed")
+    stream_lineage(spark, f"{root}/landed", f"{root}/sink", f"{root}/log", CTX, max_files=1, pattern="*.txt").awaitTermination()
+    return read_stream(spark, f"{root}/sink")[1].groupBy("value").agg(F.count("*").alias("n"))
 
 
 @query("lineage_totals", _sql("SELECT 'lineage' AS stage, CAST((SELECT count(DISTINCT rec) FROM t) + (SELECT count(DISTINCT rec) FROM c WHERE n <> 5) AS BIGINT) AS n"))

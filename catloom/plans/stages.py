@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
-from pyspark.sql import DataFrame, Observation
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,18 +19,25 @@ class Stages:
     written, by the writes themselves. Writing again replaces the files.
     """
 
-    def __init__(self, root: str, build: dict[str, Callable[[], DataFrame]]):
-        self._root, self._build = f"{root.rstrip('/')}/processed", build
+    def __init__(self, spark: SparkSession, root: str, build: dict[str, Callable[[], DataFrame]]):
+        self._spark, self._root, self._build = spark, f"{root.rstrip('/')}/processed", build
         self._tables: dict[str, DataFrame] = {}
+        self._locks = {name: Lock() for name in build}
         self.rows: dict[str, int] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._tables:
-            df, seen, path = self._build[name](), Observation(), f"{self._root}/{name}"
-            df.observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(path)
-            self.rows[name] = int(seen.get["n"])
-            self._tables[name] = df.sparkSession.read.schema(df.schema).parquet(path)
-        return self._tables[name]
+        with self._locks[name]:
+            if name not in self._tables:
+                df, seen, path = self._build[name](), Observation(), f"{self._root}/{name}"
+                df.observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(path)
+                self.rows[name] = int(seen.get["n"])
+                self._tables[name] = self._spark.read.schema(df.schema).parquet(path)
+            return self._tables[name]
+
+    def together(self, *names: str) -> list[DataFrame]:
+        """Several tables; what one does not need of another is written at the same time."""
+        with ThreadPoolExecutor(len(names)) as pool:
+            return list(pool.map(inheritable_thread_target(self._spark)(self.__getitem__), names))
 
     def total(self, *names: str) -> int | None:
         """Rows of those tables together; none while one is not written."""

@@ -1,8 +1,10 @@
+import dataclasses
 import json
 import random
 import time
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from catloom import RunContext, WireNames
@@ -139,6 +141,41 @@ def test_metadata_job(spark, tmp_path):
     assert sorted(tuple(r) for r in staged.entities.collect()) == entities
 
 
+def test_stages_are_written_once_and_only_if_asked_for(spark, tmp_path, monkeypatch):
+    given = landed(spark)
+    names = [f.name for f in dataclasses.fields(given) if f.name != "lost"]
+    for name in names:
+        getattr(given, name).write.parquet(f"{tmp_path}/{name}.in")
+    stored = Landed(**{name: spark.read.parquet(f"{tmp_path}/{name}.in") for name in names})
+    written, write = {}, DataFrameWriter.parquet
+
+    def spy(self, path, *args, **kwargs):
+        assert path.rsplit("/", 1)[1] not in written
+        written[path.rsplit("/", 1)[1]] = self._df._jdf.queryExecution().executedPlan().toString()
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spy)
+    length = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    out = run_metadata(stored, S.Selection(), CTX, stage_root=str(tmp_path / "run"))
+    assert not written and out.totals == {}
+    assert out.question_context.count() and out.rejected.count() >= 0
+    assert set(written) == {"collections", "wanted_questions", "databases", "question_context"}
+    assert not any("dashboard_details.in" in p for p in written.values())
+    for part in (out.entities, out.collections, out.dashboards, out.questions, out.edges, out.rejected, out.residuals):
+        assert ".in" not in plan(part)
+        part.collect()
+    spark.conf.set("spark.sql.maxMetadataStringLength", length)
+    for name in names:
+        assert 1 <= sum(p.count(f"/{name}.in") for p in written.values()) <= 2, name
+    assert out.totals == {
+        "filter": sum(len(spark.read.parquet(f"{tmp_path}/run/processed/{n}").collect()) for n in ("collections", "summaries", "wanted_questions", "databases")),
+        "enrich": sum(x.count() for x in (out.collections, out.dashboards, out.questions, out.edges)),
+    }
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    assert out.totals and len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+
+
 def test_a_hot_card_has_one_whole_list_from_bounded_slices(spark):
     """A third of all slots belong to one card; no slice holds more than its stretch of the input."""
     n = 30000

@@ -3,6 +3,7 @@ import random
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from catloom import RunContext
@@ -12,8 +13,8 @@ from catloom.operators.lineage import lineage_lines
 from catloom.sources import bodies
 from catloom.sources import landing as L
 from catloom.sources.ndjson import read_ndjson, read_ndjson_tree, write_ndjson
-from catloom.sources.sinks import write_entities, write_lineage
-from catloom.streaming.lineage_stream import stream_lineage
+from catloom.sources.sinks import write_by_type, write_entities, write_lineage
+from catloom.streaming.lineage_stream import read_stream, stream_lineage
 
 CTX = RunContext(connection_qn="c", connection_name="n")
 
@@ -160,25 +161,73 @@ def test_entity_sink_skips_empty_types(spark, tmp_path, exact):
 def test_lineage_sink_makes_both_folders(spark, tmp_path):
     none = spark.createDataFrame([], "typeName string")
     stage = write_lineage(none, none, str(tmp_path))
-    assert os.path.exists(f"{stage}/PROCESS/_SUCCESS") and os.path.exists(f"{stage}/COLUMNPROCESS/_SUCCESS")
+    assert (stage.processes, stage.column_processes) == (0, 0)
+    assert os.path.exists(f"{stage.folder}/PROCESS/_SUCCESS") and os.path.exists(f"{stage.folder}/COLUMNPROCESS/_SUCCESS")
+    assert spark.read.text(f"{stage.folder}/PROCESS").count() == 0
+
+
+def test_a_repeated_write_replaces_the_tree(spark, tmp_path):
+    def lines(*rows):
+        return spark.createDataFrame(list(rows), "type_dir string, value string")
+
+    folders, base = {"A": "A/chunk=0", "B": "B/chunk=0"}, str(tmp_path / "out")
+    assert write_by_type(lines(("A", "1"), ("B", "2"), ("C", "3")), base, folders) == {"A": 1, "B": 1}
+    broken = lines(("A", "x")).withColumn("value", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        write_by_type(broken, base, folders)
+    assert spark.read.text(f"{base}/A/chunk=0").first().value == "1" and sorted(os.listdir(base)) == ["A", "B"]
+    assert write_by_type(lines(("A", "4"), ("A", "5")), base, folders) == {"A": 2, "B": 0}
+    assert {r.value for r in spark.read.text(f"{base}/A/chunk=0").collect()} == {"4", "5"}
+    assert not os.path.exists(f"{base}/B/chunk=0") and not os.path.exists(f"{base}/C")
 
 
 def test_stream_equals_batch_and_takes_each_file_once(spark, tmp_path):
     src, sink, log = (str(tmp_path / d) for d in ("src", "sink", "log"))
-    put(f"{src}/day1/a.json", record(1), "oops", record(2))
+    put(f"{src}/day1/a.json", record(1), "oops", "  ", record(2))
 
     def run():
         stream_lineage(spark, src, sink, log, CTX).awaitTermination()
-        return sorted(tuple(r) for r in spark.read.parquet(sink).select("type_dir", "qualified_name", "json").collect())
+        good, bad = read_stream(spark, sink)
+        rejected = sorted((r.value, os.path.basename(r.file)) for r in bad.collect())
+        return sorted(tuple(r) for r in good.collect()), rejected
 
     def batch():
-        rows = lineage_lines(read_ndjson_tree(spark, src)[0], CTX)
-        return sorted(tuple(r) for r in rows.select("type_dir", "qualified_name", "json").collect())
+        good, bad = read_ndjson_tree(spark, src)
+        rows = lineage_lines(good, CTX).select("type_dir", "qualified_name", "json")
+        files = bad.select("value", "seq.source").collect()
+        return sorted(tuple(r) for r in rows.collect()), sorted((r.value, os.path.basename(r.source)) for r in files)
 
-    assert run() == batch() and len(batch()) == 4
+    assert run() == batch() and len(batch()[0]) == 4 and batch()[1] == [("oops", "a.json")]
     assert run() == batch()
-    put(f"{src}/day2/b.json", record(3))
-    assert run() == batch() and len(batch()) == 6
+    put(f"{src}/day2/b.json", record(3), "{", "oops")
+    assert run() == batch() and len(batch()[0]) == 6 and len(batch()[1]) == 3
+
+
+def test_a_batch_that_fails_replaces_itself(spark, tmp_path, monkeypatch):
+    src, sink, log = (str(tmp_path / d) for d in ("src", "sink", "log"))
+    put(f"{src}/a.json", record(1), "oops")
+    write = DataFrameWriter.parquet
+
+    def run(fail=None):
+        def parquet(self, path, *args, **kwargs):
+            write(self, path, *args, **kwargs)
+            if fail and path.endswith(fail):
+                raise RuntimeError("lost after the write")
+
+        monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+        stream_lineage(spark, src, sink, log, CTX).awaitTermination()
+
+    with pytest.raises(Exception, match="lost after the write"):
+        run(fail="batch=0")
+    run()
+    good, bad = read_stream(spark, sink)
+    assert good.count() == 2 and [r.value for r in bad.collect()] == ["oops"]
+    put(f"{src}/b.json", record(2), "{")
+    with pytest.raises(Exception, match="lost after the write"):
+        run(fail="batch=1")
+    run()
+    good, bad = read_stream(spark, sink)
+    assert good.count() == 4 and sorted(r.value for r in bad.collect()) == ["oops", "{"]
 
 
 def test_one_file_of_any_name_and_lines_of_tabs(spark, tmp_path):
