@@ -18,7 +18,9 @@ STRICT = (
     "(?:Z|([+-])([0-9]{2})(:?)([0-5][0-9])(?:\\10([0-5][0-9])(?:\\.([0-9]{1,6}))?)?)?$"
 )
 
-# What most values look like; both grammars hold it, and the built-in cast reads it.
+# Calendar dates alone or with a whole clock, which the built-in casts read once the
+# separators are theirs. The strict grammar holds those of the second shape.
+_CALENDAR = "^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:.[0-9]{2}:[0-9]{2}:[0-9]{2}(?:[.,][0-9]+)?(?:Z|[+-][0-9]{2}(?::?[0-9]{2})?)?)?$"
 _COMMON = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(?:\\.[0-9]{1,6})?(?:Z|[+-][0-9]{2}:[0-9]{2})?$"
 
 # Both shapes rewritten to: date | year | week | weekday | h | m | s | fraction |
@@ -29,13 +31,14 @@ _STRICT_PARTS = "$1-$2-$3||||$4|$5|$6|$7|$8|$9|$11|$12|$13"
 _DAY_US = 86400000000
 
 
-def _int(c: Column, default: int = 0) -> Column:
-    return F.coalesce(c.try_cast("bigint"), F.lit(default).cast("bigint"))
+def _int(digits: Column, default: int = 0) -> Column:
+    """Digits to a number; an empty group is the default. A failed cast would cost an exception."""
+    return F.when(digits != "", digits.cast("bigint")).otherwise(F.lit(default).cast("bigint"))
 
 
 def _micros(fraction: Column) -> Column:
     """Fraction digits to microseconds, cutting what is finer."""
-    return _int(F.rpad(F.substring(fraction, 1, 6), 6, "0"))
+    return F.rpad(F.substring(fraction, 1, 6), 6, "0").cast("bigint")
 
 
 def _week_day(year: Column, week: Column, weekday: Column) -> Column:
@@ -48,7 +51,7 @@ def _week_day(year: Column, week: Column, weekday: Column) -> Column:
 
 
 def _from_parts(p: Column) -> Column:
-    calendar = F.when(~p[0].startswith("0000"), p[0].try_cast("date"))
+    calendar = F.when(~p[0].startswith("0000") & (p[0] != "--"), p[0].try_cast("date"))
     day = F.coalesce(calendar, _week_day(p[1], p[2], p[3]))
     hour, minute, second = _int(p[4]), _int(p[5]), _int(p[6])
     clock = (hour * 3600 + minute * 60 + second) * 1000000 + _micros(p[7])
@@ -56,7 +59,7 @@ def _from_parts(p: Column) -> Column:
     total = F.unix_date(day).cast("bigint") * _DAY_US + clock - F.when(p[8] == "-", -shift).otherwise(shift)
     ok = (hour < 24) & (minute < 60) & (second < 60) & (shift < _DAY_US)
     # Whole division rounds toward zero on both sides of 1970.
-    return F.when(ok, F.call_function("div", total, F.lit(1000).cast("bigint")))
+    return F.when(ok, _whole_millis(total))
 
 
 def _millis(c: Column, shape: str, parts: str) -> Column:
@@ -65,10 +68,16 @@ def _millis(c: Column, shape: str, parts: str) -> Column:
     return F.when(c.rlike(shape), F.get(F.transform(F.array(fields), _from_parts), 0))
 
 
-def _common_or(c: Column, general: Column) -> Column:
-    """The built-in cast where it can read the value, else the general way."""
-    moment = F.when(c.rlike(_COMMON) & ~c.startswith("0000"), F.unix_micros(c.try_cast("timestamp")))
-    return F.coalesce(F.call_function("div", moment, F.lit(1000).cast("bigint")), general)
+def _whole_millis(micros: Column) -> Column:
+    return F.call_function("div", micros, F.lit(1000).cast("bigint"))
+
+
+def _calendar(c: Column) -> Column:
+    """What ``_CALENDAR`` holds, by the built-in casts; null where they do not read it."""
+    day = F.unix_date(c.try_cast("date")).cast("bigint") * _DAY_US
+    moment = F.concat(F.substring(c, 1, 10), F.lit("T"), F.replace(F.substring(c, 12, 1 << 30), F.lit(","), F.lit(".")))
+    read = F.when(F.length(c) == 10, day).otherwise(F.unix_micros(moment.try_cast("timestamp")))
+    return _whole_millis(F.when(c.rlike(_CALENDAR) & ~c.startswith("0000"), read))
 
 
 def iso_millis(c: Column) -> Column:
@@ -77,12 +86,13 @@ def iso_millis(c: Column) -> Column:
     Takes dates alone, compact and week dates, any one separator before the
     clock, and shortened clocks.
     """
-    return _common_or(c, _millis(F.replace(c, F.lit("Z"), F.lit("+00:00")), LENIENT, _LENIENT_PARTS))
+    return F.coalesce(_calendar(c), _millis(F.replace(c, F.lit("Z"), F.lit("+00:00")), LENIENT, _LENIENT_PARTS))
 
 
 def iso_millis_strict(c: Column) -> Column:
     """Four layouts only: date ``T`` clock, each with or without fraction and zone."""
-    return _common_or(c, _millis(c, STRICT, _STRICT_PARTS))
+    common = F.when(c.rlike(_COMMON) & ~c.startswith("0000"), F.unix_micros(c.try_cast("timestamp")))
+    return F.coalesce(_whole_millis(common), _millis(c, STRICT, _STRICT_PARTS))
 
 
 def variant_millis(v: Column) -> Column:
