@@ -243,6 +243,32 @@ def _(spark, sf):
     return R.match_refs(refs, _catalog(spark, sf)).select("question_id", "obj_id", "resolved_qn", "resolved_type")
 
 
+# Columns of a catalog that names connectors, by references of which some give the connector and some no table.
+_CATALOG_COLUMNS = " UNION ALL ".join(f"""SELECT 'Column' AS type_name, concat('default/wh/', CAST(s_suppkey AS STRING), '/{k}') AS qualified_name,
+  CASE s_suppkey % 3 WHEN 0 THEN 'snowflake' WHEN 1 THEN 'postgres' ELSE 'mysql' END AS connectorType, 'WH' AS databaseName,
+  CASE WHEN s_suppkey % 5 = 0 THEN 'OTHER' ELSE 'PUBLIC' END AS schemaName, concat('SUPP_', CAST(s_suppkey % 50 AS STRING)) AS tableName,
+  'C{k}' AS columnName FROM supplier""" for k in range(5))
+_COLUMN_REFS = """SELECT l_orderkey, l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN 'snowflake' WHEN 1 THEN '' ELSE 'postgres' END AS connectorType,
+  'WH' AS databaseName, CASE WHEN l_suppkey % 4 = 0 THEN '' ELSE 'PUBLIC' END AS schemaName,
+  CASE WHEN l_linenumber = 7 THEN '' ELSE concat('SUPP_', CAST(l_suppkey % 60 AS STRING)) END AS tableName,
+  concat('C', CAST(l_partkey % 6 AS STRING)) AS columnName FROM lineitem"""
+
+
+@query("resolve_columns", f"""
+WITH refs AS (SELECT *, row_number() OVER () AS i FROM ({_COLUMN_REFS}) l), columns AS ({_CATALOG_COLUMNS}),
+asked AS (SELECT DISTINCT connectorType, databaseName, schemaName, tableName, columnName FROM refs),
+found AS (SELECT r.connectorType, r.databaseName, r.schemaName, r.tableName, r.columnName, min(c.qualified_name) AS resolved_qn
+  FROM asked r JOIN columns c ON c.columnName = r.columnName AND c.databaseName = r.databaseName
+    AND (r.connectorType = '' OR c.connectorType = r.connectorType) AND (r.schemaName = '' OR c.schemaName = r.schemaName)
+    AND (r.tableName = '' OR c.tableName = r.tableName) GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, resolved_qn FROM refs JOIN found USING (connectorType, databaseName, schemaName, tableName, columnName)""")
+def _(spark, sf):
+    for name in ("supplier", "lineitem"):
+        table(spark, sf, name).createOrReplaceTempView(name)
+    refs = spark.sql(_COLUMN_REFS).withColumn("kind", F.lit("Column"))
+    return R.match_refs(refs, spark.sql(_CATALOG_COLUMNS)).select("l_orderkey", "l_linenumber", "resolved_qn")
+
+
 # Only references without a vendor can match a catalog that names no connector;
 # of the rest the process stays, with no inputs.
 @query("resolve_lineage", _sql(f"""

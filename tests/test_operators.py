@@ -1,6 +1,7 @@
 import dataclasses
 import json
 import random
+import re
 import time
 
 import pytest
@@ -367,6 +368,25 @@ def test_lineage_is_one_stage_without_python(spark, tmp_path):
 
 # --- references ---------------------------------------------------------------
 
+
+def test_the_index_holds_what_is_asked(spark, monkeypatch):
+    names = ("connectorType", "databaseName", "schemaName", "tableName", "columnName")
+    catalog = spark.createDataFrame(
+        [("Table", "q/t", None, "d", "s", "t", None), ("Column", "q/t/c", "pg", "d", "s", "t", "c"), ("Column", "q/a/c", "my", "d", "s", "t", "c"),
+         ("Column", "q/t/e", "pg", "d", "s", "t", "e"), ("View", "q/other", "pg", "d", "s", "other", None)],
+        "type_name string, qualified_name string, " + ", ".join(f"{n} string" for n in names),
+    )
+    asked = [("Column", "pg", "", "", "t", "c"), ("Column", "", "d", "", "", "c"), ("Column", "pg", "", "", "t", "e"), ("Column", "", "", "", "t", "")]
+    refs = spark.createDataFrame([(i, *r) for i, r in enumerate(asked)], "i int, kind string, " + ", ".join(f"{n} string" for n in names))
+    built, index = [], R.catalog_index
+    monkeypatch.setattr(R, "catalog_index", lambda catalog, kind, masks: built.append((kind, sorted(masks), catalog.count())) or index(catalog, kind, masks))
+    found = {(r.i, r.resolved_qn) for r in R.match_refs(refs, catalog).collect()}
+    assert found == {(0, "q/t/c"), (1, "q/a/c"), (2, "q/t/e")}
+    assert built == [("Column", [0b01100, 0b10110], 3)]
+    assert R.match_refs(refs.limit(0), catalog).count() == 0
+    text = plan(index(catalog, "Column", [0b01100, 0b10110]))
+    assert text.count("Expand") >= 1 and re.search(r"Expand \[\[[^\]]*\], \[[^\]]*\]\]", text)
+
 CATALOG = "type_name string, qualified_name string, connectorType string, databaseName string, schemaName string, tableName string, columnName string"
 
 
