@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,9 +10,11 @@ from pyspark.sql import functions as F
 
 from catloom.context import WireNames
 from catloom.functions import variants as V
+from catloom.functions.binding import bind
 from catloom.functions.ordering import seq_from_number, with_slot
 from catloom.operators import enrich as E
 from catloom.operators import entities as N
+from catloom.plans.incremental import run_incremental
 from catloom.plans.pipeline import Catalog, Landed, run_metadata
 from catloom.plans.queries_select import _IN, SELECTION
 from catloom.plans.registry import CTX, query
@@ -327,6 +330,29 @@ def _(spark, sf):
     return spark.createDataFrame(list(out.totals.items()), "stage string, n long")
 
 
+# Between two landed states questions come (id % 10 = 4), go (3) and get another description (id % 7 = 0).
+@query("metadata_changes", _job_sql("""
+SELECT 'BIQUESTION' AS type_dir, concat('default/bi/1/questions/', id) AS qualified_name,
+  CASE CAST(id AS BIGINT) % 10 WHEN 4 THEN 'added' WHEN 3 THEN 'removed' ELSE 'changed' END AS status,
+  CASE WHEN CAST(id AS BIGINT) % 10 = 3 THEN NULL WHEN CAST(id AS BIGINT) % 7 = 0 THEN concat('new ', description) ELSE description END AS description
+FROM quest WHERE CAST(id AS BIGINT) % 10 IN (3, 4) OR CAST(id AS BIGINT) % 7 = 0
+UNION ALL SELECT DISTINCT 'BIPROCESS', concat('default/bi/1/questions_dashboards/', id),
+  CASE CAST(id AS BIGINT) % 10 WHEN 4 THEN 'added' ELSE 'removed' END, NULL FROM edges WHERE CAST(id AS BIGINT) % 10 IN (3, 4)"""))
+def _(spark, sf):
+    given, lines = landed(spark, sf), view(spark, sf, "l_questions")
+    renamed = F.replace(F.col("value"), F.lit('"description":"'), F.lit('"description":"new '))
+    value = F.when(F.col("n") % 7 == 0, renamed).otherwise(F.col("value"))
+
+    def entities(questions):
+        raw = bind(questions.select("value", seq_from_number(F.col("n")).alias("seq")), raw=V.parse(F.col("value")))
+        return run_metadata(replace(given, questions=raw.select("raw", "seq")), SELECTION, CTX).entities
+
+    root = shared_folder(spark, "runs")
+    run_incremental(entities(lines.filter("n % 10 <> 4")), root, "first")
+    found = run_incremental(entities(lines.filter("n % 10 <> 3").withColumn("value", value)), root, "second", before="first")
+    return found.select("type_dir", "qualified_name", "status", F.get_json_object("json", "$.attributes.description").alias("description"))
+
+
 @query("entity_dispatch", _job_sql(f"SELECT * FROM ({_QUESTION_SQL}) q"))
 def _(spark, sf):
     questions = catalog(spark, sf).questions

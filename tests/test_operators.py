@@ -1,4 +1,5 @@
 import dataclasses
+import hashlib
 import json
 import random
 import re
@@ -17,6 +18,7 @@ from catloom.operators import lineage as G
 from catloom.operators import quality as Q
 from catloom.operators import resolve as R
 from catloom.operators import selection as S
+from catloom.plans.incremental import run_incremental
 from catloom.plans.pipeline import Landed, run_metadata, run_preflight, with_connection
 from catloom.session import configure
 from catloom.sources import landing as L
@@ -177,6 +179,26 @@ def test_stages_are_written_once_and_only_if_asked_for(spark, tmp_path, monkeypa
     assert out.totals and len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
 
 
+def test_a_run_emits_what_changed_since_the_one_before(spark, tmp_path):
+    def entities(*rows):
+        return spark.createDataFrame([("Q", *r) for r in rows], "type_dir string, qualified_name string, json string")
+
+    def run(name, before, *rows):
+        found = run_incremental(entities(*rows), str(tmp_path), name, before).collect()
+        return sorted((r.qualified_name, r.status, r.json) for r in found)
+
+    first = [("a", "1"), ("b", "1"), ("c", "1"), ("c", "2"), ("c", "2")]
+    kept = "1" if hashlib.sha256(b"1").hexdigest() > hashlib.sha256(b"2").hexdigest() else "2"
+    assert run("r1", None, *first) == [("a", "added", "1"), ("b", "added", "1"), ("c", "added", kept)]
+    assert run("r2", "r1", *reversed(first)) == []
+    second = [("a", "1"), ("b", "9"), ("d", "1")]
+    for _ in range(2):  # repeated, it emits the same
+        assert run("r3", "r2", *second) == [("b", "changed", "9"), ("c", "removed", None), ("d", "added", "1")]
+    assert run("r4", "r3") == [("a", "removed", None), ("b", "removed", None), ("d", "removed", None)]
+    with pytest.raises(ValueError):
+        run("r4", "r4")
+
+
 def test_a_hot_card_has_one_whole_list_from_bounded_slices(spark):
     """A third of all slots belong to one card; no slice holds more than its stretch of the input."""
     n = 30000
