@@ -3,7 +3,7 @@
 Indicators of hashed n-grams (three to five characters across words, single words
 and pairs) are scaled by the log ratio of their smoothed shares in the two classes;
 a linear hinge-loss machine is fitted to the scaled rows by dual coordinate descent.
-Fitted on the driver from about ``PER_CLASS`` labelled rows of each class.
+Fitted on the driver from at most ``PER_CLASS`` labelled texts of each class.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catloom.llm.common import keep
 from catloom.llm.linear import dual_descent, platt, sigmoid
 
 PER_CLASS = 2000
@@ -108,18 +109,31 @@ def fit(sample: list[np.ndarray], good: np.ndarray, odds: float = 1.0, beta: flo
     return Model(*model, slope, offset + float(np.log(odds)))
 
 
-def train(labelled: DataFrame, per_class: int = PER_CLASS) -> Model:
-    """Fit on rows with doc_id, text and quality 0 or 1; other rows are no examples.
+def sample_ids(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[list, dict[int, int]]:
+    """(doc_id, text hash, quality) of the examples, and how many there are to draw from in each class.
 
-    About ``per_class`` rows of each class reach the driver, chosen by a hash of the
-    id; a row has at most ``SIZE`` bits, however long its text.
+    Distinct documents of distinct texts; of each class those with the ``per_class``
+    smallest hashes, exactly. Only ids and hashes are joined and moved, and an id or a
+    text that is repeated counts once, however many rows have it.
     """
-    known = labelled.where("doc_id is not null and quality in (0, 1)").select("doc_id", "text", "quality")
+    given = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("t")).distinct()
+    known = labels.where("doc_id is not null and quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
+    known = keep(given.join(known, "doc_id"), "labelled")
     counts = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
-    rate = F.lit(0.0)
-    for q, n in counts.items():
-        rate = F.when(F.col("quality") == q, F.lit(min(1.0, per_class / n))).otherwise(rate)
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = []
+    for q in sorted(counts):
+        order = (F.xxhash64("doc_id", "t"), "doc_id", "t")
+        chosen += known.where(F.col("quality") == q).orderBy(*order).limit(per_class).select("doc_id", "t", "quality").collect()
+    return [tuple(r) for r in chosen], counts
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
+    """Fit on the texts of ``docs`` whose id ``labels`` calls 0 or 1 in quality; other rows are no examples.
+
+    At most ``per_class`` texts of each class reach the driver; each has at most ``SIZE``
+    bits, however long it is. Texts are read by the chosen ids and never joined before.
+    """
+    chosen, counts = sample_ids(docs.select("doc_id", "text"), labels, per_class)
 
     def bits(batches):
         for batch in batches:
@@ -130,8 +144,13 @@ def train(labelled: DataFrame, per_class: int = PER_CLASS) -> Model:
                 packed = np.packbits(flags).tobytes() if len(at) * 32 > SIZE else at.astype("<u4").tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([q.as_py()], pa.int32()), pa.array([packed], pa.binary())], names=["q", "x"])
 
-    rows = known.where(draw < rate).select(F.col("quality").cast("int").alias("q"), "text").mapInArrow(bits, "q int, x binary").collect()
-    rows = sorted((r.q, bytes(r.x)) for r in rows)
+    rows = []
+    if chosen:
+        ids = F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long, t long, q int"))  # 2 * per_class rows at most
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t"))
+        # A repeated row is one example; it is dropped before it moves.
+        once = texts.join(ids, ["doc_id", "t"]).groupBy("doc_id", "t", "q").agg(F.first("text").alias("text"))
+        rows = sorted((r.q, bytes(r.x)) for r in once.select("q", "text").mapInArrow(bits, "q int, x binary").collect())
     sample = [
         np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8))) if len(x) == SIZE // 8 else np.frombuffer(x, "<u4").astype(np.int64)
         for _, x in rows
@@ -162,7 +181,3 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
     extra = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
     return docs.select(*names).mapInArrow(run, T.StructType([docs.schema[c] for c in names] + extra))
 
-
-def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, quality of the labelled documents; a document labelled twice is two rows."""
-    return docs.select("doc_id", "text").join(labels.where("quality is not null").select("doc_id", "quality"), "doc_id")

@@ -90,11 +90,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_nb_svm_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catloom.llm.common import remainder
-    from catloom.llm.quality_model import labelled_rows, score, train
+    from catloom.llm.quality_model import score, train
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fold = remainder(F.col("doc_id"), 4)
-    model = train(labelled_rows(docs, table(spark, sf_dir, "labels")).where(fold != 2))
+    model = train(docs, table(spark, sf_dir, "labels").where(fold != 2))
     return score(docs, model).select("doc_id", (fold == 2).alias("held_out"), "score", "predicted")
 
 

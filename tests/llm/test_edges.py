@@ -238,7 +238,8 @@ def test_no_rank_cap_on_emissions(spark):
 
 def test_quality(spark, docs):
     rows = [(i, "clean words in order here" if i % 2 else "junk ### $$$ ||| junk", i % 2) for i in range(200)]
-    model = quality_model.train(spark.createDataFrame([*rows, (None, "x", 1), (5, None, 0), (6, "x", None), (7, "x", 7)], "doc_id long, text string, quality int"))
+    labelled = spark.createDataFrame([*rows, (None, "x", 1), (5, None, 0), (6, "x", None), (7, "x", 7)], "doc_id long, text string, quality int")
+    model = quality_model.train(labelled, labelled)
     got = quality_model.score(docs, model).collect()
     assert len(got) == docs.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
     assert len({r.score for r in got[:3]}) == 1
