@@ -24,8 +24,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Without a label of each kind nothing can be told apart and all stay.
     """
-    labelled = quality_model.labelled_rows(docs, table(spark, sf_dir, "labels")).where(remainder(F.col("doc_id"), 4) != 2)
-    model = quality_model.train(labelled)
+    model = quality_model.train(docs, table(spark, sf_dir, "labels").where(remainder(F.col("doc_id"), 4) != 2))
     if not model.weights.any():
         return docs
     return quality_model.score(docs, model).where("predicted = 1").select(*docs.columns)
