@@ -4,7 +4,7 @@ Two documents link when their sets of five-word shingles overlap by three quarte
 their union. Equal word sequences are one text. Texts that share a min-hash are held
 against the smallest id among them, and what links so forms a group of similar texts
 (cut into blocks of bounded size). The matrix has a row for each group and each token
-of its texts' prefixes: under one order of all tokens, the commonest last, two texts
+of its texts' prefixes: under one order of all tokens (by a sketch of how many texts have them, the commonest last), two texts
 that link share a token among the first seventh of the smaller and the first quarter
 of the larger, and l tokens if both are l - 1 longer. The matrix holds the shorter
 prefixes, and a text asks with its longer one for what is no larger than itself. So a
@@ -22,15 +22,15 @@ Links within a group are not sought: they cannot change its component. Tokens ar
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from catloom.llm.common import keep
+from catloom.llm.common import keep, release
 from catloom.llm.graph import components
 
 WORDS = 5
@@ -41,12 +41,16 @@ MEMBERS, ASKERS = 64, 1000
 STEP = 20
 #: Slots a text shares with the smallest id before they are compared.
 ALIKE = 3
-#: A token is common from this share of the documents on; at most mean set size / share are.
-COMMON = 1 / 2000
-#: Documents counted together before their common tokens are passed on, and tokens held meanwhile, about.
+#: Counters of tokens by the leading bits of their hash, and those in a row of a task's counts.
+COUNTERS, SPAN = 1 << 21, 1 << 11
+#: Documents counted in one task, and tokens held until they are added up, about.
 TOGETHER, HELD = 8192, 4_000_000
+#: Sizes within this factor share a band; a little above 4/3, the most that links.
+BAND = 1.34
 #: Bits in the map of documents whose sets a step needs.
 MARKS = 1 << 24
+#: Bits in the map of tokens that two groups have.
+TOKEN_MARKS = 1 << 26
 #: Words kept with their hashes; beyond it the memory is emptied, which costs time only.
 MEMORY = 1_000_000
 
@@ -118,50 +122,71 @@ def _words(value) -> list[bytes]:
     return (value.as_py() or b"").lower().split()
 
 
-def _common_tokens(docs: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of at least ``COMMON`` of the documents and their counts, about; only the order of tokens hangs on them.
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
-    Each task counts the distinct texts of a few thousand documents, and passes on
-    what is common there: what is common at all is so somewhere. Small partitions are
-    counted together, as in a few documents hardly anything occurs often enough.
-    """
 
-    def common_of(sets):
-        tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
-        many = counts >= max(3, COMMON * len(sets))
-        return pa.RecordBatch.from_arrays([pa.array(tokens[many].view(np.int64)), pa.array(counts[many], pa.int64())], names=["token", "n"])
+def _frequencies(docs: DataFrame, n_docs: int) -> np.ndarray:
+    """In how many texts the tokens of each slot stand: a sketch of fixed size, over all documents.
+
+    Only the order of tokens hangs on it. A task counts what it reads, repeated texts
+    once, and passes on its counters in spans that are summed as they arrive.
+    """
 
     def count(batches):
-        seen, sets, held = set(), [], 0
+        counters, held, size, seen = np.zeros(COUNTERS, np.int64), [], 0, set()
         for batch in batches:
             for value in batch.column(0).cast(pa.binary()):
                 words = _words(value)
-                if (key := hash(tuple(words))) not in seen:
-                    seen.add(key)
-                    sets.append(shingles(words))
-                    held += len(sets[-1])
-                if len(sets) >= TOGETHER or held >= HELD:
-                    yield common_of(sets)
-                    seen, sets, held = set(), [], 0
-        if sets:
-            yield common_of(sets)
-
-    counted = docs.select("text").coalesce(max(1, -(-n_docs // TOGETHER))).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    found = counted.where(F.col("n") >= max(3, COMMON * n_docs / 2)).toArrow()
-    tokens, counts = found.column("token").to_numpy().view(np.uint64), found.column("n").to_numpy()
-    order = np.argsort(tokens)
-    return tokens[order], counts[order]
-
-
-def _describe(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+                if (key := hash(tuple(words))) in seen:
+                    continue
+                seen.add(key)
+                held.append(_slots(shingles(words)))
+                size += len(held[-1])
+                if size >= HELD:
+                    counters += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                    held, size = [], 0
+            if len(seen) > MEMORY:
+                seen.clear()
+        if held:
+            counters += np.bincount(np.concatenate(held), minlength=COUNTERS)
+        # A task's counter ends at 65535, which such a slot has passed in any case.
+        packed = np.minimum(counters, 65535).astype("<u2").reshape(-1, SPAN)
+        for at in range(0, len(packed), 256):
+            part = packed[at : at + 256]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(at, at + len(part)), pa.int32()), pa.array([x.tobytes() for x in part], pa.binary())], names=["span", "counts"]
+            )
+
+    def total(batches):
+        sums = {}
+        for batch in batches:
+            for span, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = np.frombuffer(counts.as_buffer(), "<u2")
+                sums[span] = sums[span] + x if span in sums else x.astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(sums, pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["span", "counts"]
+        )
+
+    counted = docs.select("text").coalesce(max(1, -(-n_docs // TOGETHER))).mapInArrow(count, "span int, counts binary")
+    found = counted.repartition("span").mapInArrow(total, "span int, counts binary").toArrow()  # COUNTERS numbers
+    out = np.zeros((COUNTERS // SPAN, SPAN), np.int64)
+    for span, counts in zip(found.column(0).to_pylist(), found.column(1)):
+        out[span] = np.frombuffer(counts.as_buffer(), np.int64)
+    return np.minimum(out.ravel(), np.iinfo(np.int32).max).astype(np.int32)
+
+
+def _describe(docs: DataFrame, frequencies: np.ndarray) -> DataFrame:
     """doc_id, n_shingles, print (of the words), mins, prefix, listed, need of every document.
 
     The first ``listed`` tokens of ``prefix`` go into the matrix; a larger text that links has ``need`` of them.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+    shared = docs.sparkSession.sparkContext.broadcast(frequencies)  # of fixed size
+    load = float(frequencies.mean())
+    usual = load + 4 * load**0.5 + 3  # what tokens of few texts find in their slot
 
     def describe(batches):
-        common, counts = shared.value
+        frequencies = shared.value
         for batch in batches:
             rows = []
             for value in batch.column(1).cast(pa.binary()):
@@ -171,12 +196,10 @@ def _describe(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFra
                     rows.append((0, None, None, None, None, None))
                     continue
                 mins = [int(mixed(x * seed).min().view(np.int64)) for seed in _SEEDS]
-                at = np.searchsorted(common, x)
-                at[at == len(common)] = 0
-                hot = common[at] == x if len(common) else np.zeros(len(x), bool)
-                asks, listed, need = prefixes(len(x), int((~hot).sum()))
-                last = x[hot][np.argsort(counts[at[hot]], kind="stable")] if hot.any() else x[:0]
-                prefix = np.concatenate([x[~hot], last])[:asks]
+                # One order of all tokens: the rarest slots first, then by hash.
+                often = frequencies[_slots(x)]
+                asks, listed, need = prefixes(len(x), int((often <= usual).sum()))
+                prefix = x[np.argsort(often, kind="stable")[:asks]]
                 rows.append((len(x), hashlib.blake2b(b" ".join(words), digest_size=16).digest(), mins, prefix.view(np.int64), listed, need))
             n, prints, mins, prefix, listed, need = zip(*rows) if rows else ((), (), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -192,30 +215,32 @@ def _describe(docs: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFra
     return docs.select("doc_id", "text").mapInArrow(describe, schema)
 
 
-def _marks(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size with the hashes of those ids (doc_id)."""
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
-    words = ids.select(at.alias("at")).groupBy(F.shiftright("at", 5).cast("int").alias("word")).agg(
+def _bitmap(places: DataFrame, size: int) -> np.ndarray:
+    """A bitmap of ``size`` bits with those in the only column of ``places`` set."""
+    words = places.toDF("at").groupBy(F.shiftright("at", 5).cast("int").alias("word")).agg(
         F.expr("bit_or(shiftleft(1, cast(at % 32 AS int)))").alias("bits")
     )
-    out = np.zeros(MARKS // 32, np.int32)
-    for r in words.collect():  # at most MARKS / 32
-        out[r.word] = r.bits
+    found = words.toArrow()  # at most size / 32 rows of two numbers
+    out = np.zeros(size // 32, np.int32)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return out
 
 
+def _marked(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bitmap[at >> 5] >> (at & 31).astype(np.int32)) & 1 == 1
+
+
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """doc_id, tokens of at least the documents whose id is in ``ids`` (doc_id).
 
     A bitmap of their hashes passes few others, so that no text has to be shuffled;
     whoever joins the sets drops those.
     """
-    marks = docs.sparkSession.sparkContext.broadcast(_marks(ids))
+    marks = docs.sparkSession.sparkContext.broadcast(_bitmap(ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))), MARKS))
 
     def tokens(batches):
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            marked = batch.filter(pa.array((marks.value[at >> 5] >> (at & 31).astype(np.int32)) & 1 == 1))
+            marked = batch.filter(pa.array(_marked(marks.value, batch.column(2).to_numpy())))
             sets = [shingles(_words(v)).view(np.int64) for v in marked.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([marked.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "tokens"])
 
@@ -246,7 +271,40 @@ def _star_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
                     found.append(links(overlap(a, b), len(a), len(b)))
                 yield batch.select([0, 1]).filter(pa.array(found, pa.bool_()))
 
-    return met.mapInArrow(verify, "doc_id long, head long").toDF("a", "b")
+    stars = keep(met.mapInArrow(verify, "doc_id long, head long").toDF("a", "b"), "stars")
+    release(sets)
+    return stars
+
+
+def _shared_tokens(texts: DataFrame) -> DataFrame:
+    """token, listed, doc_id of the prefix tokens that two groups have, one of them in the matrix; and of a few others.
+
+    Tokens are combined before they are shuffled, whatever group repeats them. A
+    bitmap of those found picks their rows where they are, so that few rows move
+    twice; whatever passes it by mistake meets no other group.
+    """
+    rows = texts.select("grp", "listed", F.posexplode("prefix").alias("at", "token"))
+    tokens = rows.groupBy("token").agg(
+        F.min("grp").alias("low"), F.max("grp").alias("high"), F.max(F.col("at") < F.col("listed")).alias("any")
+    )
+    # Tokens are hashes: their last bits are their places.
+    places = tokens.where("low < high and any").select(F.pmod("token", F.lit(TOKEN_MARKS)))
+    marks = texts.sparkSession.sparkContext.broadcast(_bitmap(places, TOKEN_MARKS))
+
+    def pick(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                prefix = part.column(2)
+                tokens = prefix.flatten().to_numpy()
+                sizes = prefix.value_lengths().to_numpy().astype(np.int64)
+                doc = np.repeat(part.column(0).to_numpy(), sizes)
+                place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                listed = place < np.repeat(part.column(1).to_numpy(), sizes)
+                use = _marked(marks.value, tokens & (TOKEN_MARKS - 1))
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[use]), pa.array(listed[use]), pa.array(doc[use])], names=["token", "listed", "doc_id"])
+
+    return texts.select("doc_id", "listed", "prefix").mapInArrow(pick, "token long, listed boolean, doc_id long")
 
 
 def _group_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -256,20 +314,28 @@ def _group_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """
     blocks = texts.groupBy("grp").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks")).where("blocks > 1")
     block = F.pmod(F.xxhash64("doc_id"), F.coalesce(F.col("blocks"), F.lit(1)))
-    placed = texts.join(blocks, "grp", "left").select("doc_id", F.col("n_shingles").alias("n"), "need", "grp", block.alias("block"))
+    band = F.floor(F.log("n_shingles") / math.log(BAND)).alias("band")  # linked sizes are in one band or in neighbours
+    placed = texts.join(blocks, "grp", "left").select("doc_id", F.col("n_shingles").alias("n"), "need", "grp", block.alias("block"), band)
     placed = keep(placed.distinct(), "blocks")
-    # Only tokens that two groups have, one in the matrix, matter. A window, so that the rows shuffle once.
-    token = W.partitionBy("token")
-    rows = texts.select(F.posexplode("prefix").alias("at", "token"), "listed", "doc_id", "grp").withColumn("listed", F.col("at") < F.col("listed"))
-    rows = rows.withColumn("low", F.min("grp").over(token)).withColumn("high", F.max("grp").over(token)).withColumn("any", F.max("listed").over(token))
-    rows = keep(rows.where("low < high and any").select("token", "listed", "doc_id").join(placed, "doc_id"), "shared-tokens")
-    matrix = rows.where("listed").groupBy("token", "grp", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("need").alias("need"))
-    asking = rows.select("token", "doc_id", "n", F.col("grp").alias("own"))
+    rows = keep(_shared_tokens(texts).join(placed, "doc_id"), "shared-tokens")
+    matrix = rows.where("listed").groupBy("token", "band", "grp", "block").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("need").alias("need")
+    )
+    matrix = keep(matrix, "matrix")
+    groups = matrix.groupBy("token", "band", "grp").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    # A text links to smaller ones of its own band or of the one below.
+    asking = rows.select("token", "doc_id", "n", F.col("grp").alias("own"), F.explode(F.array("band", F.col("band") - 1)).alias("band"))
     # The larger text asks; of two of one size, that of the larger group does.
     smaller = (F.col("least") < F.col("n")) | ((F.col("least") == F.col("n")) & (F.col("own") > F.col("grp")))
-    fits = (F.col("own") != F.col("grp")) & smaller & (4 * F.col("most") >= 3 * F.col("n"))
-    met = asking.join(matrix, "token").where(fits).groupBy("doc_id", "n", "grp", "block").agg(F.count("*").alias("shared"), F.min("need").alias("need"))
+    fits = smaller & (4 * F.col("most") >= 3 * F.col("n"))
+    # Groups first: no text meets the blocks of its own group.
+    met = asking.join(groups, ["token", "band"]).where((F.col("own") != F.col("grp")) & fits).drop("least", "most")
+    met = met.join(matrix, ["token", "band", "grp"]).where(fits).groupBy("doc_id", "n", "grp", "block").agg(
+        F.count("*").alias("shared"), F.min("need").alias("need")
+    )
     asked = keep(met.where("shared >= need").select("doc_id", "grp", "block").distinct(), "asked")
+    release(rows)
+    release(matrix)
     salts = asked.groupBy("grp", "block").agg(F.ceil(F.count("*") / ASKERS).alias("salts"))
     members = placed.select("doc_id", "grp", "block").join(salts, ["grp", "block"])
     sets = keep(_sets(docs, asked.select("doc_id").union(members.select("doc_id")).distinct()), "sets")
@@ -294,7 +360,10 @@ def _group_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
 
     keys, cols = ["grp", "block", "salt"], ["grp", "block", "salt", "doc_id", "tokens"]
     right = right.select(*[F.col(c).alias(c) for c in cols])  # columns of its own, not those of ``left``
-    return left.select(*cols).groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(open_groups, "a long, b long")
+    opened = left.select(*cols).groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(open_groups, "a long, b long")
+    between = keep(opened, "between")
+    release(sets)
+    return between
 
 
 def link_components(docs: DataFrame) -> DataFrame:
@@ -307,19 +376,18 @@ def link_components(docs: DataFrame) -> DataFrame:
     links: their component is null.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    common = _common_tokens(docs, docs.count())
-    described = keep(_describe(docs, common), "described")
+    described = keep(_describe(docs, _frequencies(docs, docs.count())), "described")
     copies = described.where("doc_id is not null and n_shingles > 0")
     heads = keep(copies.groupBy("print").agg(F.min("doc_id").alias("head")), "heads")
     same = keep(copies.select("doc_id", "print").distinct().join(heads, "print").select("doc_id", "head"), "copies")
     texts = keep(same.where("doc_id = head").select("doc_id").distinct(), "texts")
     described_texts = copies.join(texts, "doc_id", "left_semi")
-    stars = keep(_star_links(docs, described_texts.select("doc_id", "mins")), "stars")
+    stars = _star_links(docs, described_texts.select("doc_id", "mins"))
     groups = components(stars)
     grouped = described_texts.join(groups, described_texts.doc_id == groups.node, "left").select(
         "doc_id", "n_shingles", "prefix", "listed", "need", F.coalesce("component", "doc_id").alias("grp")
     )
-    between = keep(_group_links(docs, grouped), "between")
+    between = _group_links(docs, grouped)
     found = components(same.toDF("a", "b").union(stars).union(between))
     out = described.select("doc_id", "n_shingles").join(found, described.doc_id == found.node, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
