@@ -105,3 +105,28 @@ def test_numbers_as_times(spark):
 
 def test_a_repeated_json_key_keeps_its_last_value(spark):
     assert values(spark, lambda c: V.at(V.parse(c), "$.a"), ['{"a":1,"a":2}']) == ["2"]
+
+
+def test_references_equal_the_standard_library(spark):
+    """Random references, whole and broken, against the decoder of the standard library."""
+    import html
+    import random
+    from html.entities import html5
+
+    draw = random.Random(3)
+    names = sorted(html5)
+    parts = [
+        lambda: "&" + draw.choice(names),
+        lambda: "&" + draw.choice(names).rstrip(";") + draw.choice(["", ";", "x", "1;", " ", "=", "é;"]),
+        lambda: "&" + draw.choice(names)[: draw.randint(1, 6)],
+        lambda: f"&#{draw.choice([draw.randrange(300), draw.randrange(0x120000), 65279, 65534, 0x1FFFE, 10**20])}" + draw.choice(["", ";"]),
+        lambda: f"&#{draw.choice('xX')}{draw.choice([draw.randrange(300), draw.randrange(0x120000), 0xFEFF, 0xD800, 16**9]):0{draw.randint(1, 9)}x}" + draw.choice(["", ";", "g"]),
+        lambda: draw.choice(["&", "&&", "&#", "&#x", "&;", "&#;", "a b", "\U0001f600", "&\U0001f600amp;", "&amp;lt;", "\n", "&" + "n" * 40 + ";", "$1\\"]),
+    ]
+    texts = ["".join(draw.choice(parts)() for _ in range(draw.randint(1, 6))) for _ in range(4000)] + ["&" + n for n in names] + [f"&#{n};" for n in range(260)]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string").coalesce(4)
+    decoded = frame.select("text", X.decode_references(F.col("text")).alias("got"))
+    for row in decoded.collect():
+        assert row.got == (None if row.text is None else html.unescape(row.text)), row.text
+    plan = frame.select(X.strip_html(F.col("text")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "from_json" not in plan
