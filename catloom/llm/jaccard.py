@@ -42,9 +42,9 @@ STEP = 20
 #: Slots a text shares with the smallest id before they are compared.
 ALIKE = 3
 #: Counters of tokens by the leading bits of their hash, and those in a row of a task's counts.
-COUNTERS, SPAN = 1 << 21, 1 << 11
+COUNTERS, SPAN = 1 << 20, 1 << 11
 #: Documents counted in one task, and tokens held until they are added up, about.
-TOGETHER, HELD = 8192, 4_000_000
+TOGETHER, HELD = 8192, 1_000_000
 #: Sizes within this factor share a band; a little above 4/3, the most that links.
 BAND = 1.34
 #: Bits in the map of documents whose sets a step needs.
@@ -276,48 +276,71 @@ def _star_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
     return stars
 
 
-def _shared_tokens(texts: DataFrame) -> DataFrame:
-    """token, listed, doc_id of the prefix tokens that two groups have, one of them in the matrix; and of a few others.
+def _prefix_tokens(batch, chosen: np.ndarray):
+    """token, listed, doc_id of every prefix token of the chosen rows of a batch (doc_id, listed, prefix, ...)."""
+    rows = batch.filter(pa.array(chosen))
+    prefix = rows.column(2)
+    sizes = prefix.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    tokens = prefix.flatten().to_numpy()
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return tokens, place < np.repeat(rows.column(1).to_numpy(), sizes), np.repeat(rows.column(0).to_numpy(), sizes)
 
-    Tokens are combined before they are shuffled, whatever group repeats them. A
-    bitmap of those found picks their rows where they are, so that few rows move
-    twice; whatever passes it by mistake meets no other group.
+
+def _shared_tokens(copies: DataFrame, texts: DataFrame) -> DataFrame:
+    """token, listed, doc_id of the prefix tokens that two of ``texts`` (doc_id) have, one of them in the matrix; and of a few others.
+
+    ``copies`` (doc_id, listed, prefix) holds them among others. No prefix is
+    shuffled: a bitmap of the ids passes the texts, tokens are counted and combined
+    before they move, and a bitmap of those found picks their rows where they are.
+    What either passes by mistake is dropped by later joins.
     """
-    rows = texts.select("grp", "listed", F.posexplode("prefix").alias("at", "token"))
-    tokens = rows.groupBy("token").agg(
-        F.min("grp").alias("low"), F.max("grp").alias("high"), F.max(F.col("at") < F.col("listed")).alias("any")
-    )
-    # Tokens are hashes: their last bits are their places.
-    places = tokens.where("low < high and any").select(F.pmod("token", F.lit(TOKEN_MARKS)))
-    marks = texts.sparkSession.sparkContext.broadcast(_bitmap(places, TOKEN_MARKS))
+    context = copies.sparkSession.sparkContext
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS))
+    wanted = context.broadcast(_bitmap(texts.select(place), MARKS))
+    rows = copies.select("doc_id", "listed", "prefix", place)
 
-    def pick(batches):
+    def parts(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                prefix = part.column(2)
-                tokens = prefix.flatten().to_numpy()
-                sizes = prefix.value_lengths().to_numpy().astype(np.int64)
-                doc = np.repeat(part.column(0).to_numpy(), sizes)
-                place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                listed = place < np.repeat(part.column(1).to_numpy(), sizes)
-                use = _marked(marks.value, tokens & (TOKEN_MARKS - 1))
-                yield pa.RecordBatch.from_arrays([pa.array(tokens[use]), pa.array(listed[use]), pa.array(doc[use])], names=["token", "listed", "doc_id"])
+                yield part, _marked(wanted.value, part.column(3).to_numpy())
+
+    def count(batches):
+        for part, chosen in parts(batches):
+            tokens, listed, _ = _prefix_tokens(part, chosen)
+            # One number: how many have the token, and above 32 bits how many list it.
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(1 + (listed.astype(np.int64) << 32))], names=["token", "n"])
+
+    counted = rows.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    several = counted.where((F.col("n") % (1 << 32) > 1) & (F.col("n") > 1 << 32))
+    # Tokens are hashes: their last bits are their places.
+    shared = context.broadcast(_bitmap(several.select(F.pmod("token", F.lit(TOKEN_MARKS))), TOKEN_MARKS))
+
+    def pick(batches):
+        for part, chosen in parts(batches):
+            tokens, listed, doc = _prefix_tokens(part, chosen)
+            use = _marked(shared.value, tokens & (TOKEN_MARKS - 1))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[use]), pa.array(listed[use]), pa.array(doc[use])], names=["token", "listed", "doc_id"])
 
-    return texts.select("doc_id", "listed", "prefix").mapInArrow(pick, "token long, listed boolean, doc_id long")
+    return rows.mapInArrow(pick, "token long, listed boolean, doc_id long")
 
 
-def _group_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
+def _group_links(docs: DataFrame, copies: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b: a link between texts of different groups, at least one for any two blocks that have one.
 
-    ``texts``: doc_id, n_shingles, prefix, listed, need, grp.
+    ``texts``: doc_id, n_shingles, need, grp; ``copies`` has their prefixes.
     """
     blocks = texts.groupBy("grp").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks")).where("blocks > 1")
     block = F.pmod(F.xxhash64("doc_id"), F.coalesce(F.col("blocks"), F.lit(1)))
     band = F.floor(F.log("n_shingles") / math.log(BAND)).alias("band")  # linked sizes are in one band or in neighbours
     placed = texts.join(blocks, "grp", "left").select("doc_id", F.col("n_shingles").alias("n"), "need", "grp", block.alias("block"), band)
     placed = keep(placed.distinct(), "blocks")
-    rows = keep(_shared_tokens(texts).join(placed, "doc_id"), "shared-tokens")
+    picked = keep(_shared_tokens(copies, placed.select("doc_id")).join(placed, "doc_id"), "picked-tokens")
+    # Only tokens that two groups have, one in the matrix, matter.
+    among = picked.groupBy("token").agg(F.min("grp").alias("low"), F.max("grp").alias("high"), F.max("listed").alias("any"))
+    among = keep(among.where("low < high and any").select("token"), "two-groups")
+    rows = keep(picked.join(among, "token"), "shared-tokens")
+    release(picked)
     matrix = rows.where("listed").groupBy("token", "band", "grp", "block").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("need").alias("need")
     )
@@ -385,9 +408,9 @@ def link_components(docs: DataFrame) -> DataFrame:
     stars = _star_links(docs, described_texts.select("doc_id", "mins"))
     groups = components(stars)
     grouped = described_texts.join(groups, described_texts.doc_id == groups.node, "left").select(
-        "doc_id", "n_shingles", "prefix", "listed", "need", F.coalesce("component", "doc_id").alias("grp")
+        "doc_id", "n_shingles", "need", F.coalesce("component", "doc_id").alias("grp")
     )
-    between = _group_links(docs, grouped)
+    between = _group_links(docs, copies.select("doc_id", "listed", "prefix"), grouped)
     found = components(same.toDF("a", "b").union(stars).union(between))
     out = described.select("doc_id", "n_shingles").join(found, described.doc_id == found.node, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
