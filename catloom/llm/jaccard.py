@@ -51,8 +51,10 @@ BAND = 1.34
 MARKS = 1 << 24
 #: Bits in the map of tokens that two groups have.
 TOKEN_MARKS = 1 << 26
+#: Rows of a batch worked on at once.
+SLICE = 500
 #: Words kept with their hashes; beyond it the memory is emptied, which costs time only.
-MEMORY = 1_000_000
+MEMORY = 1 << 18
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, SLOTS, dtype=np.uint64) | np.uint64(1)
@@ -187,7 +189,7 @@ def _describe(docs: DataFrame, frequencies: np.ndarray) -> DataFrame:
 
     def describe(batches):
         frequencies = shared.value
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             rows = []
             for value in batch.column(1).cast(pa.binary()):
                 words = _words(value)
@@ -241,8 +243,10 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def tokens(batches):
         for batch in batches:
             marked = batch.filter(pa.array(_marked(marks.value, batch.column(2).to_numpy())))
-            sets = [shingles(_words(v)).view(np.int64) for v in marked.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([marked.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "tokens"])
+            for at in range(0, marked.num_rows, SLICE):
+                part = marked.slice(at, SLICE)
+                sets = [shingles(_words(v)).view(np.int64) for v in part.column(1).cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "tokens"])
 
     at = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).alias("at")
     return docs.where("doc_id is not null").select("doc_id", "text", at).mapInArrow(tokens, "doc_id long, tokens array<long>")
@@ -263,8 +267,8 @@ def _star_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def verify(batches):
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
                 found = []
                 for a, b in zip(batch.column(2), batch.column(3)):
                     a, b = _unsigned(a), _unsigned(b)
@@ -301,8 +305,8 @@ def _shared_tokens(copies: DataFrame, texts: DataFrame) -> DataFrame:
 
     def parts(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 yield part, _marked(wanted.value, part.column(3).to_numpy())
 
     def count(batches):
