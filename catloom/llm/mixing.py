@@ -76,18 +76,21 @@ def systematic_copies(rows: DataFrame, group: str, expected: str, order: list[st
     return placed.select(*names, crossed.alias("copies"))
 
 
-def mix(docs: DataFrame, seed: str = "mix") -> DataFrame:
-    """doc_id, size, source, source_size, target, copies, taken of every document.
+def mix(docs: DataFrame, seed: str = "mix", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, size, source, source_size, target, copies, taken of every document, then its columns ``carry``.
+
+    ``carry`` is of other names than these; it comes last in the order of the documents.
 
     Size is the number of words, 0 for null or blank text; such documents, and
     sources of size 0, have target share 0 words whatever their copies. A null
     source is a source; null ids sort first. Repeated rows each count. No row
     gives no rows.
     """
-    sizes = keep(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    sizes = keep(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *carry), "mix-sizes")
     aims = targets(sizes).withColumnRenamed("source", "_source")
     joined = sizes.join(aims, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = joined.withColumn("_expected", F.floor(share * SCALE + F.lit(0.5)).cast("long"))
-    taken = systematic_copies(rows, "source", "_expected", ["size", "doc_id"], seed)
-    return taken.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    taken = systematic_copies(rows, "source", "_expected", ["size", "doc_id", *carry], seed)
+    words = (F.col("copies") * F.col("size")).alias("taken")
+    return taken.select("doc_id", "size", "source", "source_size", "target", "copies", words, *carry)
