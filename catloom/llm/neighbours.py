@@ -4,7 +4,8 @@ Every vector is scaled to length 1, rotated by a fixed random rotation and store
 the signs of its coordinates, packed into 64-bit words, with two scalars: its length,
 and how well the code aligns with it. From those, and a query's coordinates rounded
 to a few bits, the inner product is estimated by counting common bits; the alignment
-bounds the error of the estimate. In a block of codes, the vectors of the highest
+bounds the error of the estimate. Short vectors are padded with zeros before the
+rotation, as more bits tighten the bound. In a block of codes, the vectors of the highest
 estimates are scored exactly, and then all whose upper bound reaches the k-th best
 of those scores. Every block of the index meets every block of queries.
 """
@@ -22,15 +23,21 @@ from catloom.llm.common import keep
 
 #: Rows of the index and of the queries in one task, about.
 BLOCK, QUERIES = 8192, 2048
+#: Bits of a code at least.
+WIDE = 256
 #: Bits of a rounded query coordinate.
 BITS = 6
+#: So many times the vectors asked for are scored exactly before the bound is set.
+LIKELY = 4
+#: Estimates held at a time.
+HELD = 1 << 19
 #: Standard deviations that the error bound spans.
 SPAN = 2.5
 
 
 def rotation(size: int, seed: int = 7) -> np.ndarray:
-    """A random orthogonal matrix for ``size`` coordinates, padded to whole words."""
-    wide = -(-size // 64) * 64
+    """A random orthogonal matrix for ``size`` coordinates, padded to whole words and ``WIDE`` at least."""
+    wide = max(-(-size // 64) * 64, WIDE)
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((wide, wide)))
     return (q * np.sign(np.diag(r)))[:size]
 
@@ -43,41 +50,49 @@ def encode(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words of code, lengths and alignments of the rows of ``x`` (none of them zero)."""
     largest = np.abs(x).max(axis=1, keepdims=True)  # so that squares stay finite
     length = np.sqrt(((x / largest) ** 2).sum(axis=1)) * largest[:, 0]
-    turned = (x / length[:, None]) @ rotation(x.shape[1])
+    turned = (x / length[:, None]) @ rotation_of(x.shape[1])
     return packed(turned > 0), length, np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1])
 
 
-def estimate(codes: np.ndarray, align: np.ndarray, ones: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated cosines of one rotated query of length 1 with all codes, and their error bounds."""
-    wide = len(turned)
-    low = turned.min()
-    step = max((turned.max() - low) / ((1 << BITS) - 1), 1e-300)
+def estimates(codes: np.ndarray, align: np.ndarray, ones: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated cosines of rotated queries of length 1 with all codes, and their error bounds, both by query and code."""
+    wide = turned.shape[1]
+    low = turned.min(axis=1, keepdims=True)
+    step = np.maximum((turned.max(axis=1, keepdims=True) - low) / ((1 << BITS) - 1), 1e-300)
     levels = np.rint((turned - low) / step).astype(np.uint8)
-    planes = packed(np.array([(levels >> j) & 1 for j in range(BITS)], np.uint8))
-    common = sum((np.bitwise_count(codes & planes[j]).sum(axis=1, dtype=np.int64) << j) for j in range(BITS))
-    dot = (2 * (low * ones + step * common) - (low * wide + step * levels.sum(dtype=np.int64))) / np.sqrt(wide)
-    spread = np.sqrt(np.maximum(1 - align**2, 0)) / align
-    return dot / align, SPAN * spread / np.sqrt(wide - 1) + step * np.sqrt(wide) / 2 / align
-
-
-def nearest(x: np.ndarray, codes: np.ndarray, length: np.ndarray, align: np.ndarray, ids: np.ndarray, query: np.ndarray, own, k: int):
-    """Rows of the k largest exact inner products found, and those; ties to the smaller id."""
-    others = np.flatnonzero(ids != own) if own is not None else np.arange(len(ids))
-    if len(others) == 0:
-        return others, np.zeros(0)
-    size = np.abs(query).max()
-    norm = np.sqrt(((query / size) ** 2).sum()) * size
+    common = np.zeros((len(turned), len(codes)), np.uint16 if wide << BITS < 1 << 16 else np.uint32)
+    for j in range(BITS - 1, -1, -1):
+        common <<= 1
+        plane = packed((levels >> j) & 1)
+        for word in range(plane.shape[1]):
+            common += np.bitwise_count(plane[:, word, None] & codes[:, word])
+    # The sum of a query's coordinates where a code has a one, twice, less the sum of all.
+    dot = (common * (2 * step) + (2 * low * ones - low * wide - step * levels.sum(axis=1, keepdims=True, dtype=np.int64))) / np.sqrt(wide)
+    # Variances of what a code leaves out, and of rounding, which is even within a step.
+    spread = np.maximum(1 - align**2, 0) / (wide - 1) + step**2 / 12
+    return dot / align, SPAN * np.sqrt(spread) / align
+
+
+def nearest(x: np.ndarray, codes: np.ndarray, length: np.ndarray, align: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int):
+    """For each query in turn, rows of the k largest exact inner products found, without rows of its own id, and those; ties to the smaller id."""
+    size = np.abs(queries).max(axis=1, keepdims=True)
+    norm = np.sqrt(((queries / size) ** 2).sum(axis=1, keepdims=True)) * size
+    turned = (queries / norm) @ rotation_of(queries.shape[1])
     ones = np.bitwise_count(codes).sum(axis=1, dtype=np.int64)
-    cosine, error = estimate(codes, align, ones, (query / norm) @ rotation_of(len(query)))
-    high = length * (cosine + error)
-    if len(others) > k:
-        likely = others[np.argpartition(-(length * cosine)[others], k - 1)[:k]]
-        least = exact(x[likely], query).min() / norm
-        others = others[high[others] >= least - 1e-9 * abs(least)]
-        others = np.union1d(others, likely)
-    scores = exact(x[others], query)
-    best = np.lexsort((ids[others], -scores))[:k]
-    return others[best], scores[best]
+    slices = max(1, HELD // len(codes))
+    for first in range(0, len(queries), slices):
+        cosine, error = estimates(codes, align, ones, turned[first : first + slices])
+        middle, high = length * cosine, length * (cosine + error)
+        for at, query in enumerate(queries[first : first + slices]):
+            others = np.flatnonzero(ids != own[first + at])
+            if len(others) > k:
+                guess = middle[at, others]
+                likely = others[np.argpartition(guess, -min(LIKELY * k, len(guess)))[-LIKELY * k :]]
+                least = np.partition(exact(x[likely], query), -k)[-k] / norm[first + at, 0]
+                others = np.union1d(others[high[at, others] >= least - 1e-9 * abs(least)], likely)
+            scores = exact(x[others], query)
+            best = np.lexsort((ids[others], -scores))[:k]
+            yield others[best], scores[best]
 
 
 def exact(x: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -154,9 +169,9 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOCK
             codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint64).reshape(len(x), -1)
             length, align = rows.column("length").to_numpy(), rows.column("align").to_numpy()
             ids = rows.column("vec_id").to_numpy()
-            for own, key, query in zip(asking.column("vec_id").to_pylist(), asking.column("key").to_pylist(), q):
-                at, scores = nearest(x, codes, length, align, ids, query, own, k)
-                out["query_id"] += [own] * len(at)
+            own = asking.column("vec_id").to_numpy()
+            for asker, key, (at, scores) in zip(own.tolist(), asking.column("key").to_pylist(), nearest(x, codes, length, align, ids, q, own, k)):
+                out["query_id"] += [asker] * len(at)
                 out["query_key"] += [key] * len(at)
                 out["vec_id"] += ids[at].tolist()
                 out["score"] += scores.tolist()
