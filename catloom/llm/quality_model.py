@@ -66,6 +66,21 @@ class Model:
         return float(sigmoid(self.slope * (self.weights[at] @ r / norm + self.weights[-1]) + self.offset))
 
 
+class Scaled:
+    """The rows of a sample by number: features, and their ratios scaled to length 1, worked out when asked for."""
+
+    def __init__(self, sample: list[np.ndarray], use: np.ndarray, ratio: np.ndarray):
+        self.sample, self.use, self.ratio = sample, use, ratio
+
+    def __len__(self) -> int:
+        return len(self.use)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        at = self.sample[self.use[i]]
+        r = self.ratio[at]
+        return at, r / (np.sqrt(r @ r) or 1.0)
+
+
 def fit(sample: list[np.ndarray], good: np.ndarray, odds: float = 1.0, beta: float = BETA) -> Model:
     """``odds``: how much likelier label 1 is among all rows than in the sample.
 
@@ -84,13 +99,9 @@ def fit(sample: list[np.ndarray], good: np.ndarray, odds: float = 1.0, beta: flo
             counts[int(good[i])][sample[i]] += 1
         share = counts / counts.sum(1, keepdims=True)
         ratio = np.log(share[1] / share[0])
-        rows = []
-        for i in use:
-            r = ratio[sample[i]]
-            rows.append((sample[i], r / (np.sqrt(r @ r) or 1.0)))
         signs = np.where(good[use], 1.0, -1.0)
         cost = len(use) / (2.0 * np.array([(signs == s).sum() for s in signs]))
-        w = dual_descent(rows, signs, SIZE, cost)
+        w = dual_descent(Scaled(sample, use, ratio), signs, SIZE, cost)
         w[:-1] = (1 - beta) * np.abs(w[:-1]).mean() + beta * w[:-1]
         return ratio, w
 
@@ -127,6 +138,11 @@ def sample_ids(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[list
     return [tuple(r) for r in chosen], counts
 
 
+def unpacked(x: bytes) -> np.ndarray:
+    """Features from the flags of all or the numbers of a few."""
+    return np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8))).astype(np.uint32) if len(x) == SIZE // 8 else np.frombuffer(x, "<u4")
+
+
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Fit on the texts of ``docs`` whose id ``labels`` calls 0 or 1 in quality; other rows are no examples.
 
@@ -144,18 +160,16 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
                 packed = np.packbits(flags).tobytes() if len(at) * 32 > SIZE else at.astype("<u4").tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([q.as_py()], pa.int32()), pa.array([packed], pa.binary())], names=["q", "x"])
 
-    rows = []
+    sample, good = [], np.zeros(0, bool)
     if chosen:
         ids = F.broadcast(docs.sparkSession.createDataFrame(chosen, "doc_id long, t long, q int"))  # 2 * per_class rows at most
         texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("t"))
         # A repeated row is one example; it is dropped before it moves.
         once = texts.join(ids, ["doc_id", "t"]).groupBy("doc_id", "t", "q").agg(F.first("text").alias("text"))
-        rows = sorted((r.q, bytes(r.x)) for r in once.select("q", "text").mapInArrow(bits, "q int, x binary").collect())
-    sample = [
-        np.flatnonzero(np.unpackbits(np.frombuffer(x, np.uint8))) if len(x) == SIZE // 8 else np.frombuffer(x, "<u4").astype(np.int64)
-        for _, x in rows
-    ]
-    good = np.array([q == 1 for q, _ in rows], bool)
+        rows = once.select("q", "text").mapInArrow(bits, "q int, x binary").toArrow().sort_by([("q", "ascending"), ("x", "ascending")])
+        good = np.array(rows.column("q").to_pylist(), int) == 1
+        sample = [unpacked(x.as_py()) for x in rows.column("x")]
+        del rows
     odds = (counts[1] / good.sum()) / (counts[0] / (~good).sum()) if 0 < good.sum() < len(good) else 1.0
     return fit(sample, good, odds)
 
