@@ -9,8 +9,10 @@ counted beyond its words. Scans end when no active phrase is left.
 
 When a phrase reached the threshold is kept as the number of the next scan, in a table
 of fixed size addressed by the phrase's hash, which every task gets. Phrases that share
-a place there share the smaller number, which at most activates some too early: they are
-counted for a whole cycle all the same, and judged by their exact count.
+a place there share the smaller number. A longer phrase built on one of them is activated
+no earlier than the phrase itself was, before which its occurrences would not be seen; so
+sharing at most activates some too early: they are counted for a whole cycle all the
+same, and judged by their exact count.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ SHARDS, LENGTHS, THRESHOLD = 3, 4, 30
 SLOTS = 1 << 23
 #: Bytes of text counted together in a task, and counts passed on at once; both bound its memory.
 BLOCK, PASSED = 8_000_000, 100_000
-_LAST = np.uint64(SLOTS - 1)
 NEVER = 255
 TOP = 2000
 #: Parts that a language's candidates are ranked in before the ranking of the best of each.
@@ -57,6 +58,7 @@ def active_counts(lang: bytes, texts: pa.Array, since: list[np.ndarray], scan: i
     ``since[length - 1]`` is the table of that length: at the slot of a phrase the first
     scan that may build on it. Keys are language, tab, words.
     """
+    place = np.uint64(len(since[0]) - 1)
     tokens = pc.split_pattern(texts, b" ").flatten().dictionary_encode()
     words, a = tokens.dictionary, tokens.indices.to_numpy()
     first = pc.binary_join_element_wise(pa.scalar(lang), words, b"\t")
@@ -68,9 +70,9 @@ def active_counts(lang: bytes, texts: pa.Array, since: list[np.ndarray], scan: i
     if scan < shards:
         n = np.bincount(a, minlength=len(words))
         seen = np.flatnonzero(is_word & (n > 0))
-        yield 1, first.take(pa.array(seen)), np.zeros(len(seen), np.int64), (hashes[seen] & _LAST).astype(np.int64), n[seen]
+        yield 1, first.take(pa.array(seen)), np.zeros(len(seen), np.int64), (hashes[seen] & place).astype(np.int64), n[seen]
     # At each place: the number of the phrase that starts there, and when it reached the threshold.
-    phrase, ready = a, np.where(is_word, since[0][hashes & _LAST], NEVER)[a]
+    phrase, ready = a, np.where(is_word, since[0][hashes & place], NEVER)[a]
     parts, hashed = np.arange(len(words))[:, None], hashes
     for length in range(2, LENGTHS + 1):
         both = np.maximum(ready[:-1], ready[1:])
@@ -81,7 +83,7 @@ def active_counts(lang: bytes, texts: pa.Array, since: list[np.ndarray], scan: i
         left, last = np.divmod(distinct, len(words))
         parts = np.column_stack([parts[left], last])
         hashed = _mixed(hashed[left] * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[last])
-        slots = (hashed & _LAST).astype(np.int64)
+        slots = (hashed & place).astype(np.int64)
         begun = np.empty(len(distinct), np.int64)
         begun[numbers] = both[at]
         active = np.flatnonzero(scan < begun + shards)
@@ -91,7 +93,7 @@ def active_counts(lang: bytes, texts: pa.Array, since: list[np.ndarray], scan: i
             yield length, pc.binary_join_element_wise(*chosen, b" "), begun[active], slots[active], n
         if length < LENGTHS:
             phrase, ready = np.zeros(len(both), np.int64), np.full(len(both), NEVER, np.uint8)
-            phrase[at], ready[at] = numbers, since[length - 1][slots][numbers]
+            phrase[at], ready[at] = numbers, np.maximum(since[length - 1][slots], begun.astype(np.uint8))[numbers]
 
 
 def _normal(docs: DataFrame) -> DataFrame:
@@ -135,7 +137,7 @@ def _scan(shard: DataFrame, shared, scan: int, shards: int) -> DataFrame:
 
 
 def _mark(table: np.ndarray, reached: DataFrame, scan: int) -> bool:
-    """Enter the next scan at the unset ones of those slots; at most ``SLOTS`` / 32 rows come back."""
+    """Enter the next scan at the unset ones of those slots; at most one row for 32 places comes back."""
     words = reached.groupBy(F.shiftright("slot", 5).alias("word")).agg(F.expr("bit_or(shiftleft(1, slot % 32))").alias("bits"))
     found = words.toArrow()
     bits = found.column("bits").to_numpy().astype(np.int32).view(np.uint32)
@@ -146,15 +148,16 @@ def _mark(table: np.ndarray, reached: DataFrame, scan: int) -> bool:
     return len(new) > 0
 
 
-def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
     """lang, length, phrase, n of every phrase that occurs so often; and lang, n of all its words.
 
     Occurrences are counted within pieces, overlaps included, over all rows: repeated
     rows count again, null and empty texts hold nothing, a null language is ``und``.
+    ``slots``, a power of two of at least 32, sizes the tables; results do not hang on it.
     """
     dealt = _normal(docs).withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int"))
     dealt = keep(dealt, "phrase-shards", "shard")
-    since = [np.full(SLOTS, NEVER, np.uint8) for _ in range(LENGTHS - 1)]
+    since = [np.full(slots, NEVER, np.uint8) for _ in range(LENGTHS - 1)]
     starts = [{0}, *(set() for _ in range(LENGTHS - 1))]  # by length: scans from which some phrase is counted
     frequent, pending, words, scan = [], None, None, 0
     while any(first + shards > scan for length in starts for first in length):
@@ -175,7 +178,9 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, shards: int =
         often = pending.where(F.col("n") >= threshold)
         frequent.append(keep(often.where(F.col("since") + shards == scan + 1).select("key", "length", "n"), "phrases"))
         for length in range(1, LENGTHS):
-            if any(first <= scan < first + shards for first in starts[length - 1]):
+            # A phrase begins when both parts are ready, or when one began that a shared place made ready before.
+            begins = {first for shorter in starts[:length] for first in shorter if first >= min(starts[length - 1], default=NEVER)}
+            if any(first <= scan < first + shards for first in begins):
                 if _mark(since[length - 1], often.where(F.col("length") == length), scan):
                     starts[length].add(scan + 1)
         scan += 1

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from catloom.llm import codes, collocations, licenses, queries_spans, registry
@@ -190,3 +191,33 @@ def test_a_coarse_table_changes_nothing(spark, monkeypatch):
     want = sorted(tuple(r) for r in collocations.collocations(df, 50, 5).collect())
     assert want == plain_collocations(rows, 5, 50)
     assert collocations.collocations(df.limit(0)).count() == 0
+
+
+def test_phrases_that_share_a_place_are_counted_whole(spark):
+    """"rare mid end" builds on "rare mid", whose place an earlier phrase marks before "rare" is frequent."""
+    mask, times = np.uint64(collocations.SLOTS - 1), np.uint64(0xC2B2AE3D27D4EB4F)
+
+    def hashes(words):
+        return np.array([xxhash.xxh3_64_intdigest(f"en\t{w}".encode()) for w in words], np.uint64)
+
+    rare, common = [f"r{i}" for i in range(20000)], [f"c{i}" for i in range(20000)]
+    at = [collocations._mixed(h) & mask for h in (hashes(rare) * times + hashes(["mid"]), hashes(["mid"]) * times + hashes(common))]
+    _, i, j = np.intersect1d(*at, return_indices=True)
+    x, y = rare[i[0]], common[j[0]]
+    rows = [("en", f"mid end. mid {y}")] * 240 + [("en", f"{x} mid end")] * 36
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    got = sorted(tuple(r) for r in collocations.collocations(df).collect())
+    assert got == plain_collocations(rows, 30, 50)
+
+
+@pytest.mark.parametrize("shards", [3, 4])
+def test_few_places_change_nothing(spark, shards):
+    rng = np.random.default_rng(shards)
+    rows = [("en", " ".join(f"w{int(k)}" for k in rng.zipf(1.3, rng.integers(5, 60)) if k < 90)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    found, _ = collocations.frequent_phrases(df, 8, shards, 32)
+    want = Counter()
+    for _, text in rows:
+        w = text.split()
+        want.update(" ".join(w[i : i + m]) for m in range(1, 5) for i in range(len(w) - m + 1))
+    assert {r.phrase: r.n for r in found.collect()} == {p: a for p, a in want.items() if a >= 8}
