@@ -11,6 +11,9 @@ from catloom.session import shared_folder
 SPACE = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
 
+#: Spark's switch to delete the shuffle files of a query at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -40,11 +43,18 @@ def keep(df: DataFrame, purpose: str, *by: str) -> DataFrame:
     """Write a table to the shared folder and read it back, in folders by the columns ``by``.
 
     Later jobs start from the files, so neither a second use nor a lost executor
-    repeats the work above.
+    repeats the work above. Nothing needs the shuffles of the write after it: Spark
+    deletes their files at its end, where they would else stay until the driver's
+    memory is next collected.
     """
-    folder = shared_folder(df.sparkSession, purpose)
-    df.write.partitionBy(*by).parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark, folder = df.sparkSession, shared_folder(df.sparkSession, purpose)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.partitionBy(*by).parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def release(df: DataFrame) -> None:

@@ -2,7 +2,8 @@
 
 Two documents link when their sets of five-word shingles overlap by three quarters of
 their union. Equal word sequences are one text. Texts that share a min-hash are held
-against the smallest id among them, and what links so forms a group of similar texts
+against the one among them with the smallest share of rare tokens (of copies with
+edits of their own the one they all come close to), and what links so forms a group of similar texts
 (cut into blocks of bounded size). The matrix has a row for each group and each token
 of its texts' prefixes: under one order of all tokens (by a sketch of how many texts have them, the commonest last), two texts
 that link share a token among the first seventh of the smaller and the first quarter
@@ -39,7 +40,7 @@ SLOTS = 8
 MEMBERS, ASKERS = 64, 1000
 #: Prefixes are longer by a token for each so many, and then share one more (in the matrix, for rare tokens only).
 STEP = 20
-#: Slots a text shares with the smallest id before they are compared.
+#: Slots a text shares with the head of the slot before they are compared.
 ALIKE = 3
 #: Counters of tokens by the leading bits of their hash, and those in a row of a task's counts.
 COUNTERS, SPAN = 1 << 20, 1 << 11
@@ -179,9 +180,10 @@ def _frequencies(docs: DataFrame, n_docs: int) -> np.ndarray:
 
 
 def _describe(docs: DataFrame, frequencies: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, print (of the words), mins, prefix, listed, need of every document.
+    """doc_id, n_shingles, print (of the words), mins, prefix, listed, need, own of every document.
 
     The first ``listed`` tokens of ``prefix`` go into the matrix; a larger text that links has ``need`` of them.
+    ``own``: tokens of few texts among a thousand of it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequencies)  # of fixed size
     load = float(frequencies.mean())
@@ -195,25 +197,27 @@ def _describe(docs: DataFrame, frequencies: np.ndarray) -> DataFrame:
                 words = _words(value)
                 x = shingles(words)
                 if not len(x):
-                    rows.append((0, None, None, None, None, None))
+                    rows.append((0, None, None, None, None, None, None))
                     continue
                 mins = [int(mixed(x * seed).min().view(np.int64)) for seed in _SEEDS]
                 # One order of all tokens: the rarest slots first, then by hash.
                 often = frequencies[_slots(x)]
-                asks, listed, need = prefixes(len(x), int((often <= usual).sum()))
+                rare = int((often <= usual).sum())
+                asks, listed, need = prefixes(len(x), rare)
                 prefix = x[np.argsort(often, kind="stable")[:asks]]
-                rows.append((len(x), hashlib.blake2b(b" ".join(words), digest_size=16).digest(), mins, prefix.view(np.int64), listed, need))
-            n, prints, mins, prefix, listed, need = zip(*rows) if rows else ((), (), (), (), (), ())
+                print_ = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+                rows.append((len(x), print_, mins, prefix.view(np.int64), listed, need, 1000 * rare // len(x)))
+            n, prints, mins, prefix, listed, need, own = zip(*rows) if rows else ((), (), (), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()),
                     pa.array(mins, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64())),
-                    pa.array(listed, pa.int64()), pa.array(need, pa.int64()),
+                    pa.array(listed, pa.int64()), pa.array(need, pa.int64()), pa.array(own, pa.int64()),
                 ],
-                names=["doc_id", "n_shingles", "print", "mins", "prefix", "listed", "need"],
+                names=["doc_id", "n_shingles", "print", "mins", "prefix", "listed", "need", "own"],
             )
 
-    schema = "doc_id long, n_shingles long, print binary, mins array<long>, prefix array<long>, listed long, need long"
+    schema = "doc_id long, n_shingles long, print binary, mins array<long>, prefix array<long>, listed long, need long, own long"
     return docs.select("doc_id", "text").mapInArrow(describe, schema)
 
 
@@ -257,9 +261,13 @@ def _unsigned(scalar) -> np.ndarray:
 
 
 def _star_links(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b: texts that link to the smallest id they share a min-hash with."""
-    slots = texts.select("doc_id", F.posexplode("mins").alias("slot", "least"))
-    heads = slots.groupBy("slot", "least").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).where("head < last")
+    """a, b: texts that link to the head of those they share a min-hash with: the least of its own, then the smallest id.
+
+    ``texts``: doc_id, mins, own.
+    """
+    slots = texts.select("doc_id", "own", F.posexplode("mins").alias("slot", "least"))
+    first = F.min(F.struct("own", "doc_id"))["doc_id"].alias("head")
+    heads = slots.groupBy("slot", "least").agg(first, F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("low", "high")
     shared = slots.join(heads, ["slot", "least"]).where("doc_id <> head").groupBy("doc_id", "head").agg(F.count("*").alias("slots"))
     pairs = keep(shared.where(F.col("slots") >= ALIKE).select("doc_id", "head"), "pairs")
     sets = keep(_sets(docs, pairs.select("doc_id").union(pairs.select("head")).distinct()), "sets")
@@ -409,7 +417,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     same = keep(copies.select("doc_id", "print").distinct().join(heads, "print").select("doc_id", "head"), "copies")
     texts = keep(same.where("doc_id = head").select("doc_id").distinct(), "texts")
     described_texts = copies.join(texts, "doc_id", "left_semi")
-    stars = _star_links(docs, described_texts.select("doc_id", "mins"))
+    stars = _star_links(docs, described_texts.select("doc_id", "mins", "own"))
     groups = components(stars)
     grouped = described_texts.join(groups, described_texts.doc_id == groups.node, "left").select(
         "doc_id", "n_shingles", "need", F.coalesce("component", "doc_id").alias("grp")
