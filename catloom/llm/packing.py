@@ -28,18 +28,18 @@ OPEN = 2048
 #: Pieces in one packing task, about.
 PER_TASK = 200_000
 END = (1).to_bytes(4, "little")
-#: Words kept with their ids; beyond it the memory is emptied, which costs time only.
-MEMORY = 2_500_000
+#: Words kept with their ids before those not met since the last such turn are forgotten, which costs time only.
+MEMORY = 600_000
 
 #: Latin letters, then marks: two pre-tokens, whose ids do not depend on each other.
-_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)")
+_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?#*$%&]*)")
 
 
 class WordIds:
     """Token ids of texts, as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids are
-    those of its words; each word goes through the tokenizer once.
+    those of its words; a word goes through the tokenizer when it is new or forgotten.
     """
 
     def __init__(self, path: str):
@@ -49,28 +49,32 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.ids: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # the words met before ``ids`` was begun anew
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.ids) > MEMORY:
-            self.ids.clear()
-        parts = {}
+        plain, other, parts = set(), set(), []
         for word in words:
             m = _PLAIN.fullmatch(word)
-            parts[word] = (m[1], m[2]) if m and m[2] else (word,)
-        new = {p for ps in parts.values() for p in ps if p}.difference(self.ids)
-        plain = [p for p in new if (m := _PLAIN.fullmatch(p)) and not m[2]]
+            if not m:
+                other.add(word)
+            elif not m[2]:
+                plain.add(word)
+            else:
+                parts.append((word, m[1], m[2]))
+                plain.add(m[1])
+                other.add(m[2])
+        plain = list(plain.difference(self.ids))
         for at in range(0, len(plain), 2000):
             self._learn_plain(plain[at : at + 2000])
-        other = list(new.difference(plain))
+        other = list(other.difference(self.ids))
         texts = [p.decode("utf-8", "replace") for p in other]
         for part, encoded in zip(other, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             self.ids[part] = np.array(encoded.ids, "<u4").tobytes()
-        for word, ps in parts.items():
-            if len(ps) > 1:
-                self.ids[word] = self.ids[ps[0]] + self.ids[ps[1]]
+        for word, letters, marks in parts:
+            self.ids[word] = self.ids[letters] + self.ids[marks]
 
     def _learn_plain(self, words: list[bytes]) -> None:
         """Words of letters alone, in one call: each ends where a piece ends a word."""
@@ -85,11 +89,14 @@ class WordIds:
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         # The added tokens are told by case; other words may be lower-cased first.
         split = [[] if t is None else (t if b"<|" in t else t.lower()).split() for t in texts]
+        if len(self.ids) > MEMORY:
+            self.older, self.ids = self.ids, {}
         new = set().union(*split).difference(self.ids)
-        if new:
-            self._learn(new)
-            if missing := set().union(*split).difference(self.ids):  # after the memory was emptied
-                self._learn(missing)
+        unmet = new.difference(self.older)
+        met = new.difference(unmet)
+        self.ids.update(zip(met, map(self.older.__getitem__, met)))
+        if unmet:
+            self._learn(unmet)
         get = self.ids.__getitem__
         return [b"".join(map(get, words)) for words in split]
 

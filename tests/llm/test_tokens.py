@@ -48,6 +48,21 @@ def test_pieces_of_the_table(spark):
     assert all(r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4").tobytes()) for r in got)
 
 
+def test_word_memory_is_bounded_and_keeps_words_in_use(monkeypatch):
+    from catloom.llm import packing
+
+    monkeypatch.setattr(packing, "MEMORY", 100)
+    words, learned = packing.WordIds(BPE), []
+    learn = words._learn
+    monkeypatch.setattr(words, "_learn", lambda new: (learned.extend(new), learn(new)))
+    for i in range(50):
+        text = "often Met, " + " ".join(f"w{i}x{j}" for j in range(60))
+        ids = words.tokenizer.encode(text, add_special_tokens=False).ids
+        assert words([text.encode(), None]) == [np.array(ids, "<u4").tobytes(), b""]
+        assert len(words.ids) + len(words.older) <= 2 * (100 + 70)
+    assert learned.count(b"often") == learned.count(b"met,") == 1
+
+
 @pytest.mark.parametrize("most", [1, 3, 10**6])
 def test_packer_is_best_fit(most):
     rng, packer, spaces, used = random.Random(1), Packer(100, most), [], {}
