@@ -181,7 +181,7 @@ def judge(docs: DataFrame, *carry: str) -> DataFrame:
     own = docs.select(
         *[F.col(c).alias(n) for c, n in names.items()], F.col("lang").alias("_lang"), F.col("source").alias("_source"), "text"
     )
-    stats = keep(base_statistics(own, *names.values(), "_lang", "_source").drop("text"), "statistics")
+    stats = keep(base_statistics(own, *names.values(), "_lang", "_source").drop("text"), "statistics", compression="zstd")
     passed = stats.where("NOT base_failed")
     sizes = passed.groupBy("_lang", "_source").agg(F.expr("count(*)").alias("size"))
     few = F.col("size") < FEW
@@ -191,7 +191,8 @@ def judge(docs: DataFrame, *carry: str) -> DataFrame:
     groups = keep(sizes.select(F.col("_lang").alias("a"), F.col("_source").alias("b"), group.alias("g")), "mcd-groups")
     within = F.col("_lang").eqNullSafe(F.col("a")) & F.col("_source").eqNullSafe(F.col("b"))
     vectors = keep(passed.join(groups, within).select("g", *vector()), "vectors")
-    found = groups.join(estimates(vectors, KEPT), "g")
+    # Kept, as Spark then knows that it is small and moves no row of ``carry`` to join it.
+    found = keep(groups.join(estimates(vectors, KEPT), "g"), "mcd-found")
     placed = distance(stats.join(found, within, "left").select("*", *vector_or_null()))
     kept = F.coalesce(~F.col("base_failed") & (F.col("d2") <= CUTOFF * F.col("scale")), F.lit(False))
     return placed.select(

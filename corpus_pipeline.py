@@ -33,7 +33,7 @@ def aside(docs: DataFrame, made: tuple[str, ...]) -> tuple[DataFrame, list]:
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a key of each row, written once, and the key's name."""
     key = unused(docs, "row_key")
-    return keep(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows"), key
+    return keep(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows", compression="zstd"), key
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

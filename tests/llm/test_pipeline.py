@@ -98,6 +98,19 @@ def test_mix_by_prefix_sums(spark):
     assert got == +want
 
 
+def test_texts_are_kept_small_and_judged_where_they_are(spark, capsys):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows, key = corpus_pipeline.numbered(docs)
+    assert all(f.endswith(".zstd.parquet") for f in rows.inputFiles())
+    assert rows.select(key).distinct().count() == docs.count()
+    rules = corpus_pipeline.quality_rules(spark, docs, "")
+    assert all(f.endswith(".zstd.parquet") for f in rules.inputFiles() if "/statistics-" in f)
+    capsys.readouterr()
+    rules.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_stages_take_clashing_columns(spark):
     docs, _ = made(spark)
     rules = corpus_pipeline.quality_rules(spark, docs, "")
