@@ -52,6 +52,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(28))
 
 
+def tagged(length, since, slot):
+    """Length, first scan and place of a phrase in one number."""
+    return (slot << 16) | (since << 8) | length
+
+
+#: What a tag holds, in SQL.
+LENGTH, SINCE, SLOT = "CAST(tag & 255 AS INT)", "CAST((tag >> 8) & 255 AS INT)", "CAST(tag >> 16 AS INT)"
+
+
 def active_counts(lang: bytes, texts: pa.Array, since: list[np.ndarray], scan: int, shards: int):
     """(length, keys, since, slots, n) of the active phrases of a block of normal texts.
 
@@ -109,7 +118,7 @@ def _normal(docs: DataFrame) -> DataFrame:
 
 
 def _scan(shard: DataFrame, shared, scan: int, shards: int) -> DataFrame:
-    """key, length, since, slot, n: counts of one scan by block, not yet summed."""
+    """key, tag, n: counts of one scan by block, not yet summed."""
 
     def count(batches):
         held, size = {}, 0
@@ -117,9 +126,8 @@ def _scan(shard: DataFrame, shared, scan: int, shards: int) -> DataFrame:
         def flush():
             for lang, texts in held.items():
                 for length, keys, begun, slots, n in active_counts(lang, pa.array(texts, pa.binary()), shared.value, scan, shards):
-                    lengths = pa.array(np.full(len(n), length, np.int32))
-                    numbers = [pa.array(x.astype(np.int32)) for x in (begun, slots)]
-                    whole = pa.RecordBatch.from_arrays([keys, lengths, *numbers, pa.array(n, pa.int64())], names=["key", "length", "since", "slot", "n"])
+                    tags = pa.array(tagged(length, begun, slots), pa.int64())
+                    whole = pa.RecordBatch.from_arrays([keys, tags, pa.array(n, pa.int64())], names=["key", "tag", "n"])
                     for i in range(0, len(n), PASSED):
                         yield whole.slice(i, PASSED)
 
@@ -132,7 +140,7 @@ def _scan(shard: DataFrame, shared, scan: int, shards: int) -> DataFrame:
                     held, size = {}, 0
         yield from flush()
 
-    rows = shard.select("lang", "text").mapInArrow(count, "key binary, length int, since int, slot int, n long")
+    rows = shard.select("lang", "text").mapInArrow(count, "key binary, tag long, n long")
     return rows.withColumn("key", F.col("key").cast("string"))
 
 
@@ -164,18 +172,17 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, shards: int =
         shared = docs.sparkSession.sparkContext.broadcast(since)
         found = _scan(dealt.where(F.col("shard") == scan % shards), shared, scan, shards)
         if pending is not None:
-            open_ = pending.where(F.col("since") + shards > scan)
+            open_ = pending.where(F.expr(SINCE) + shards > scan)
             found = found.unionByName(open_)
-        # The key decides the other columns, so any of their values is the value.
-        same = [F.min(c).alias(c) for c in ("length", "since", "slot")]
-        before, pending = pending, keep(found.groupBy("key").agg(F.sum("n").alias("n"), *same).select(found.columns), "phrase-counts")
+        # The key decides the tag, so any of its values is the value.
+        before, pending = pending, keep(found.groupBy("key").agg(F.min("tag").alias("tag"), F.sum("n").alias("n")), "phrase-counts")
         shared.destroy()
         if before is not None:
             release(before)
         if scan == shards - 1:
             lang = F.expr("substr(key, 1, length(key) - length(substring_index(key, '\\t', -1)) - 1)")
-            words = keep(pending.where("length = 1").groupBy(lang.alias("lang")).agg(F.sum("n").alias("n")), "phrase-words")
-        often = pending.where(F.col("n") >= threshold)
+            words = keep(pending.where(f"{LENGTH} = 1").groupBy(lang.alias("lang")).agg(F.sum("n").alias("n")), "phrase-words")
+        often = pending.where(F.col("n") >= threshold).selectExpr("key", f"{LENGTH} AS length", f"{SINCE} AS since", f"{SLOT} AS slot", "n")
         frequent.append(keep(often.where(F.col("since") + shards == scan + 1).select("key", "length", "n"), "phrases"))
         for length in range(1, LENGTHS):
             # A phrase begins when both parts are ready, or when one began that a shared place made ready before.

@@ -169,6 +169,13 @@ def plain_collocations(rows, least, top):
     return sorted(out)
 
 
+def test_a_tag_holds_length_scan_and_place(spark):
+    want = [(1, 0, 0), (4, 3, 77), (2, 254, (1 << 23) - 1), (3, 255, (1 << 30) + 5)]
+    tags = spark.createDataFrame([(int(collocations.tagged(*w)),) for w in want], "tag long")
+    fields = tags.selectExpr(collocations.LENGTH, collocations.SINCE, collocations.SLOT)
+    assert [tuple(r) for r in fields.collect()] == want
+
+
 @pytest.mark.parametrize("shards", [1, 2, 5])
 def test_collocations_equal_a_plain_count(spark, monkeypatch, shards):
     monkeypatch.setattr(collocations, "BLOCK", 2000)
