@@ -1,13 +1,14 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, empty tables and odd columns."""
 
 import math
+import os
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from catloom.llm import hmm, jaccard, language, mixing, neighbours, outliers, quality_model, urls
+from catloom.llm import common, hmm, jaccard, language, mixing, neighbours, outliers, quality_model, urls
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, g string, key string"
 LONG = "lorem ipsum dolor sit amet " * 8000
@@ -236,6 +237,17 @@ def test_no_rank_cap_on_emissions(spark):
     assert sum(max(r[1:]) > 0.6 * r.n for r in rows) > 0.9 * len(rows)
 
 
+def test_rounds_leave_one_small_table(spark, monkeypatch):
+    """Counts of a round take half the room of numbers by word and state, and go when the next round is written."""
+    rounds = []
+    monkeypatch.setattr(hmm, "keep", lambda df, purpose, *by, **more: (kept := common.keep(df, purpose, *by, **more), rounds.append((purpose, kept.inputFiles())))[0])
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{i * 40 + k}" for k in range(40)) * 2, i % 7 == 2) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    assert hmm.score_documents(df).count() == 500
+    sizes = [[os.path.getsize(f[7:]) for f in files if os.path.exists(f[7:])] for purpose, files in rounds if purpose == "hmm-round"]
+    assert len(sizes) > 1 and not any(sizes[:-1]) and 0 < sum(sizes[-1]) < 32 * 500 * 40
+
+
 def test_quality(spark, docs):
     rows = [(i, "clean words in order here" if i % 2 else "junk ### $$$ ||| junk", i % 2) for i in range(200)]
     labelled = spark.createDataFrame([*rows, (None, "x", 1), (5, None, 0), (6, "x", None), (7, "x", 7)], "doc_id long, text string, quality int")
