@@ -47,7 +47,7 @@ LEAN = 500.0
 #: Buckets of words: so many at least, and one for so many words of blocks.
 BUCKETS, DEALT = 32, 1 << 20
 #: Steps between two scalings, steps for which emissions are looked up at once, lanes at most.
-SCALED, AHEAD, LANES = 4, 64, 512
+SCALED, AHEAD, LANES = 4, 16, 512
 #: The bucket of what is not counted by word.
 REST = -1
 
@@ -129,8 +129,10 @@ def _first_shares(tokens: list[bytes]) -> np.ndarray:
 def _shares(data: bytes) -> np.ndarray:
     """By word and state, adding up to one (or zero)."""
     shares = np.frombuffer(data, np.float16).reshape(-1, STATES).astype(np.float64)
-    whole = shares.sum(axis=1, keepdims=True)
-    return np.divide(shares, whole, out=shares, where=whole > 0)
+    whole = shares @ np.ones(STATES)
+    whole[whole == 0] = 1
+    shares /= whole[:, None]
+    return shares
 
 
 def number_words(encoded: DataFrame) -> DataFrame:
@@ -318,8 +320,14 @@ def emissions(words: pa.Table, sums: np.ndarray, total: int, distinct: int, stat
     n = np.frombuffer(b"".join(n), np.int64)[order]
     shares = _shares(b"".join(shares))[order, :states]
     all_shares, one = float(total + distinct + 1), sums[:states] / max(total, 1)
-    plain = ((n + 1) / all_shares)[:, None]
-    return n, np.log10(plain[:, 0]), (n[:, None] * shares + one + LEAN * plain) / ((one * all_shares + LEAN) * plain)
+    plain = (n + 1) / all_shares
+    # (n * shares + one + LEAN * plain) / ((one * all_shares + LEAN) * plain), in place
+    shares *= n[:, None]
+    shares += one
+    shares /= plain[:, None]
+    shares += LEAN
+    shares /= one * all_shares + LEAN
+    return n, np.log10(plain), shares
 
 
 def give(uses: DataFrame, soft: DataFrame) -> DataFrame:
