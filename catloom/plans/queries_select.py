@@ -144,10 +144,17 @@ UNION ALL SELECT 'oversize', NULL, CAST(length('{{"id":' || CAST(-(p) AS VARCHAR
 FROM (SELECT DISTINCT c_custkey // {_PAGE} AS p FROM customer) pages""")
 def _(spark, sf):
     page = F.expr(f"c_custkey DIV {_PAGE}")
-    element = F.format_string(f'{{"id":%d,"pad":"%s"}}', "c_custkey", F.repeat(F.lit("x"), F.lit(_PAD)))
-    last = F.format_string('{"id":%d,"pad":"%s"}', -F.col("page"), F.repeat(F.lit("x"), F.lit(_LONG)))
-    lists = table(spark, sf, "customer").groupBy(page.alias("page")).agg(F.collect_list(element).alias("elements"))
-    body = F.concat(F.lit('{"data":['), F.array_join("elements", ","), F.lit(","), last, F.lit("]}"))
+    # Texts are made behind the shuffle, of the rows: the driver would fold a constant one of that length into the plan.
+    # The shuffle's size tells nothing of the pages', so their number of tasks is fixed.
+    dealt = table(spark, sf, "customer").select("c_custkey", page.alias("page")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "page")
+    lists = dealt.groupBy("page").agg(F.collect_list(F.struct("c_custkey")).alias("ids"))
+    pad = F.repeat(F.lit("x"), F.least(F.lit(_LONG), _LONG + F.size("ids")))
+
+    def element(ident, pad):
+        return F.concat(F.lit('{"id":'), F.coalesce(ident.cast("string"), F.lit("null")), F.lit(',"pad":"'), pad, F.lit('"}'))
+
+    elements = F.transform("ids", lambda x: element(x["c_custkey"], F.repeat(F.lit("x"), F.lit(_PAD))))
+    body = F.concat(F.lit('{"data":['), F.concat_ws(",", elements), F.lit(","), element(-F.col("page"), pad), F.lit("]}"))
     landed = lists.select(
         F.lit("/api/dashboard").alias("endpoint"), F.lit(None).cast("string").alias("record_id"),
         F.lit(200).alias("http_status"), body.alias("body"), seq_from_number(F.col("page")).alias("seq"),

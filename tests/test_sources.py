@@ -140,6 +140,16 @@ def test_what_the_parser_cannot_hold_is_oversize(spark):
     assert rows.count() == 2 and [(r.category, r.length, r.endpoint) for r in lost.collect()] == [("oversize", 40_000_018, "/d")]
 
 
+def test_long_texts_are_not_part_of_the_plan(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.range(3).select(F.when(F.col("id") > 0, F.col("id")).alias("c_custkey")).write.parquet(str(tmp_path / "customer.parquet"))
+    pages = entry.queries()["oversize_lists"](spark, str(tmp_path))
+    assert len(pages._jdf.queryExecution().optimizedPlan().toString()) < 4_000_000
+    text = b' {"data" : [ {"id": 1} , [] ] , "x": [ ] } '
+    assert [text[a:b].strip() for a, b in bodies.cut_list(memoryview(text), "data")] == [b'{"id": 1}', b"[]"]
+
+
 def test_residuals_append(spark, tmp_path):
     rows = L.residuals(responses(spark, ("/d", "1", "500", "x")), "dashboards_fetch_failed")
     for _ in range(2):
