@@ -359,6 +359,16 @@ def test_lineage_time_grows_with_the_ends(spark):
     assert seconds(16000) <= 2.2 * seconds(8000) + 0.2
 
 
+def test_lineage_leaves_out_unread_columns_and_generators_interpret_nothing(spark):
+    rows = raw_rows(spark, {"QUERY_ID": "q/1", "gudusoft": {"dbobjs": [{"id": 1, "name": "t"}], "relationships": [{"sources": [{"column": "c", "parentId": 1}]}]}})
+    parsed = G.parse_records(rows)
+    assert "relationships" in plan(parsed) and "relationships" not in plan(parsed.select("tables"))
+    assert "relationships" not in plan(G.processes(parsed, CTX))
+    for df in (G.lineage_lines(rows, CTX), G.column_processes(parsed, CTX)):
+        generators = [line for line in plan(df).splitlines() if "Generate inline" in line]
+        assert generators and not any("lambda" in line for line in generators)
+
+
 def test_lists_of_the_wrong_kind_count_as_empty(spark):
     assert refs(spark, {"dbobjs": {"name": "x"}, "relationships": "none"}) == ([], [])
     assert refs(spark, [], parsedData="{", PARSED_DATA='{"dbobjs":[{"name":"t"}]}')[0] == [("", "", "", "t")]
