@@ -176,6 +176,21 @@ def test_lineage_sink_makes_both_folders(spark, tmp_path):
     assert spark.read.text(f"{stage.folder}/PROCESS").count() == 0
 
 
+def test_lineage_takes_little_disk(spark, tmp_path):
+    from catloom.plans.pipeline import run_lineage
+
+    rows = spark.createDataFrame([(record(i),) for i in range(2000)], "value string").select(V.parse(F.col("value")).alias("raw"))
+    stage = write_lineage(*run_lineage(rows, CTX, stage_root=str(tmp_path)), str(tmp_path))
+    assert (stage.processes, stage.column_processes) == (2000, 2000)
+    kept = list((tmp_path / "lineage-stage").rglob("part-*"))
+    lines = spark.read.text([f"{stage.folder}/{kind}" for kind in ("PROCESS", "COLUMNPROCESS")])
+    assert all(p.name.endswith(".txt.gz") for p in kept) and lines.distinct().count() == 4000
+    length = lines.agg(F.sum(F.length("value"))).first()[0]
+    assert sum(p.stat().st_size for p in kept) < length / 10
+    hashed = [c for c in spark.read.parquet(str(tmp_path / "processed/parsed")).columns if c.endswith("_qn")]
+    assert hashed == []
+
+
 def test_a_repeated_write_replaces_the_tree(spark, tmp_path):
     def lines(*rows):
         return spark.createDataFrame(list(rows), "type_dir string, value string")
